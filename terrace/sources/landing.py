@@ -14,10 +14,10 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,7 @@ from terrace.sources.files import files_under
 log = logging.getLogger(__name__)
 
 DOCUMENT_LIMIT = 64 * 1024 * 1024
-RECORDS_PER_DOCUMENT = 1 << 13
+RECORDS_PER_DOCUMENT = 1 << 16
 
 RESULT = T.StructType(
     [T.StructField(n, T.StringType(), True) for n in ("source", "status", "key", "error")]
@@ -57,7 +57,7 @@ def land_source(
     """Land what lies under ``<drop_root>/<source>``; a rerun replaces the snapshot."""
     dropped = source_dir(drop_root, spec.name)
     target = snapshot_dir(bronze_root, spec.name, run_date)
-    documents = (
+    whole = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(dropped)
@@ -68,12 +68,8 @@ def land_source(
     large = files_under(spark, dropped).where(F.col("length") > document_limit)
     paths = [row["path"] for row in large.select("path").collect()]
     if paths:
-        documents = documents.unionByName(split_documents(spark, spec, paths))
-    (
-        documents.write.mode("overwrite")
-        .option("maxRecordsPerFile", 1)
-        .text(target)
-    )
+        whole = whole.unionByName(split_documents(spark, spec, paths))
+    whole.write.mode("overwrite").option("maxRecordsPerFile", 1).text(target)
     return target
 
 
@@ -92,19 +88,24 @@ def split_documents(spark: SparkSession, spec: SourceSpec, paths: list[str]) ->
     else:
         rows = spark.read.text(paths)
         record = F.col("value")
-    return _documents(rows.select(record.alias("record")), opening, separator, closing)
+    return documents(rows.select(record.alias("value")), opening, separator, closing)
+
 
+def documents(
+    records: DataFrame, opening: str, separator: str, closing: str, *, by: Sequence[str] = ()
+) -> DataFrame:
+    """Records in ``value`` joined to documents, apart for each value of ``by``.
 
-def _documents(records: DataFrame, opening: str, separator: str, closing: str) -> DataFrame:
-    # Row ids count up within a partition, so one chunk holds at most
-    # RECORDS_PER_DOCUMENT rows of one partition.
+    Row ids count up within a partition, so a document holds at most
+    RECORDS_PER_DOCUMENT records of one partition, whatever the size of a group.
+    """
     chunk = F.shiftright(F.monotonically_increasing_id(), RECORDS_PER_DOCUMENT.bit_length() - 1)
-    body: Column = F.array_join(F.collect_list("record"), separator)
+    body = F.array_join(F.collect_list("value"), separator)
     return (
         records.withColumn("chunk", chunk)
-        .groupBy("chunk")
+        .groupBy(*by, "chunk")
         .agg(F.concat(F.lit(opening), body, F.lit(closing)).alias("value"))
-        .select("value")
+        .select(*by, "value")
     )
 
 

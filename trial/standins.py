@@ -151,6 +151,19 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RAW_TEXT_SQL = """
+    SELECT CASE WHEN event_id % 100 <> 7 THEN strftime(ts, '%Y-%m-%d') END AS "DATE",
+           event_type AS "REGION", cast(event_id AS varchar) AS "EVENT-ID",
+           cast(user_id AS varchar) AS "USER-ID",
+           CASE event_id % 10 WHEN 1 THEN whole || '.75' WHEN 2 THEN ' ' || whole || ' '
+                WHEN 3 THEN 'n/a' WHEN 4 THEN '3000000000' ELSE whole END AS "COUNT",
+           json_extract_string(props, '$.k') AS "K",
+           year(ts)::int AS year, month(ts)::int AS month, day(ts)::int AS day
+    FROM (SELECT *, cast(cast(floor(value) AS int) AS varchar) AS whole FROM events
+          UNION ALL
+          SELECT *, cast(cast(floor(value) AS int) AS varchar) FROM events
+          WHERE event_id % 3 = 0)"""
+
 RAW_EVENTS_SQL = """
     SELECT CASE WHEN event_id % 100 <> 7 THEN strftime(ts, '%Y-%m-%d') END AS date,
            event_type AS region, cast(event_id AS varchar) AS event_id,
@@ -160,3 +173,21 @@ RAW_EVENTS_SQL = """
            cast(json_extract_string(props, '$.k') AS int) AS k,
            cast(ts AS date) AS run_date
     FROM events"""
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV country reports, one snapshot per month."""
+    day = F.col("o_orderdate").cast("date")
+    return table(spark, sf_dir, "orders").select(
+        day.cast("string").alias("Date_reported"),
+        F.col("o_orderstatus").alias("Country_code"),
+        F.concat(F.lit("Country, "), "o_orderkey").alias("Country"),
+        F.col("o_orderpriority").alias("WHO_region"),
+        F.col("o_totalprice").cast("string").alias("New_cases"),
+        F.col("o_custkey").cast("string").alias("Cumulative_cases"),
+        F.when(F.col("o_orderkey") % 4 != 0, (F.col("o_orderkey") % 9).cast("string")).alias(
+            "New_deaths"
+        ),
+        F.lit("x").alias("Note"),
+        F.trunc(day, "month").alias("run_date"),
+    )
