@@ -1,9 +1,10 @@
 """Data-quality checks: compiled to one DataFrame, one row per check, one action.
 
-Row-wise checks share a single aggregate whose map side returns one row per
-task.  Each key-uniqueness check is a count per key, then a sum of the counts:
-copies of a hot key are merged before the shuffle, and the shuffle carries
-the keys and one count, not the buffers of the other checks.
+Every check boils down to counts of rows, and counts can be added up.  Without a
+key-uniqueness check they are one aggregate, of which each task returns one row.
+With one, rows are counted per key, copies of a key being merged before the
+shuffle, and the counts of all checks are then added up over the keys: still a
+single scan.  Each further uniqueness check has a scan of its key columns.
 """
 
 from __future__ import annotations
@@ -48,9 +49,10 @@ class NotNull:
         return f"not_null_{self.column}"
 
     def measure(self) -> Column:
-        return F.coalesce(F.try_divide(F.count(self.column), F.count(F.lit(1))), F.lit(0.0))
+        return F.count(self.column)
 
-    def report(self, ratio: Column) -> dict[str, Column]:
+    def report(self, present: Column, total: Column) -> dict[str, Column]:
+        ratio = F.coalesce(F.try_divide(present, total), F.lit(0.0))
         return {
             "column": F.lit(self.column),
             "threshold": F.lit(float(self.threshold)),
@@ -72,7 +74,7 @@ class ValueRange:
     def measure(self) -> Column:
         return F.count_if(out_of_range(self.column, self.low, self.high))
 
-    def report(self, outside: Column) -> dict[str, Column]:
+    def report(self, outside: Column, _total: Column) -> dict[str, Column]:
         return {
             "column": F.lit(self.column),
             "min": F.lit(str(self.low)),
@@ -98,7 +100,7 @@ class AllowedValues:
     def measure(self) -> Column:
         return F.count_if(not_allowed(self.column, self.allowed))
 
-    def report(self, invalid: Column) -> dict[str, Column]:
+    def report(self, invalid: Column, _total: Column) -> dict[str, Column]:
         return {
             "column": F.lit(self.column),
             "allowed_count": F.lit(len(self.allowed)).cast("bigint"),
@@ -116,11 +118,7 @@ class NoDuplicates:
 
     name = "no_duplicates"
 
-    def counts(self, df: DataFrame) -> DataFrame:
-        """One row: all rows, and distinct keys with NULLs equal to each other."""
-        return key_counts(df, self.keys)
-
-    def report(self, total: Column, distinct: Column) -> dict[str, Column]:
+    def report(self, distinct: Column, total: Column) -> dict[str, Column]:
         return {
             "key_columns": F.lit(",".join(self.keys)),
             "total_rows": total,
@@ -149,13 +147,23 @@ _RESULT = {
 }
 
 
-def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row with ``total_rows`` and ``distinct_rows`` for a composite key."""
+def count_rows(
+    df: DataFrame, measures: dict[str, Column], keys: Sequence[str] | None = None
+) -> DataFrame:
+    """One row with ``total_rows`` and ``measures``, which are counts of rows.
+
+    With ``keys`` also ``distinct_rows``, the number of distinct keys; NULLs in a
+    key are equal to each other.
+    """
+    counts = {"total_rows": F.count(F.lit(1)), **measures}
+    columns = [c.alias(n) for n, c in counts.items()]
+    if not keys:
+        return df.agg(*columns)
     return (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("copies"))
+        .agg(*columns)
         .agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
+            *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts),
             F.count(F.lit(1)).alias("distinct_rows"),
         )
     )
@@ -170,18 +178,21 @@ def _row(position: int, check: Check, values: dict[str, Column]) -> Column:
 
 def quality_report(df: DataFrame, source: str, checks: Sequence[Check]) -> DataFrame:
     """One row per check; columns that do not belong to a check are NULL."""
-    by_row = [(i, c) for i, c in enumerate(checks) if not isinstance(c, NoDuplicates)]
-    parts = []
-    if by_row:
-        measured = df.agg(*(c.measure().alias(f"m{i}") for i, c in by_row))
-        rows = [_row(i, c, c.report(F.col(f"m{i}"))) for i, c in by_row]
-        parts.append(measured.select(F.inline(F.array(*rows))))
-    for i, check in enumerate(checks):
-        if isinstance(check, NoDuplicates):
-            values = check.report(F.col("total_rows"), F.col("distinct_rows"))
-            parts.append(check.counts(df).select(F.inline(F.array(_row(i, check, values)))))
-    if not parts:
+    if not checks:
         raise ValueError("no checks given")
+    by_row = {i: c for i, c in enumerate(checks) if not isinstance(c, NoDuplicates)}
+    by_key = {i: c for i, c in enumerate(checks) if isinstance(c, NoDuplicates)}
+    measures = {f"m{i}": c.measure() for i, c in by_row.items()}
+    total = F.col("total_rows")
+    rows = [_row(i, c, c.report(F.col(f"m{i}"), total)) for i, c in by_row.items()]
+    if not by_key:
+        parts = [count_rows(df, measures).select(F.inline(F.array(*rows)))]
+    else:
+        parts = []
+    for i, check in by_key.items():
+        rows.append(_row(i, check, check.report(F.col("distinct_rows"), total)))
+        parts.append(count_rows(df, measures, check.keys).select(F.inline(F.array(*rows))))
+        rows, measures = [], {}
     return reduce(DataFrame.unionByName, parts).select(F.lit(source).alias("source"), "*")
 
 

@@ -16,6 +16,10 @@ from terrace.sources.metrics import counted
 from terrace.sources.silver import write_silver, write_silver_snapshots
 
 
+#: Up to this many snapshots in one job, rows are written where deduplication left them.
+FEW_SNAPSHOTS = 4
+
+
 @dataclass(frozen=True)
 class SilverRun:
     source: str
@@ -67,5 +71,6 @@ def backfill_silver(
     raw = read_bronze(spark, spec, bronze_root, run_dates, declared=declared)
     raw, rows_read = counted(raw, "bronze rows read")
     silver = clean(raw, spec, snapshot_date(), processed_at, strict_dates=strict_dates)
-    rows_written = write_silver_snapshots(silver, silver_root, spec.name)
+    few = run_dates is not None and len(run_dates) <= FEW_SNAPSHOTS
+    rows_written = write_silver_snapshots(silver, silver_root, spec.name, rebalance=not few)
     return SilverRun(spec.name, rows_read(), rows_written)

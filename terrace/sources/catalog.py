@@ -35,7 +35,12 @@ def discover_tables(spark: SparkSession, zone_root: str) -> DataFrame:
 
 
 def register_zone(
-    spark: SparkSession, database: str, zone_root: str, *, merge_schema: bool = False
+    spark: SparkSession,
+    database: str,
+    zone_root: str,
+    *,
+    merge_schema: bool = False,
+    database_location: str | None = None,
 ) -> list[str]:
     """Create or update one external table per table of the zone; returns their names.
 
@@ -43,7 +48,8 @@ def register_zone(
     Partition columns are STRING, as their directories are.  ``merge_schema``
     looks at the footers of all files for columns that only some of them have.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    at = f"LOCATION '{database_location}'" if database_location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} {at}")
     # One short row per table.
     found = discover_tables(spark, zone_root).collect()
     leaves = Counter(r["location"].rsplit("/", 1)[-1] for r in found)

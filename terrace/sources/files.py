@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+import datetime as dt
 
-from terrace.layout import SNAPSHOT
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def files_under(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -22,18 +22,34 @@ def files_under(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
-def snapshots_in(spark: SparkSession, source_path: str, glob: str = "*") -> DataFrame:
-    """The snapshot partitions below a source directory, one row each."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .load(source_path)
-        .select(*SNAPSHOT)
-        .distinct()
-    )
+def newest_snapshot(spark: SparkSession, source_path: str, suffix: str) -> dt.date | None:
+    """The newest snapshot directory that holds a file ending in ``suffix``.
+
+    Walks down from the newest year, so it lists a few directories and not
+    every file of the source.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source_path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def below(parent):
+        return {status.getPath().getName(): status for status in fs.listStatus(parent)}
+
+    def newest_first(parent, key):
+        named = {n.split("=")[1]: s for n, s in below(parent).items() if n.startswith(f"{key}=")}
+        for value in sorted((v for v in named if v.isdigit()), key=int, reverse=True):
+            yield int(value), named[value].getPath()
+
+    if not fs.exists(path):
+        return None
+    for year, year_path in newest_first(path, "year"):
+        for month, month_path in newest_first(year_path, "month"):
+            for day, day_path in newest_first(month_path, "day"):
+                if any(name.endswith(suffix) for name in below(day_path)):
+                    return dt.date(year, month, day)
+    return None
 
 
-def relative(path: str, root: str):
-    """Column expression: the part of ``path`` below ``root``, whatever the scheme."""
+def relative(path: str, root: str) -> Column:
+    """The part of ``path`` below ``root``, whatever the scheme."""
     tail = root.split("://", 1)[-1].removeprefix("file:").rstrip("/")
     return F.substring_index(path, f"{tail}/", -1)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.layout import SNAPSHOT, run_day, snapshot_dir, source_dir
-from terrace.sources.files import snapshots_in
+from terrace.layout import SNAPSHOT, snapshot_dir, source_dir
+from terrace.sources.files import newest_snapshot
 from terrace.sources.metrics import counted
 
 
@@ -28,11 +28,15 @@ def write_silver(df: DataFrame, root: str, source: str, run_date: str | dt.date)
     return rows()
 
 
-def write_silver_snapshots(df: DataFrame, root: str, source: str) -> int:
+def write_silver_snapshots(
+    df: DataFrame, root: str, source: str, *, rebalance: bool = True
+) -> int:
     """Replace every snapshot present in ``df``, which has the snapshot columns, in one job.
 
-    The rebalance hint lets adaptive execution cut a large snapshot into several
-    files and merge small ones, so one hot date is not one task.
+    Cleaned rows lie spread over all tasks, and each task writes a file per
+    snapshot it holds rows of.  With many snapshots ``rebalance`` is worth its
+    shuffle: it gathers a snapshot in few files, and adaptive execution cuts a
+    hot one into several tasks.  With a handful of snapshots do without it.
     """
     padded = df.withColumns(
         {
@@ -41,7 +45,8 @@ def write_silver_snapshots(df: DataFrame, root: str, source: str) -> int:
             "day": F.lpad(F.col("day").cast("string"), 2, "0"),
         }
     )
-    out, rows = counted(padded.hint("rebalance", *SNAPSHOT), "silver rows written")
+    gathered = padded.hint("rebalance", *SNAPSHOT) if rebalance else padded
+    out, rows = counted(gathered, "silver rows written")
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -52,34 +57,23 @@ def write_silver_snapshots(df: DataFrame, root: str, source: str) -> int:
     return rows()
 
 
-def latest_snapshot(spark: SparkSession, root: str, source: str) -> dt.date | None:
-    """Run date of the newest snapshot, from file paths only."""
-    newest: Row | None = (
-        snapshots_in(spark, source_dir(root, source), "*.parquet")
-        .agg(F.max(F.struct(*SNAPSHOT)).alias("newest"))
-        .first()["newest"]
-    )
-    return newest and dt.date(newest["year"], newest["month"], newest["day"])
-
-
 def read_silver(
     spark: SparkSession,
     root: str,
     source: str,
     snapshot: str | dt.date = "latest",
+    *,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Silver rows of the newest snapshot, of ``"all"``, or of one run date.
 
     Each snapshot is a full download, so adding up ``"all"`` counts a day once
-    per download.  A single snapshot becomes a filter with literals on the
-    partition columns: the other directories are pruned before the scan.
+    per download.  A single snapshot is read from its own directory, and the
+    others are not even listed.  ``merge_schema`` is for snapshots that differ
+    in their columns.
     """
-    silver = spark.read.parquet(source_dir(root, source))
-    if snapshot == "all":
-        return silver
-    day = latest_snapshot(spark, root, source) if snapshot == "latest" else run_day(snapshot)
-    if day is None:
-        return silver
-    return silver.where(
-        (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
-    )
+    base = source_dir(root, source)
+    reader = spark.read.option("basePath", base).option("mergeSchema", str(merge_schema).lower())
+    if snapshot == "latest":
+        snapshot = newest_snapshot(spark, base, ".parquet") or "all"
+    return reader.parquet(base if snapshot == "all" else snapshot_dir(root, source, snapshot))

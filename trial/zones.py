@@ -394,6 +394,6 @@ def catalog_scan(spark: SparkSession, sf: str) -> DataFrame:
     database = f"trial_{root.rsplit('/', 1)[-1]}"
     summary = gold.hospitalizations_summary(hospitalizations(spark, sf), PROCESSED_AT)
     write_gold(summary, root, "be_hospitalizations_summary")
-    register_zone(spark, database, root)
+    register_zone(spark, database, root, database_location=f"{root}/_database")
     registered = spark.table(f"{database}.be_hospitalizations_summary")
     return reports.icu_trend(registered, as_of="1997-03-01")
