@@ -16,12 +16,13 @@ RETENTION_DAYS = {"bronze": 90, "silver": 365, "gold": 365}
 def latest_only(df: DataFrame) -> DataFrame:
     """Rows of the newest snapshot in ``df``.
 
-    The newest date is one row, so the join is a broadcast of that row; on a
-    partitioned scan it prunes partitions at run time.  Use
-    ``terrace.sources.silver.read_silver`` where the files can be listed instead.
+    The newest date comes from a scalar subquery over the snapshot columns alone.
+    On a partitioned scan it is known before the scan starts and prunes
+    partitions.  ``terrace.sources.silver.read_silver`` does the same for a
+    directory without looking into any file.
     """
-    newest = df.select(F.max(F.struct(*SNAPSHOT)).alias("newest")).select("newest.*")
-    return df.join(F.broadcast(newest), list(SNAPSHOT), "left_semi")
+    newest = df.select(F.max(snapshot_date())).scalar()
+    return df.where(snapshot_date() == newest)
 
 
 def within_retention(as_of: AsOf, days: int) -> Column:
