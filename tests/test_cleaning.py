@@ -50,7 +50,7 @@ INTEGER_TEXTS = {
     "2147483648": None, "2147483647.9": 2147483647, "-2147483648": -2147483648, ".5": 0,
     "-.5": 0, "5.": 5, ".": None, "+8": 8, "+": None, "\t8\n": 8, "\t1.5\n": 1, "\t.5 ": 0,
     "1 2": None, "1.2.3": None, "0x10": None, "1.99999999999999999999999": 1, "007": 7,
-    "3000000000.5": None,
+    "3000000000.5": None, "\x018\x7f": 8, "\x0b1.5\x1f": 1,
 }
 
 
@@ -143,3 +143,27 @@ def test_cleaning_shuffles_once_and_merges_copies_before(untidy):
 def test_unknown_source_is_named():
     with pytest.raises(ValueError, match="sciensano/covid_mortality"):
         lookup("sciensano/covid_mortality")
+
+
+def test_line_separators_are_no_whitespace(spark):
+    assert ints(spark, ["8\u2028", "8\u0085", "\u20288", "٣"]) == [None] * 4
+    df = spark.createDataFrame([("2024-01-15\u2028",), ("2024-01-15\n",)], "t string")
+    assert values(df.select(iso_date(F.col("t")).alias("d")), "d") == [None, None]
+
+
+def test_other_integer_widths(spark):
+    texts = ["9223372036854775807", "9223372036854775808", "00000000000000000000000000127", "128", "-128.9"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i")
+    longs = values(df.select(whole_number(F.col("t"), T.LongType()).alias("n")), "n")
+    assert longs == [9223372036854775807, None, 127, 128, -128]
+    small = values(df.select(whole_number(F.col("t"), T.ByteType()).alias("n")), "n")
+    assert small == [None, None, 127, None, -128]
+
+
+def test_casts_need_no_ansi_setting(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        texts = list(INTEGER_TEXTS)
+        assert dict(zip(texts, ints(spark, texts))) == INTEGER_TEXTS
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
