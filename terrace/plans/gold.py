@@ -51,7 +51,10 @@ def hospitalizations_summary(
     rated = series.withColumn(
         "icu_rate", fraction(F.col("total_icu"), F.col("total_hospitalized"))
     )
-    return _stamped(rated, processed_at)
+    # Lineage columns come last.
+    ordered = [c for c in rated.columns if c != INGESTED]
+    ordered += [c for c in rated.columns if c == INGESTED]
+    return _stamped(rated.select(*ordered), processed_at)
 
 
 def vaccination_coverage(silver: DataFrame, processed_at: str) -> DataFrame:

@@ -8,12 +8,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from terrace.layout import SNAPSHOT, snapshot_date
+from terrace.layout import SNAPSHOT, run_day, snapshot_date, source_dir
 from terrace.operators.cleaning import clean
 from terrace.registry import SourceSpec, lookup
 from terrace.sources.bronze import read_bronze
+from terrace.sources.files import snapshots_newest_first
 from terrace.sources.metrics import counted
-from terrace.sources.silver import write_silver, write_silver_snapshots
+from terrace.sources.silver import empty_silver, write_silver, write_silver_snapshots
 
 
 #: Up to this many snapshots in one job, rows are written where deduplication left them.
@@ -45,10 +46,10 @@ def build_silver(
     """Clean one snapshot and write it.  One action; both counts come from it."""
     spec = _spec(source)
     raw = read_bronze(spark, spec, bronze_root, run_date, declared=declared).drop(*SNAPSHOT)
-    raw, rows_read = counted(raw, "bronze rows read")
+    raw, read = counted(raw, "bronze rows read")
     silver = clean(raw, spec, run_date, processed_at, strict_dates=strict_dates)
     rows_written = write_silver(silver, silver_root, spec.name, run_date)
-    return SilverRun(spec.name, rows_read(), rows_written)
+    return SilverRun(spec.name, read()["rows"], rows_written)
 
 
 def backfill_silver(
@@ -64,13 +65,20 @@ def backfill_silver(
 ) -> SilverRun:
     """Clean many snapshots in one job: those of ``run_dates``, or all.
 
-    Rows are deduplicated within their snapshot, and each snapshot present is
-    replaced as a whole.
+    Rows are deduplicated within their snapshot, and each snapshot is replaced as
+    a whole, also if no row of it is left.
     """
     spec = _spec(source)
     raw = read_bronze(spark, spec, bronze_root, run_dates, declared=declared)
-    raw, rows_read = counted(raw, "bronze rows read")
+    raw, read = counted(raw, "bronze rows read")
     silver = clean(raw, spec, snapshot_date(), processed_at, strict_dates=strict_dates)
     few = run_dates is not None and len(run_dates) <= FEW_SNAPSHOTS
-    rows_written = write_silver_snapshots(silver, silver_root, spec.name, rebalance=not few)
-    return SilverRun(spec.name, rows_read(), rows_written)
+    rows_written, written = write_silver_snapshots(
+        silver, silver_root, spec.name, rebalance=not few
+    )
+    if run_dates is None:
+        wanted = set(snapshots_newest_first(spark, source_dir(bronze_root, spec.name)))
+    else:
+        wanted = {run_day(d) for d in run_dates}
+    empty_silver(silver, silver_root, spec.name, wanted - written)
+    return SilverRun(spec.name, read()["rows"], rows_written)

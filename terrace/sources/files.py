@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +23,13 @@ def files_under(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
-def newest_snapshot(spark: SparkSession, source_path: str, suffix: str) -> dt.date | None:
-    """The newest snapshot directory that holds a file ending in ``suffix``.
+def snapshots_newest_first(
+    spark: SparkSession, source_path: str, suffix: str = ""
+) -> Iterator[dt.date]:
+    """Snapshot directories that hold a file ending in ``suffix``, the newest first.
 
-    Walks down from the newest year, so it lists a few directories and not
-    every file of the source.
+    Lists directories only as far as the caller goes on, so finding the newest
+    snapshot does not touch the others.
     """
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source_path)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -40,13 +43,12 @@ def newest_snapshot(spark: SparkSession, source_path: str, suffix: str) -> dt.da
             yield int(value), named[value].getPath()
 
     if not fs.exists(path):
-        return None
+        return
     for year, year_path in newest_first(path, "year"):
         for month, month_path in newest_first(year_path, "month"):
             for day, day_path in newest_first(month_path, "day"):
                 if any(name.endswith(suffix) for name in below(day_path)):
-                    return dt.date(year, month, day)
-    return None
+                    yield dt.date(year, month, day)
 
 
 def relative(path: str, root: str) -> Column:

@@ -24,7 +24,7 @@ def write_gold(
     out of a region that holds much of the table.
     """
     modes = {"table": "static", "regions": "dynamic"}
-    out, rows = counted(df.hint("rebalance", partition), "gold rows written")
+    out, written = counted(df.hint("rebalance", partition), "gold rows written")
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", modes[replace])
@@ -32,7 +32,7 @@ def write_gold(
         .partitionBy(partition)
         .parquet(gold_path(root, table))
     )
-    return rows()
+    return written()["rows"]
 
 
 def read_gold(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -4,13 +4,30 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from typing import Any
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], int]]:
-    """``df`` and a function for its row count, to be called after the action on it."""
+def counted(
+    df: DataFrame, name: str, **more: Column
+) -> tuple[DataFrame, Callable[[], dict[str, Any]]]:
+    """``df`` and a function for its number of ``rows`` and ``more`` aggregates.
+
+    Call the function after the action on ``df``.  The values are metrics: tasks
+    that run again after the loss of an executor may count twice.  If nothing of
+    ``df`` reaches the end of the action, adaptive execution takes the empty
+    branch out together with its metrics; they are then computed on their own.
+    """
     seen = Observation(f"{name} {uuid.uuid4().hex}")
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    return observed, lambda: int(seen.get["rows"])
+    wanted = [F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in more.items())]
+
+    def values() -> dict[str, Any]:
+        try:
+            return seen.get
+        except Py4JJavaError:
+            return df.agg(*wanted).first().asDict()
+
+    return df.observe(seen, *wanted), values

@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.layout import SNAPSHOT, snapshot_dir, source_dir
-from terrace.sources.files import newest_snapshot
+from terrace.layout import SNAPSHOT, snapshot_date, snapshot_dir, source_dir
+from terrace.sources.files import snapshots_newest_first
 from terrace.sources.metrics import counted
 
 
@@ -19,20 +19,22 @@ def write_silver(df: DataFrame, root: str, source: str, run_date: str | dt.date)
     same rows and never touches another date.  The count comes from the write
     job itself.
     """
-    df, rows = counted(df.drop(*SNAPSHOT), "silver rows written")
+    df, written = counted(df.drop(*SNAPSHOT), "silver rows written")
     (
         df.write.mode("overwrite")
         .option("compression", "snappy")
         .parquet(snapshot_dir(root, source, run_date))
     )
-    return rows()
+    return written()["rows"]
 
 
 def write_silver_snapshots(
     df: DataFrame, root: str, source: str, *, rebalance: bool = True
-) -> int:
+) -> tuple[int, set[dt.date]]:
     """Replace every snapshot present in ``df``, which has the snapshot columns, in one job.
 
+    Returns the number of rows and the snapshots they are in.
+
     Cleaned rows lie spread over all tasks, and each task writes a file per
     snapshot it holds rows of.  With many snapshots ``rebalance`` is worth its
     shuffle: it gathers a snapshot in few files, and adaptive execution cuts a
@@ -46,7 +48,9 @@ def write_silver_snapshots(
         }
     )
     gathered = padded.hint("rebalance", *SNAPSHOT) if rebalance else padded
-    out, rows = counted(gathered, "silver rows written")
+    out, written = counted(
+        gathered, "silver rows written", days=F.collect_set(snapshot_date())
+    )
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -54,7 +58,19 @@ def write_silver_snapshots(
         .partitionBy(*SNAPSHOT)
         .parquet(source_dir(root, source))
     )
-    return rows()
+    found = written()
+    return found["rows"], set(found["days"])
+
+
+def empty_silver(df: DataFrame, root: str, source: str, days: set[dt.date]) -> None:
+    """Replace those of ``days`` that silver has rows of with snapshots without rows."""
+    spark = df.sparkSession
+    if not days:
+        return
+    for day in snapshots_newest_first(spark, source_dir(root, source), ".parquet"):
+        if day in days:
+            none = spark.createDataFrame([], df.drop(*SNAPSHOT).schema)
+            write_silver(none, root, source, day)
 
 
 def read_silver(
@@ -75,5 +91,5 @@ def read_silver(
     base = source_dir(root, source)
     reader = spark.read.option("basePath", base).option("mergeSchema", str(merge_schema).lower())
     if snapshot == "latest":
-        snapshot = newest_snapshot(spark, base, ".parquet") or "all"
+        snapshot = next(snapshots_newest_first(spark, base, ".parquet"), "all")
     return reader.parquet(base if snapshot == "all" else snapshot_dir(root, source, snapshot))

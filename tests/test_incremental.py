@@ -87,3 +87,15 @@ def test_csv_source(spark, tmp_path):
     run(spark, root, WORLD)
     row = read_silver(spark, f"{root}/silver", lookup(WORLD).name).first()
     assert (row["date_reported"], row["new_cases"]) == ("2024-01-15", 7)
+
+
+def test_snapshot_that_lost_its_rows_is_emptied(spark, tmp_path):
+    root = str(tmp_path)
+    put(f"{root}/bronze", HOSPITAL, "2024-01-15", "a.json", rows("x", "y"))
+    put(f"{root}/bronze", HOSPITAL, "2024-01-16", "a.json", rows("z"))
+    run(spark, root)
+    undated = json.dumps([{"DATE": None, "PROVINCE": "x", "NEW_IN": 1}])
+    put(f"{root}/bronze", HOSPITAL, "2024-01-15", "a.json", undated)
+    again = backfill_silver(spark, HOSPITAL, f"{root}/bronze", f"{root}/silver", NOW)
+    assert (again.rows_read, again.rows_written) == (2, 1)
+    assert silver(spark, root) == [(16, "z")]
