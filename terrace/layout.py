@@ -17,6 +17,11 @@ def run_day(run_date: str | dt.date) -> dt.date:
     return run_date if isinstance(run_date, dt.date) else dt.date.fromisoformat(run_date)
 
 
+def utc_now() -> str:
+    """The time in UTC as ISO text, for the processing columns."""
+    return dt.datetime.now(dt.UTC).replace(tzinfo=None).isoformat()
+
+
 def source_dir(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/{source}"
 

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions import fraction, percentage
+from terrace.layout import utc_now
+from terrace.operators.quality import Check
 from terrace.operators.rollup import (
     daily_totals,
     rolling_mean_days,
     rolling_mean_rows,
     running_total,
 )
+from terrace.plans.checks import require
 from terrace.sources.gold import write_gold
 from terrace.sources.silver import read_silver
 
@@ -113,17 +117,22 @@ def build_gold(
     spark: SparkSession,
     silver_root: str,
     gold_root: str,
-    processed_at: str,
+    processed_at: str | None = None,
     *,
-    snapshot: str = "latest",
-    tables: tuple[GoldTable, ...] = GOLD_TABLES,
+    snapshot: str | dt.date = "latest",
+    tables: Sequence[GoldTable] = GOLD_TABLES,
+    suites: Mapping[str, Sequence[Check]] | None = None,
 ) -> dict[str, int]:
-    """Build and write the gold tables in order; rows written per table."""
-    return {
-        t.name: write_gold(
-            t.build(read_silver(spark, silver_root, t.source, snapshot), processed_at),
-            gold_root,
-            t.name,
-        )
-        for t in tables
-    }
+    """Build and write the gold tables in order; rows written per table.
+
+    With ``suites`` a silver frame must pass the checks of its source first.
+    QualityFailure then leaves the gold table of that source as it was.
+    """
+    rows = {}
+    for table in tables:
+        silver = read_silver(spark, silver_root, table.source, snapshot)
+        if suites:
+            require(silver, table.source, suites)
+        gold = table.build(silver, processed_at or utc_now())
+        rows[table.name] = write_gold(gold, gold_root, table.name)
+    return rows

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from terrace.layout import SNAPSHOT, run_day, snapshot_date, source_dir
+from terrace.layout import SNAPSHOT, run_day, snapshot_date, source_dir, utc_now
 from terrace.operators.cleaning import clean
 from terrace.registry import SourceSpec, lookup
 from terrace.sources.bronze import read_bronze
@@ -38,7 +38,7 @@ def build_silver(
     run_date: str | dt.date,
     bronze_root: str,
     silver_root: str,
-    processed_at: str,
+    processed_at: str | None = None,
     *,
     declared: bool = False,
     strict_dates: bool = False,
@@ -47,7 +47,7 @@ def build_silver(
     spec = _spec(source)
     raw = read_bronze(spark, spec, bronze_root, run_date, declared=declared).drop(*SNAPSHOT)
     raw, read = counted(raw, "bronze rows read")
-    silver = clean(raw, spec, run_date, processed_at, strict_dates=strict_dates)
+    silver = clean(raw, spec, run_date, processed_at or utc_now(), strict_dates=strict_dates)
     rows_written = write_silver(silver, silver_root, spec.name, run_date)
     return SilverRun(spec.name, read()["rows"], rows_written)
 
@@ -57,7 +57,7 @@ def backfill_silver(
     source: str | SourceSpec,
     bronze_root: str,
     silver_root: str,
-    processed_at: str,
+    processed_at: str | None = None,
     *,
     run_dates: Sequence[str | dt.date] | None = None,
     declared: bool = False,
@@ -71,7 +71,9 @@ def backfill_silver(
     spec = _spec(source)
     raw = read_bronze(spark, spec, bronze_root, run_dates, declared=declared)
     raw, read = counted(raw, "bronze rows read")
-    silver = clean(raw, spec, snapshot_date(), processed_at, strict_dates=strict_dates)
+    silver = clean(
+        raw, spec, snapshot_date(), processed_at or utc_now(), strict_dates=strict_dates
+    )
     few = run_dates is not None and len(run_dates) <= FEW_SNAPSHOTS
     rows_written, written = write_silver_snapshots(
         silver, silver_root, spec.name, rebalance=not few

@@ -21,7 +21,7 @@ def process_new_snapshots(
     bronze_root: str,
     silver_root: str,
     checkpoint: str,
-    processed_at: str,
+    processed_at: str | None = None,
     *,
     max_files_per_batch: int | None = None,
     declared: bool = False,

@@ -6,11 +6,13 @@ Each query works in a new directory of the shared folder the session names.
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.layout import SNAPSHOT, snapshot_keys, source_dir, workspace
+from terrace.operators.quality import NotNull
 from terrace.operators.snapshots import expired_snapshots, keep_recent, latest_only
 from terrace.plans import gold, reports
 from terrace.plans.silver import backfill_silver, build_silver
@@ -27,7 +29,7 @@ from terrace.sources.manifests import (
     write_manifest,
     write_manifests,
 )
-from terrace.sources.silver import read_silver
+from terrace.sources.silver import read_silver, write_silver
 from terrace.streaming import process_new_snapshots
 from trial.gold import COVERAGE_GOLD, HOSPITAL_GOLD, TRENDS_GOLD, rounded
 from trial.registry import query
@@ -72,21 +74,38 @@ def write_csv_snapshots(raw: DataFrame, root: str, source: str) -> None:
     )
 
 
+@cache
+def _zone(application: str, kind: str, sf: str) -> str:
+    """A place for raw files that are only read: one per session, kind and tables."""
+    spark = SparkSession.active()
+    bronze = workspace(spark)
+    if kind == "events":
+        write_json_snapshots(raw_events(spark, sf), bronze, EVENTS.name)
+    else:
+        write_csv_snapshots(raw_orders(spark, sf), bronze, ORDERS.name)
+    return bronze
+
+
+def bronze_events(spark: SparkSession, sf: str) -> str:
+    """The bronze zone with all snapshots of the events, written once per session."""
+    return _zone(spark.sparkContext.applicationId, "events", sf)
+
+
+def bronze_orders(spark: SparkSession, sf: str) -> str:
+    return _zone(spark.sparkContext.applicationId, "orders", sf)
+
+
 # --- bronze -----------------------------------------------------------------
 
 
 @query(RAW_TEXT_SQL)
 def bronze_json_scan(spark: SparkSession, sf: str) -> DataFrame:
-    bronze = workspace(spark)
-    write_json_snapshots(raw_events(spark, sf), bronze, EVENTS.name)
-    return read_bronze(spark, EVENTS, bronze)
+    return read_bronze(spark, EVENTS, bronze_events(spark, sf))
 
 
 @query(RAW_TEXT_SQL)
 def bronze_json_scan_declared(spark: SparkSession, sf: str) -> DataFrame:
-    bronze = workspace(spark)
-    write_json_snapshots(raw_events(spark, sf), bronze, EVENTS.name)
-    return read_bronze(spark, EVENTS, bronze, declared=True)
+    return read_bronze(spark, EVENTS, bronze_events(spark, sf), declared=True)
 
 
 @query("""
@@ -99,17 +118,13 @@ def bronze_json_scan_declared(spark: SparkSession, sf: str) -> DataFrame:
            1::int AS day
     FROM orders""")
 def bronze_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
-    bronze = workspace(spark)
-    write_csv_snapshots(raw_orders(spark, sf), bronze, ORDERS.name)
-    return read_bronze(spark, ORDERS, bronze)
+    return read_bronze(spark, ORDERS, bronze_orders(spark, sf))
 
 
 @query(f"SELECT * FROM ({RAW_TEXT_SQL}) WHERE year = 2024 AND month = 1 AND day = 15")
 def snapshot_scan(spark: SparkSession, sf: str) -> DataFrame:
     """One run date out of all that lie in bronze."""
-    bronze = workspace(spark)
-    write_json_snapshots(raw_events(spark, sf), bronze, EVENTS.name)
-    return read_bronze(spark, EVENTS, bronze, "2024-01-15")
+    return read_bronze(spark, EVENTS, bronze_events(spark, sf), "2024-01-15")
 
 
 LINES = replace(EVENTS, name="trial/event_lines", options=JSON_LINES)
@@ -147,20 +162,20 @@ def landed_files(spark: SparkSession, sf: str) -> DataFrame:
         "2024-01-31",
         document_limit=200_000,
     )
-    counts = None
-    for spec, date, number in (
-        (EVENTS, "DATE", "USER-ID"),
-        (LINES, "DATE", "USER-ID"),
-        (ORDERS, "Date_reported", "Cumulative_cases"),
-    ):
-        one = read_bronze(spark, spec, bronze, "2024-01-31", declared=spec is not ORDERS).agg(
+    counts = [
+        read_bronze(spark, spec, bronze, "2024-01-31", declared=spec is not ORDERS).agg(
             F.lit(spec.name).alias("source"),
             F.count(F.lit(1)).alias("rows"),
             F.count(f"`{date}`").alias("dated_rows"),
             F.sum(F.col(f"`{number}`").cast("bigint")).alias("id_sum"),
         )
-        counts = one if counts is None else counts.unionByName(one)
-    return landed.join(counts, "source", "left").select(
+        for spec, date, number in (
+            (EVENTS, "DATE", "USER-ID"),
+            (LINES, "DATE", "USER-ID"),
+            (ORDERS, "Date_reported", "Cumulative_cases"),
+        )
+    ]
+    return landed.join(reduce(DataFrame.unionByName, counts), "source", "left").select(
         "source",
         "status",
         F.coalesce("rows", F.lit(0)).cast("bigint").alias("landed_rows"),
@@ -271,11 +286,10 @@ SILVER_SQL = f"""
 
 
 def _silver(spark: SparkSession, sf: str) -> str:
-    """Bronze and silver zones of the events; the path of the silver zone."""
-    base = workspace(spark)
-    write_json_snapshots(raw_events(spark, sf), f"{base}/bronze", EVENTS.name)
-    backfill_silver(spark, EVENTS, f"{base}/bronze", f"{base}/silver", PROCESSED_AT)
-    return f"{base}/silver"
+    """All snapshots of the events cleaned; the path of the silver zone."""
+    silver = workspace(spark)
+    backfill_silver(spark, EVENTS, bronze_events(spark, sf), silver, PROCESSED_AT)
+    return silver
 
 
 @query(SILVER_SQL)
@@ -332,11 +346,8 @@ def retention_expired(spark: SparkSession, sf: str) -> DataFrame:
            (SELECT count(*) FROM ({SILVER_SQL}) WHERE day = 15) AS rows_written""")
 def row_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows in and out of one silver snapshot, as counted by the job that wrote it."""
-    base = workspace(spark)
-    write_json_snapshots(raw_events(spark, sf), f"{base}/bronze", EVENTS.name)
-    run = build_silver(
-        spark, EVENTS, "2024-01-15", f"{base}/bronze", f"{base}/silver", PROCESSED_AT
-    )
+    bronze = bronze_events(spark, sf)
+    run = build_silver(spark, EVENTS, "2024-01-15", bronze, workspace(spark), PROCESSED_AT)
     return spark.createDataFrame(
         [(run.source, run.rows_read, run.rows_written)],
         "source string, rows_read bigint, rows_written bigint",
@@ -383,6 +394,35 @@ def gold_regions_replaced(spark: SparkSession, sf: str) -> DataFrame:
     return read_gold(spark, root, "coverage")
 
 
+@query(f"""
+    SELECT 'be_hospitalizations_summary' AS gold, count(*) AS records,
+           cast(sum(new_admissions) AS bigint) AS total FROM ({HOSPITAL_GOLD})
+    UNION ALL SELECT 'be_vaccination_coverage', count(*), cast(sum(cumulative_doses) AS bigint)
+    FROM ({COVERAGE_GOLD})
+    UNION ALL SELECT 'who_global_trends', count(*), cast(sum(cumulative_cases) AS bigint)
+    FROM ({TRENDS_GOLD})""")
+def gold_build_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The three gold tables from a silver zone that passes its checks, read by name."""
+    base = workspace(spark)
+    makers = dict(zip(gold.GOLD_TABLES, (hospitalizations, vaccinations, global_covid)))
+    for one, make in makers.items():
+        write_silver(make(spark, sf), f"{base}/silver", one.source, "2024-01-31")
+    suites = {t.source: [NotNull(d)] for t, d in zip(makers, ("date", "date", "date_reported"))}
+    gold.build_gold(spark, f"{base}/silver", f"{base}/gold", PROCESSED_AT, suites=suites)
+    database = f"trial_{base.rsplit('/', 1)[-1]}"
+    register_zone(spark, database, f"{base}/gold", database_location=f"{base}/_database")
+    measures = ("new_admissions", "cumulative_doses", "cumulative_cases")
+    counts = [
+        spark.table(f"{database}.{t.name}").agg(
+            F.lit(t.name).alias("gold"),
+            F.count(F.lit(1)).alias("records"),
+            F.sum(m).cast("bigint").alias("total"),
+        )
+        for t, m in zip(makers, measures)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query(f"""
     SELECT date, region, total_hospitalized, total_icu,
            {rounded("icu_rate * 100", 2)} AS icu_rate_pct,
