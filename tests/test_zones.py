@@ -15,6 +15,7 @@ from terrace.operators.snapshots import (
 )
 from terrace.plans.checks import SUITES, QualityFailure, require
 from terrace.plans.gold import GOLD_TABLES, build_gold
+from terrace.plans.reports import coverage_by_group
 from terrace.plans.silver import backfill_silver, build_silver
 from terrace.sources.bronze import read_bronze
 from terrace.sources.catalog import discover_tables, register_zone
@@ -296,3 +297,28 @@ def test_workspace_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = workspace(spark), workspace(spark)
     assert first.startswith(shared) and first != second
+
+
+def test_broken_document_does_not_reach_silver(spark, tmp_path):
+    put_hospital(tmp_path, "2024-01-15", hospital(), hospital(province="x"))
+    put(tmp_path, HOSPITAL, "2024-01-15", "broken.json", '[{"DATE": "2024-01-1')
+    for declared in (False, True):
+        run = build_silver(spark, HOSPITAL, "2024-01-15", str(tmp_path), str(tmp_path / "s"),
+                           NOW, declared=declared)
+        assert run.rows_written == 2
+
+
+def test_reports_prune_regions_and_push_dates_down(spark, tmp_path):
+    gold = spark.createDataFrame(
+        [(dt.date(2024, 1, n), r, "a", "A", 1, 1) for n in (1, 2) for r in ("Flanders", "Wallonia")],
+        "date date, region string, agegroup string, dose string, "
+        "doses_administered bigint, cumulative_doses bigint",
+    )
+    write_gold(gold, str(tmp_path), "coverage")
+    plan = (
+        coverage_by_group(read_gold(spark, str(tmp_path), "coverage"))
+        ._jdf.queryExecution().executedPlan().toString()
+    )
+    filters = plan[plan.index("PartitionFilters"):]
+    assert "Flanders" in filters.split("PushedFilters")[0]
+    assert "date" not in plan[plan.index("ReadSchema"):]
