@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,13 @@ def run_day(run_date: str | dt.date) -> dt.date:
     return run_date if isinstance(run_date, dt.date) else dt.date.fromisoformat(run_date)
 
 
+def run_days(run_dates: str | dt.date | Iterable[str | dt.date]) -> list[dt.date]:
+    """One run date or several as dates."""
+    if isinstance(run_dates, (str, dt.date)):
+        run_dates = [run_dates]
+    return [run_day(d) for d in run_dates]
+
+
 def utc_now() -> str:
     """The time in UTC as ISO text, for the processing columns."""
     return dt.datetime.now(dt.UTC).replace(tzinfo=None).isoformat()

@@ -97,6 +97,7 @@ class GoldTable:
     name: str
     source: str
     build: Callable[[DataFrame, str], DataFrame]
+    date: str = "date"
 
 
 # Names of the gold tables and the sources they are built from.
@@ -109,7 +110,7 @@ GOLD_TABLES = (
     GoldTable(
         "be_vaccination_coverage", "sciensano/covid_vaccinations", vaccination_coverage
     ),
-    GoldTable("who_global_trends", "who/global_covid", global_trends),
+    GoldTable("who_global_trends", "who/global_covid", global_trends, "date_reported"),
 )
 
 
@@ -134,5 +135,5 @@ def build_gold(
         if suites:
             require(silver, table.source, suites)
         gold = table.build(silver, processed_at or utc_now())
-        rows[table.name] = write_gold(gold, gold_root, table.name)
+        rows[table.name] = write_gold(gold, gold_root, table.name, sort_by=[table.date])
     return rows

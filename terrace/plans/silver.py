@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from terrace.layout import SNAPSHOT, run_day, snapshot_date, source_dir, utc_now
+from terrace.layout import SNAPSHOT, run_days, snapshot_date, source_dir, utc_now
 from terrace.operators.cleaning import clean
 from terrace.registry import SourceSpec, lookup
 from terrace.sources.bronze import read_bronze
@@ -59,7 +59,7 @@ def backfill_silver(
     silver_root: str,
     processed_at: str | None = None,
     *,
-    run_dates: Sequence[str | dt.date] | None = None,
+    run_dates: str | dt.date | Sequence[str | dt.date] | None = None,
     declared: bool = False,
     strict_dates: bool = False,
 ) -> SilverRun:
@@ -69,18 +69,17 @@ def backfill_silver(
     a whole, also if no row of it is left.
     """
     spec = _spec(source)
-    raw = read_bronze(spark, spec, bronze_root, run_dates, declared=declared)
+    days = None if run_dates is None else run_days(run_dates)
+    raw = read_bronze(spark, spec, bronze_root, days, declared=declared)
     raw, read = counted(raw, "bronze rows read")
     silver = clean(
         raw, spec, snapshot_date(), processed_at or utc_now(), strict_dates=strict_dates
     )
-    few = run_dates is not None and len(run_dates) <= FEW_SNAPSHOTS
+    few = days is not None and len(days) <= FEW_SNAPSHOTS
     rows_written, written = write_silver_snapshots(
         silver, silver_root, spec.name, rebalance=not few
     )
-    if run_dates is None:
-        wanted = set(snapshots_newest_first(spark, source_dir(bronze_root, spec.name)))
-    else:
-        wanted = {run_day(d) for d in run_dates}
-    empty_silver(silver, silver_root, spec.name, wanted - written)
+    if days is None:
+        days = snapshots_newest_first(spark, source_dir(bronze_root, spec.name))
+    empty_silver(silver, silver_root, spec.name, set(days) - written)
     return SilverRun(spec.name, read()["rows"], rows_written)

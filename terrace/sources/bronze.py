@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
-from terrace.layout import snapshot_dir, source_dir
+from terrace.layout import run_days, snapshot_dir, source_dir
 from terrace.registry import SourceSpec
 
 CORRUPT = "_corrupt_record"
@@ -53,7 +53,6 @@ def read_bronze(
     if run_dates is None:
         paths = [base]
     else:
-        days = [run_dates] if isinstance(run_dates, (str, dt.date)) else run_dates
-        paths = [snapshot_dir(root, spec.name, d) for d in days]
+        paths = [snapshot_dir(root, spec.name, d) for d in run_days(run_dates)]
     reader = _reader(spark, spec, declared=declared, corrupt=corrupt)
     return reader.option("basePath", base).load(paths)

@@ -61,6 +61,9 @@ def register_zone(
         path = f"{zone_root.rstrip('/')}/{row['location']}"
         _register(spark, table, path, list(row["partition_columns"]), merge_schema)
         names.append(name)
+    for known in spark.catalog.listTables(database):
+        if not known.isTemporary and known.name not in {n.lower() for n in names}:
+            log.warning("%s.%s is not in %s any more", database, known.name, zone_root)
     return names
 
 

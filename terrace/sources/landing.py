@@ -64,9 +64,12 @@ def land_source(
         .where(F.col("length") <= document_limit)
         .select(F.col("content").cast("string").alias("value"))
     )
-    # Names of files, which the driver has listed anyway.
-    large = files_under(spark, dropped).where(F.col("length") > document_limit)
-    paths = [row["path"] for row in large.select("path").collect()]
+    files = files_under(spark, dropped)
+    if files.isEmpty():
+        raise FileNotFoundError(f"nothing dropped under {dropped}")
+    # Names of oversized files, which the driver has listed anyway.
+    large = files.where(F.col("length") > document_limit).select("path")
+    paths = [row["path"] for row in large.collect()]
     if paths:
         whole = whole.unionByName(split_documents(spark, spec, paths))
     whole.write.mode("overwrite").option("maxRecordsPerFile", 1).text(target)

@@ -34,6 +34,8 @@ def process_new_snapshots(
     file that arrives late is deduplicated against the earlier files of its
     snapshot, and a batch that is run again after a failure leaves the same rows.
     ``checkpoint`` remembers which files have been seen and must outlive the run.
+    Files are known by name: a file written anew under its old name is no news,
+    while ``land`` gives every file a new name.
     """
     spec = source if isinstance(source, SourceSpec) else lookup(source)
     runs: list[SilverRun] = []

@@ -58,6 +58,17 @@ def test_rolling_mean_by_rows_and_by_days(hospital_rows):
         assert [r["7day_avg_admissions"] for r in out.collect()] == want
 
 
+def test_undated_rows_have_a_calendar_mean_of_their_own(hospital_rows):
+    silver = admissions(hospital_rows, [("bad", 9), ("2024-01-01", 1), ("2024-01-02", 2)])
+    rows, days = (
+        {r["date"]: r["7day_avg_admissions"]
+         for r in hospitalizations_summary(silver, NOW, window=w).collect()}
+        for w in ("rows", "days")
+    )
+    assert rows == {None: 9.0, d("2024-01-01"): 5.0, d("2024-01-02"): 4.0}
+    assert days == {None: 9.0, d("2024-01-01"): 1.0, d("2024-01-02"): 1.5}
+
+
 def test_rolling_mean_covers_seven_rows_and_skips_null(hospital_rows):
     days = [(f"2024-01-{n:02d}", n if n != 5 else None) for n in range(1, 11)]
     out = hospitalizations_summary(admissions(hospital_rows, days), NOW).orderBy("date")

@@ -130,6 +130,16 @@ def test_manifests_written_elsewhere_are_read(spark, tmp_path):
     assert sorted(map(tuple, run_summary(entries).collect())) == [(DAY, 1, 2), ("2024-01-16", 0, 0)]
 
 
+def test_an_empty_drop_does_not_wipe_the_snapshot(spark, tmp_path):
+    drop(tmp_path / "in", HOSPITAL, "a.json", json.dumps(records(2)))
+    os.makedirs(tmp_path / "none" / HOSPITAL)
+    spec, bronze = lookup(HOSPITAL), str(tmp_path / "bronze")
+    land(spark, [spec], str(tmp_path / "in"), bronze, DAY)
+    found = outcome(land(spark, [spec], str(tmp_path / "none"), bronze, DAY))
+    assert found[HOSPITAL][0] == "failed" and "nothing dropped" in found[HOSPITAL][2]
+    assert read_bronze(spark, spec, bronze, DAY).count() == 2
+
+
 def test_status_of_expected_sources(spark):
     expected = spark.createDataFrame([("a",), ("b",)], "source string")
     landed = spark.createDataFrame([("a",), ("a",), ("z",)], "source string")

@@ -35,4 +35,5 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_entry(spark):
-    assert contract.entry(spark).columns[:2] == ["date", "region"]
+    report = contract.entry(spark)
+    assert report.columns[:2] == ["date", "region"] and report.count() > 0

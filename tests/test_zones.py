@@ -293,6 +293,23 @@ def test_zone_is_registered_and_updated_in_place(spark, tmp_path):
     spark.sql("DROP DATABASE terrace_test CASCADE")
 
 
+def test_workspace_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master, applicationId = "yarn", "app"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace(Session())
+    Session.sparkContext.master = "local[2]"
+    assert "/terrace/app/" in workspace(Session())
+
+
 def test_workspace_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = workspace(spark), workspace(spark)
