@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
@@ -25,15 +25,14 @@ log = logging.getLogger(__name__)
 
 
 def out_of_range(column: str, low: Any, high: Any) -> Column:
-    """Not NULL and below ``low`` or above ``high``; NaN is above everything."""
-    c = F.col(column)
-    return c.isNotNull() & ((c < low) | (c > high))
+    """Below ``low`` or above ``high``; NULL for NULL, and NaN is above everything."""
+    return ~F.col(column).between(low, high)
 
 
 def not_allowed(column: str, allowed: Iterable[Any]) -> Column:
-    """Not NULL and not one of ``allowed``."""
-    c = F.col(column)
-    return c.isNotNull() & ~c.isin(list(allowed))
+    """Not NULL and not one of ``allowed``, of which there may be none."""
+    value = F.col(column)
+    return ~value.isin(list(allowed)) & value.isNotNull()
 
 
 # --- checks ---------------------------------------------------------------
@@ -199,25 +198,33 @@ def quality_report(df: DataFrame, source: str, checks: Sequence[Check]) -> DataF
 # --- results on the driver ------------------------------------------------
 
 
-@dataclass
+@dataclass(frozen=True)
 class QualityResult:
+    """The results of a suite, one dict per check."""
+
     source: str
-    passed: bool
-    checks: list[dict] = field(default_factory=list)
-    failed_checks: list[dict] = field(default_factory=list)
+    checks: Sequence[dict]
+
+    @property
+    def failed_checks(self) -> list[dict]:
+        return [c for c in self.checks if not c["passed"]]
+
+    @property
+    def passed(self) -> bool:
+        return not self.failed_checks
 
     def summary(self) -> str:
+        good = sum(c["passed"] for c in self.checks)
         # Fixed value: the wording of the summary line.
-        good = len(self.checks) - len(self.failed_checks)
         return f"[{self.source}] Quality: {good}/{len(self.checks)} checks passed"
 
 
 def run_suite(df: DataFrame, source: str, checks: Sequence[Check]) -> QualityResult:
     """Run all checks in one action.  What comes back is one row per check."""
     found = quality_report(df, source, checks).orderBy("position").collect()
-    results = [_as_dict(row.asDict(), checks[row["position"]]) for row in found]
-    failed = [r for r in results if not r["passed"]]
-    result = QualityResult(source, not failed, results, failed)
+    result = QualityResult(
+        source, [_as_dict(row.asDict(), checks[row["position"]]) for row in found]
+    )
     log.info(result.summary())
     return result
 

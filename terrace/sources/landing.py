@@ -1,10 +1,10 @@
 """Putting dropped raw files into the bronze zone, one snapshot per source and day.
 
 A file up to ``document_limit`` bytes is copied as it is, as one row.  A larger
-one is read with the reader of its format and landed as several documents of
-``RECORDS_PER_DOCUMENT`` records each, so no row grows with the file.  CSV and
-JSON Lines files are split among tasks while doing so; Spark parses a large
-multi-line JSON document in a single task.
+one is cut into several documents of ``RECORDS_PER_DOCUMENT`` records each, so no
+row grows with the file, and the file is split among tasks while doing so.  Only
+a large JSON document that is not a plain array of flat objects has to be parsed
+by Spark in a single task.
 
 Every landed file holds exactly one document, because a multi-line JSON reader
 takes only the first one of a file and a CSV reader skips only the first line.
@@ -78,20 +78,54 @@ def land_source(
 
 def split_documents(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> DataFrame:
     """The records of ``paths`` as documents of a bounded number of records."""
-    opening, separator, closing = "", "\n", ""
     if spec.file_format == "csv":
         rows = spark.read.options(**spec.options).csv(paths)
         header = ",".join('"' + c.replace('"', '""') + '"' for c in rows.columns)
-        opening = header + "\n"
-        record = F.to_csv(F.struct("*"))
-    elif spec.options.get("multiLine") == "true":
-        rows = spark.read.options(**spec.options, primitivesAsString="true").json(paths)
-        opening, separator, closing = "[", ",", "]"
-        record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    else:
-        rows = spark.read.text(paths)
-        record = F.col("value")
-    return documents(rows.select(record.alias("value")), opening, separator, closing)
+        lines = rows.select(F.to_csv(F.struct("*")).alias("value"))
+        return documents(lines, header + "\n", "\n", "")
+    if spec.options.get("multiLine") != "true":
+        return documents(spark.read.text(paths), "", "\n", "")
+    pieces = json_pieces(spark, paths)
+    odd = pieces.where(~F.col("flat")).select("file").distinct()
+    # One row per oversized file that is not a plain array of flat objects.
+    odd_files = [row["file"] for row in odd.collect()]
+    records = pieces.where(~F.col("file").isin(odd_files) & F.col("value").contains("{"))
+    records = records.select(
+        F.concat(F.regexp_replace("value", r"\A[\s,\[]*", ""), F.lit("}")).alias("value")
+    )
+    if odd_files:
+        records = records.unionByName(_parsed_records(spark, spec, paths, odd_files))
+    return documents(records, "[", ",", "]")
+
+
+def json_pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """JSON documents cut after every ``}``: ``file``, ``value`` without it, and ``flat``.
+
+    The text reader cuts large files among tasks at this separator.  A piece is
+    ``flat`` if it is the beginning of one object up to its end, or the rest after the
+    last one.  If all pieces of a file are, no cut fell into a string or a nested
+    object: the first piece starts outside a string and each ends outside one.
+    """
+    without_strings = F.regexp_replace(
+        F.regexp_replace("value", r"\\.", ""), '"[^"]*"', ""
+    )
+    flat = without_strings.rlike(r'\A[\s,\[]*\{[^"{]*\z') | without_strings.rlike(
+        r"\A\s*\]?\s*\z"
+    )
+    return (
+        spark.read.option("lineSep", "}")
+        .text(paths)
+        .select(F.col("_metadata.file_path").alias("file"), "value", flat.alias("flat"))
+    )
+
+
+def _parsed_records(
+    spark: SparkSession, spec: SourceSpec, paths: list[str], files: list[str]
+) -> DataFrame:
+    """Records of ``files`` among ``paths`` as Spark's reader sees them, one task per file."""
+    rows = spark.read.options(**spec.options, primitivesAsString="true").json(paths)
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    return rows.where(F.col("_metadata.file_path").isin(files)).select(record.alias("value"))
 
 
 def documents(

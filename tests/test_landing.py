@@ -3,6 +3,8 @@ import os
 from dataclasses import replace
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from terrace import lookup
@@ -151,3 +153,49 @@ def test_status_of_expected_sources(spark):
 
 def test_result_columns():
     assert RESULT.fieldNames() == ["source", "status", "key", "error"]
+
+
+TRICKY = [
+    {"DATE": DAY, "PROVINCE": 'a "quoted" } brace', "N": 1},
+    {"DATE": DAY, "PROVINCE": "back\\slash \\} and { too", "N": 2},
+    {"DATE": DAY, "PROVINCE": "], [", "N": 3, "TAGS": [1, 2]},
+    {"DATE": None, "PROVINCE": "", "N": 4},
+]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_flat_documents_are_cut_without_parsing(spark, tmp_path, indent):
+    plain = [{"DATE": DAY, "PROVINCE": 'a "q" [x], \\', "N": i, "TAGS": [1, 2]} for i in range(50)]
+    drop(tmp_path, "x", "flat.json", json.dumps(plain, indent=indent))
+    pieces = landing.json_pieces(spark, [str(tmp_path / "x")])
+    assert pieces.where("NOT flat").count() == 0
+    docs = landing.split_documents(spark, lookup(HOSPITAL), [str(tmp_path / "x/flat.json")])
+    assert [r for d in docs.collect() for r in json.loads(d["value"])] == plain
+
+
+@pytest.mark.parametrize("records", [TRICKY, [{"a": {"b": 1}}, {"a": {"b": 2}}]])
+def test_braces_in_strings_and_nested_objects_are_noticed(spark, tmp_path, records):
+    drop(tmp_path, "x", "odd.json", json.dumps(records))
+    drop(tmp_path, "x", "flat.json", json.dumps([{"N": 7}]))
+    pieces = landing.json_pieces(spark, [str(tmp_path / "x")])
+    odd = {os.path.basename(r["file"]) for r in pieces.where("NOT flat").collect()}
+    assert odd == {"odd.json"}
+    paths = [str(tmp_path / "x" / n) for n in ("odd.json", "flat.json")]
+    docs = landing.split_documents(spark, lookup(HOSPITAL), paths)
+    got = [r for d in docs.collect() for r in json.loads(d["value"])]
+    assert len(got) == len(records) + 1
+    if records is TRICKY:
+        provinces = {r.get("PROVINCE") for r in got}
+        assert provinces == {r["PROVINCE"] for r in TRICKY} | {None}
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dictionaries(st.text('ab"\\', max_size=3), st.one_of(
+    st.text('ab"\\{}[], \n', max_size=6), st.integers(0, 9), st.none()), max_size=3), max_size=6))
+def test_documents_taken_as_flat_are_cut_right(spark, tmp_path_factory, records):
+    folder = tmp_path_factory.mktemp("docs")
+    (folder / "doc.json").write_text(json.dumps(records, indent=1))
+    pieces = landing.json_pieces(spark, [str(folder)])
+    if pieces.where("NOT flat").count() == 0:
+        kept = [r["value"] + "}" for r in pieces.collect() if "{" in r["value"]]
+        assert [json.loads(v.lstrip("[, \n")) for v in kept] == records

@@ -158,4 +158,4 @@ def test_no_checks_is_an_error(tidy):
 
 
 def test_summary_of_an_empty_result():
-    assert QualityResult("x", True).summary() == "[x] Quality: 0/0 checks passed"
+    assert QualityResult("x", []).summary() == "[x] Quality: 0/0 checks passed"
