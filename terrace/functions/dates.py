@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-AsOf = "dt.date | str | Column | None"
+AsOf = dt.date | str | Column | None
 
 
 def _day(as_of: AsOf) -> Column:

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace import lookup
+from terrace import SourceSpec, lookup
 from terrace.functions import iso_date, silver_name, silver_names, whole_number
 from terrace.operators.cleaning import (
     add_metadata,
@@ -18,6 +18,7 @@ from terrace.operators.cleaning import (
     drop_undated,
     normalize_columns,
 )
+from terrace.registry import fields
 
 
 def values(df, column):
@@ -140,6 +141,20 @@ def test_cleaning_shuffles_once_and_merges_copies_before(untidy):
     assert plan.count("HashAggregate") == 2
 
 
+def test_one_normaliser_for_data_and_registry(spark):
+    spec = SourceSpec("t", fields(text="Report-Date", whole="NEW-IN"), date_column="report_date")
+    df = spark.createDataFrame([("2024-01-15", "7")], ["Report-Date", "NEW-IN"])
+    out = clean(df, spec, "2024-01-15", "now")
+    assert out.dtypes[:2] == [("report_date", "string"), ("new_in", "int")]
+    assert out.first()["new_in"] == 7
+
+
+def test_format_and_date_column_come_from_the_registry():
+    world = lookup("who/global_covid")
+    assert (world.file_format, world.date_column) == ("csv", "date_reported")
+    assert lookup("sciensano/covid_vaccinations").date_column == "date"
+
+
 def test_unknown_source_is_named():
     with pytest.raises(ValueError, match="sciensano/covid_mortality"):
         lookup("sciensano/covid_mortality")

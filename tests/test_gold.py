@@ -233,6 +233,18 @@ def test_icu_trend_bound_order_and_rounding(spark, hospital_rows):
     assert out[0]["avg_daily_admissions_7d"] == 5.5
 
 
+def test_gold_is_open_to_sql(spark, tidy):
+    hospitalizations_summary(tidy, NOW).createOrReplaceTempView("be_hospitalizations_summary")
+    got = spark.sql(
+        "SELECT region, round(7day_avg_admissions, 1) FROM be_hospitalizations_summary "
+        "WHERE date >= date_add(date '2024-02-01', -30) "
+        "AND date >= add_months(date '2024-02-01', -3) ORDER BY date DESC, region"
+    )
+    assert [tuple(r) for r in got.collect()] == [
+        ("Brussels", 10.0), ("Flanders", 43.0), ("Wallonia", 12.0),
+    ]
+
+
 def test_icu_trend_defaults_to_today(spark):
     gold = spark.range(1).select(
         F.current_date().alias("date"), F.lit("F").alias("region"),

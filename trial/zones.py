@@ -286,9 +286,12 @@ SILVER_SQL = f"""
 
 
 def _silver(spark: SparkSession, sf: str) -> str:
-    """All snapshots of the events cleaned; the path of the silver zone."""
-    silver = workspace(spark)
-    backfill_silver(spark, EVENTS, bronze_events(spark, sf), silver, PROCESSED_AT)
+    """All snapshots of the events cleaned; the path of the silver zone.
+
+    The files hold registered fields only, so one pass over them will do.
+    """
+    silver, bronze = workspace(spark), bronze_events(spark, sf)
+    backfill_silver(spark, EVENTS, bronze, silver, PROCESSED_AT, declared=True)
     return silver
 
 
@@ -363,8 +366,9 @@ def incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
     early = (F.col("run_date") < "2024-01-16") & (F.col("REGION") != "error")
     for part in (raw.where(early), raw.where(~early)):
         write_json_snapshots(part, bronze, EVENTS.name)
+        seen = f"{base}/checkpoint"
         process_new_snapshots(
-            spark, EVENTS, bronze, silver, f"{base}/checkpoint", PROCESSED_AT
+            spark, EVENTS, bronze, silver, seen, PROCESSED_AT, declared=True
         )
     return read_silver(spark, silver, EVENTS.name, "all")
 
