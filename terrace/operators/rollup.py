@@ -24,32 +24,29 @@ def daily_totals(
     *,
     sums: Mapping[str, str] | None = None,
     maxima: Mapping[str, str] | None = None,
-    series_keys: Sequence[str] | None = None,
+    parse_groups: bool = False,
 ) -> DataFrame:
     """Sums and maxima by date and ``keys``; mappings go from result to input column.
 
     ``date`` may be a DATE or ISO text.  Text is parsed to DATE in one of two
-    ways, with the same rows as result:
-
-    * ``series_keys`` given (a window over these follows): rows are grouped by
-      the text first, so each text is parsed once per group and not once per
-      row.  The groups are then placed by ``series_keys``, which serves both the
-      regrouping under the parsed date and the window, so there are as many
-      shuffles as without parsing.
-    * otherwise it is parsed row by row ahead of the only shuffle.
+    ways, with the same rows as result: row by row ahead of the only shuffle, or,
+    with ``parse_groups``, once per group.  In that case rows are grouped by the
+    text first and the groups again by the date, which is worth its extra shuffle
+    if many rows share a group.  Both groupings merge within a task before they
+    shuffle, so texts that are no dates, however many and different, come
+    together in the NULL group without meeting in one task.
     """
     sums, maxima = dict(sums or {}), dict(maxima or {})
     first = _measures(sums, maxima)
     if not isinstance(df.schema[date].dataType, T.StringType):
         return df.groupBy(date, *keys).agg(*first)
-    if series_keys is None:
+    if not parse_groups:
         return df.withColumn(date, iso_date(F.col(date))).groupBy(date, *keys).agg(*first)
     again = _measures({a: a for a in sums}, {a: a for a in maxima})
     return (
         df.groupBy(date, *keys)
         .agg(*first)
         .withColumn(date, iso_date(F.col(date)))
-        .repartition(*series_keys)
         .groupBy(date, *keys)
         .agg(*again)
     )

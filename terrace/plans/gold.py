@@ -49,7 +49,7 @@ def hospitalizations_summary(
             "new_discharges": "new_out",
         },
         maxima={INGESTED: INGESTED} if INGESTED in silver.columns else None,
-        series_keys=["region"],
+        parse_groups=True,
     )
     series = mean(totals, "new_admissions", "7day_avg_admissions", by=["region"], date="date")
     rated = series.withColumn(
@@ -65,7 +65,7 @@ def vaccination_coverage(silver: DataFrame, processed_at: str) -> DataFrame:
     """Doses per day and their running total by region, age group and dose."""
     series = ["region", "agegroup", "dose"]
     totals = daily_totals(
-        silver, "date", series, sums={"doses_administered": "count"}, series_keys=series
+        silver, "date", series, sums={"doses_administered": "count"}, parse_groups=True
     )
     totalled = running_total(
         totals, "doses_administered", "cumulative_doses", by=series, date="date"

@@ -99,13 +99,15 @@ def test_unparseable_dates_form_one_null_group(hospital_rows):
     assert out == {None: 3, d("2024-01-01"): 4}
 
 
-def test_parsing_after_grouping_costs_no_extra_shuffle(spark, tidy, tmp_path):
+def test_dates_are_parsed_after_grouping_and_little_is_read(spark, tidy, tmp_path):
     tidy.write.parquet(str(tmp_path / "s"))
     plan = (
         hospitalizations_summary(spark.read.parquet(str(tmp_path / "s")), NOW)
         ._jdf.queryExecution().executedPlan().toString()
     )
-    assert plan.count("Exchange") == 2
+    # By date text, by date, and by region for the window.
+    assert plan.count("Exchange") == 3
+    assert plan.count("HashAggregate") == 4
     read = plan[plan.index("ReadSchema"):]
     assert "province" not in read and "total_in_icu" in read
 
@@ -199,6 +201,19 @@ def test_gold_equals_brute_force(hospital_rows):
         assert row[2] == pytest.approx(want[key][2])
 
 
+def test_countless_texts_that_are_no_dates_merge(spark):
+    silver = spark.range(0, 20_000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, "2024-01-01")
+        .otherwise(F.concat(F.lit("2024-01-01T00:00:"), "id")).alias("date"),
+        *(F.lit(v).alias(n) for n, v in (("province", "p"), ("region", "F"))),
+        *(F.lit(1).alias(n) for n in ("total_in", "total_in_icu", "new_in", "new_out")),
+    )
+    out = hospitalizations_summary(silver, NOW).orderBy("date").collect()
+    assert [(r["date"], r["total_hospitalized"]) for r in out] == [
+        (None, 13_333), (d("2024-01-01"), 6_667),
+    ]
+
+
 def test_both_ways_of_parsing_agree(hospital_rows):
     rng = random.Random(5)
     df = hospital_rows([
@@ -208,7 +223,7 @@ def test_both_ways_of_parsing_agree(hospital_rows):
     plain = daily_totals(df, "date", ["region"], sums={"t": "total_in"}, maxima={"m": "total_in"})
     placed = daily_totals(
         df, "date", ["region"], sums={"t": "total_in"}, maxima={"m": "total_in"},
-        series_keys=["region"],
+        parse_groups=True,
     )
     assert sorted(map(str, plain.collect())) == sorted(map(str, placed.collect()))
 
