@@ -86,15 +86,22 @@ def split_documents(spark: SparkSession, spec: SourceSpec, paths: list[str]) ->
     if spec.options.get("multiLine") != "true":
         return documents(spark.read.text(paths), "", "\n", "")
     pieces = json_pieces(spark, paths)
-    odd = pieces.where(~F.col("flat")).select("file").distinct()
-    # One row per oversized file that is not a plain array of flat objects.
-    odd_files = [row["file"] for row in odd.collect()]
-    records = pieces.where(~F.col("file").isin(odd_files) & F.col("value").contains("{"))
-    records = records.select(
-        F.concat(F.regexp_replace("value", r"\A[\s,\[]*", ""), F.lit("}")).alias("value")
+    listed = (
+        spark.read.format("binaryFile")
+        .load(paths)
+        .select("path", F.col("_metadata.file_path").alias("file"))
     )
-    if odd_files:
-        records = records.unionByName(_parsed_records(spark, spec, paths, odd_files))
+    # One row per oversized file that is not a plain array of flat objects.
+    odd = listed.join(pieces.where(~F.col("flat")), "file", "left_semi").collect()
+    flat = pieces.where(~F.col("file").isin([row["file"] for row in odd]))
+    record = F.concat(F.regexp_replace("value", r"\A[\s,\[]*", ""), F.lit("}"))
+    records = flat.where(F.col("value").contains("{")).select(record.alias("value"))
+    if odd:
+        # As Spark's own reader sees them, one task per file.
+        reader = spark.read.options(**spec.options, primitivesAsString="true")
+        parsed = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
+        rows = reader.json([row["path"] for row in odd])
+        records = records.unionByName(rows.select(parsed))
     return documents(records, "[", ",", "]")
 
 
@@ -119,15 +126,6 @@ def json_pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def _parsed_records(
-    spark: SparkSession, spec: SourceSpec, paths: list[str], files: list[str]
-) -> DataFrame:
-    """Records of ``files`` among ``paths`` as Spark's reader sees them, one task per file."""
-    rows = spark.read.options(**spec.options, primitivesAsString="true").json(paths)
-    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    return rows.where(F.col("_metadata.file_path").isin(files)).select(record.alias("value"))
-
-
 def documents(
     records: DataFrame, opening: str, separator: str, closing: str, *, by: Sequence[str] = ()
 ) -> DataFrame:

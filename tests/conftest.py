@@ -27,7 +27,10 @@ def spark(tmp_path_factory):
     return session
 
 
-HOSPITAL = "date string, province string, region string, total_in int, total_in_icu int, new_in int, new_out int"
+HOSPITAL = (
+    "date string, province string, region string, "
+    "total_in int, total_in_icu int, new_in int, new_out int"
+)
 
 
 @pytest.fixture(scope="session")

@@ -146,7 +146,10 @@ def test_total_doses_equal_the_final_running_total(spark):
     assert out.where("s <> m").count() == 0
 
 
-CASES = "date_reported string, country_code string, country string, who_region string, new_cases int, cumulative_cases int, new_deaths int, cumulative_deaths int"
+CASES = (
+    "date_reported string, country_code string, country string, who_region string, "
+    "new_cases int, cumulative_cases int, new_deaths int, cumulative_deaths int"
+)
 
 
 def test_fatality_rate(spark):
@@ -180,7 +183,10 @@ def test_gold_equals_brute_force(hospital_rows):
         groups[(row[2], day)].append(row)
     want = {}
     for region in {r for r, _ in groups}:
-        days = sorted((k[1] for k in groups if k[0] == region), key=lambda x: (x is not None, x or d("0001-01-01")))
+        days = sorted(
+            (day for key, day in groups if key == region),
+            key=lambda x: (x is not None, x or d("0001-01-01")),
+        )
         sums = []
         for day in days:
             new = [r[5] for r in groups[(region, day)] if r[5] is not None]

@@ -39,6 +39,7 @@ from trial.standins import (
     PROCESSED_AT,
     RAW_EVENTS_SQL,
     RAW_TEXT_SQL,
+    day_text,
     global_covid,
     hospitalizations,
     raw_events,
@@ -218,7 +219,7 @@ def _run_results(spark: SparkSession, sf: str) -> DataFrame:
     key = F.concat_ws("/", "run_date", "source")
     return (
         table(spark, sf, "events")
-        .groupBy(day("ts").alias("run_date"), F.col("event_type").alias("source"))
+        .groupBy(day_text("ts").alias("run_date"), F.col("event_type").alias("source"))
         .agg(F.when(failed, "failed").otherwise("success").alias("status"))
         .select(
             "run_date",
@@ -232,10 +233,6 @@ def _run_results(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def day(column: str):
-    return F.col(column).cast("date").cast("string")
-
-
 RUN_RESULTS_SQL = """
     SELECT run_date, run_date || 'T02:00:00' AS run_timestamp, 'trial' AS env, source, status,
            CASE WHEN status = 'success' THEN run_date || '/' || source END AS key,
