@@ -51,7 +51,7 @@ def drop_expired_partitions(spark: SparkSession, table: str, as_of: AsOf, days:
         *(F.regexp_extract("partition", rf"{c}=(\d+)", 1).alias(c) for c in SNAPSHOT)
     )
     # One short row per expired snapshot, that is, per past day.
-    expired = parts.where(~within_retention(as_of, days)).collect()
+    expired = parts.where("year <> '' AND month <> '' AND day <> ''").where(~within_retention(as_of, days)).collect()
     if expired:
         specs = ", ".join(
             "PARTITION (" + ", ".join(f"{c}='{row[c]}'" for c in SNAPSHOT) + ")"

@@ -39,7 +39,8 @@ class SourceSpec:
 JSON_DOCUMENTS = {"multiLine": "true"}
 #: One JSON value per line; such files can be split among tasks.
 JSON_LINES = {"multiLine": "false"}
-CSV_WITH_HEADER = {"header": "true"}
+#: Names from the header line; a file whose header differs from its companions' is an error.
+CSV_WITH_HEADER = {"header": "true", "enforceSchema": "false"}
 
 
 def fields(*, text: str, whole: str = "") -> T.StructType:

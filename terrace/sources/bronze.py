@@ -3,32 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.layout import run_days, snapshot_dir, source_dir
+from terrace.layout import SNAPSHOT, run_days, snapshot_dir, source_dir
 from terrace.registry import SourceSpec
+from terrace.sources.files import snapshots_newest_first
 
 CORRUPT = "_corrupt_record"
 
 
-def _reader(
-    spark: SparkSession, spec: SourceSpec, *, declared: bool, corrupt: bool
-) -> DataFrameReader:
-    reader = spark.read.format(spec.file_format).options(**spec.options)
-    if spec.file_format == "json":
-        # Names are taken from the data, values stay text whatever they look like.
-        reader = reader.option("primitivesAsString", "true")
-    if declared:
-        schema = spec.as_text
-        if corrupt:
-            schema = T.StructType(schema.fields).add(CORRUPT, T.StringType())
-        reader = reader.schema(schema).option("mode", "PERMISSIVE")
-    return reader
-
-
 def read_bronze(
     spark: SparkSession,
     spec: SourceSpec,
@@ -45,14 +35,68 @@ def read_bronze(
 
     By default the columns are those found in the files: unregistered ones are
     kept and registered ones that are missing are not made up.  For JSON this
-    costs a pass over the files.  ``declared`` reads exactly the registered
-    fields in a single pass; ``corrupt`` then adds a column with the text of
+    costs a pass over the files.  ``declared`` gives exactly the registered
+    fields, in a single pass; ``corrupt`` then adds a column with the text of
     records that could not be parsed.
     """
     base = source_dir(root, spec.name)
-    if run_dates is None:
-        paths = [base]
-    else:
-        paths = [snapshot_dir(root, spec.name, d) for d in run_days(run_dates)]
-    reader = _reader(spark, spec, declared=declared, corrupt=corrupt)
-    return reader.option("basePath", base).load(paths)
+    days = None if run_dates is None else run_days(run_dates)
+    if spec.file_format == "csv":
+        if days is None:
+            days = list(snapshots_newest_first(spark, base))
+        paths = [snapshot_dir(root, spec.name, d) for d in days]
+        return _read_csv(spark, spec, base, paths, declared, declared and corrupt)
+
+    # Names are taken from the data or the registry, values stay text either way.
+    reader = spark.read.format(spec.file_format).options(**spec.options)
+    reader = reader.option("primitivesAsString", "true").option("basePath", base)
+    if declared:
+        reader = reader.schema(_with_corrupt(spec.as_text, corrupt))
+    paths = [base] if days is None else [snapshot_dir(root, spec.name, d) for d in days]
+    return reader.load(paths)
+
+
+def _with_corrupt(schema: T.StructType, corrupt: bool) -> T.StructType:
+    extra = [T.StructField(CORRUPT, T.StringType(), True)] if corrupt else []
+    return T.StructType(schema.fields + extra)
+
+
+def _read_csv(
+    spark: SparkSession,
+    spec: SourceSpec,
+    base: str,
+    paths: Sequence[str],
+    declared: bool,
+    corrupt: bool,
+) -> DataFrame:
+    """CSV snapshots by the names in their headers, which may change between snapshots.
+
+    Spark takes the header of one file for all it reads, so snapshots are read in
+    groups with the same header.  The headers are one line per snapshot.
+    """
+    header = partial(_header, spark, spec)
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        for path, names in zip(paths, pool.map(header, paths)):
+            groups[names].append(path)
+    frames = []
+    for names, alike in groups.items():
+        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        reader = spark.read.options(**spec.options).option("basePath", base)
+        frames.append(reader.schema(_with_corrupt(schema, corrupt)).csv(alike))
+    if not frames:
+        return spark.read.csv(base)
+    rows = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), frames)
+    if not declared:
+        return rows
+    present = {n.lower(): n for n in rows.columns}
+    wanted = [
+        (F.col(f"`{present[n.lower()]}`") if n.lower() in present else F.lit(None).cast("string"))
+        .alias(n)
+        for n in _with_corrupt(spec.as_text, corrupt).names
+    ]
+    return rows.select(*wanted, *SNAPSHOT)
+
+
+def _header(spark: SparkSession, spec: SourceSpec, path: str) -> tuple[str, ...]:
+    return tuple(spark.read.options(**spec.options).csv(path).columns)

@@ -115,6 +115,32 @@ def test_csv_with_few_columns(spark, tmp_path):
     assert silver.columns[:2] == ["date_reported", "country"] and "new_cases" not in silver.columns
 
 
+def test_csv_headers_may_change_between_snapshots(spark, tmp_path):
+    put(tmp_path, WORLD, "2024-01-15", "a.csv", "Date_reported,Country,New_cases\n2024-01-15,B,1\n")
+    put(tmp_path, WORLD, "2024-01-16", "a.csv", "New_cases,Date_reported,Note\n2,2024-01-16,n\n")
+    put(tmp_path, WORLD, "2024-01-17", "a.csv", "Date_reported,Country,New_cases\n2024-01-17,L,3\n")
+    spec = lookup(WORLD)
+    rows = read_bronze(spark, spec, str(tmp_path))
+    columns = ["day", "Date_reported", "Country", "New_cases", "Note"]
+    assert sorted(tuple(r) for r in rows.select(columns).collect()) == [
+        (15, "2024-01-15", "B", "1", None),
+        (16, "2024-01-16", None, "2", "n"),
+        (17, "2024-01-17", "L", "3", None),
+    ]
+    declared = read_bronze(spark, spec, str(tmp_path), declared=True, corrupt=True)
+    assert declared.columns == [*spec.schema.names, "_corrupt_record", "year", "month", "day"]
+    assert sorted(r["New_cases"] for r in declared.collect()) == ["1", "2", "3"]
+    run = backfill_silver(spark, WORLD, str(tmp_path), str(tmp_path / "s"), NOW)
+    assert (run.rows_read, run.rows_written) == (3, 3)
+
+
+def test_csv_headers_that_differ_within_a_snapshot_are_an_error(spark, tmp_path):
+    put(tmp_path, WORLD, "2024-01-15", "a.csv", "Date_reported,Country\n2024-01-15,B\n")
+    put(tmp_path, WORLD, "2024-01-15", "b.csv", "Country,Date_reported\nB,2024-01-15\n")
+    with pytest.raises(Exception, match="header"):
+        read_bronze(spark, lookup(WORLD), str(tmp_path), "2024-01-15").collect()
+
+
 def test_one_run_date_reads_only_its_directory(spark, tmp_path):
     put_hospital(tmp_path, "2024-01-15", hospital())
     put_hospital(tmp_path, "2024-01-16", hospital(), hospital(province="x"))
@@ -285,6 +311,8 @@ def test_zone_is_registered_and_updated_in_place(spark, tmp_path):
     extra = spark.sql("SELECT extra FROM terrace_test.summary ORDER BY n, extra NULLS FIRST")
     assert [r[0] for r in extra.collect()] == [None, None, "x"]
 
+    assert [r["date"] for r in latest_only(spark.table("terrace_test.cases")).collect()] == ["c"]
+    assert keep_recent(spark.table("terrace_test.cases"), "2024-02-01", 20).count() == 2
     assert drop_expired_partitions(spark, "terrace_test.cases", "2024-02-01", 20) == 1
     assert sorted(r["date"] for r in spark.table("terrace_test.cases").collect()) == [
         "2024-01-15", "c",
