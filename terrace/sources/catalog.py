@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.layout import SNAPSHOT
+from terrace.operators.snapshots import RETENTION_DAYS
 from terrace.sources.files import files_under, relative
 
 log = logging.getLogger(__name__)
@@ -67,6 +69,17 @@ def register_zone(
     return names
 
 
+def create_retained_view(
+    spark: SparkSession, view: str, table: str, days: int = RETENTION_DAYS["silver"]
+) -> None:
+    """A view of the snapshots of ``table`` that are within retention on the day it is read."""
+    snapshot = ", ".join(f"CAST({c} AS INT)" for c in SNAPSHOT)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table} "
+        f"WHERE make_date({snapshot}) >= date_sub(current_date(), {int(days)})"
+    )
+
+
 def _register(
     spark: SparkSession, table: str, path: str, keys: list[str], merge_schema: bool
 ) -> None:

@@ -134,6 +134,34 @@ def test_untidy_rows_cleaned(untidy):
     assert sorted(r["province"] for r in rows) == ["Antwerp", "Brussels"]
 
 
+RAW_ROWS = st.lists(
+    st.fixed_dictionaries({
+        "DATE": st.sampled_from(["2024-01-15", "2024-01-16", "2024-02-30", "", None]),
+        "REGION": st.sampled_from(["F", "W", None]),
+        "NEW_IN": st.sampled_from(["8", " 8", "8.0", "8.9", "n/a", "1e3", "3000000000", "-2", None]),
+        "Note-1": st.sampled_from(["x", "X", None]),
+    }),
+    max_size=60,
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(RAW_ROWS, st.booleans())
+def test_cleaning_equals_brute_force(spark, raw, strict):
+    spec = lookup("sciensano/covid_hospitalizations")
+    good = {"2024-01-15", "2024-01-16"} if strict else {"2024-01-15", "2024-01-16", "2024-02-30", ""}
+    want = {
+        (r["DATE"], r["REGION"], None if r["NEW_IN"] is None else truncated(r["NEW_IN"]), r["Note-1"])
+        for r in raw if r["DATE"] in good
+    }
+    names = ("DATE", "REGION", "NEW_IN", "Note-1")
+    schema = ", ".join(f"`{n}` string" for n in names)
+    df = spark.createDataFrame([tuple(r[n] for n in names) for r in raw], schema)
+    out = clean(df, spec, "2024-01-17", "now", strict_dates=strict)
+    got = [tuple(r) for r in out.select("date", "region", "new_in", "note_1").collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_cleaning_shuffles_once_and_merges_copies_before(untidy):
     spec = lookup("sciensano/covid_hospitalizations")
     plan = clean(untidy, spec, "2024-01-15", "now")._jdf.queryExecution().executedPlan().toString()

@@ -18,7 +18,7 @@ from terrace.plans.gold import GOLD_TABLES, build_gold
 from terrace.plans.reports import coverage_by_group
 from terrace.plans.silver import backfill_silver, build_silver
 from terrace.sources.bronze import read_bronze
-from terrace.sources.catalog import discover_tables, register_zone
+from terrace.sources.catalog import create_retained_view, discover_tables, register_zone
 from terrace.sources.gold import read_gold, write_gold
 from terrace.sources.silver import read_silver, write_silver
 
@@ -321,6 +321,20 @@ def test_zone_is_registered_and_updated_in_place(spark, tmp_path):
     spark.sql("DROP DATABASE terrace_test CASCADE")
 
 
+def test_retained_view_moves_with_the_day(spark, tmp_path):
+    today = dt.datetime.now(dt.UTC).date()
+    for age in (0, 29, 31):
+        frame = spark.createDataFrame([(age,)], "age int")
+        write_silver(frame, str(tmp_path), "cases", today - dt.timedelta(age))
+    register_zone(spark, "retained_test", str(tmp_path))
+    create_retained_view(spark, "retained_test.recent", "retained_test.cases", 30)
+    recent = spark.table("retained_test.recent")
+    assert sorted(r["age"] for r in recent.collect()) == [0, 29]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InMemoryFileIndex(2 paths)") == 1
+    spark.sql("DROP DATABASE retained_test CASCADE")
+
+
 def test_workspace_needs_a_shared_folder_on_a_cluster():
     class Conf:
         def get(self, key, default):
