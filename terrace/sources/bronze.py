@@ -78,14 +78,15 @@ def _read_csv(
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     with ThreadPoolExecutor(max_workers=8) as pool:
         for path, names in zip(paths, pool.map(header, paths)):
-            groups[names].append(path)
+            if names:
+                groups[names].append(path)
     frames = []
     for names, alike in groups.items():
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
         reader = spark.read.options(**spec.options).option("basePath", base)
         frames.append(reader.schema(_with_corrupt(schema, corrupt)).csv(alike))
     if not frames:
-        return spark.read.csv(base)
+        raise FileNotFoundError(f"no CSV snapshot with a header under {base}")
     rows = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), frames)
     if not declared:
         return rows

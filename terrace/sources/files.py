@@ -26,7 +26,7 @@ def files_under(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 def snapshots_newest_first(
     spark: SparkSession, source_path: str, suffix: str = ""
 ) -> Iterator[dt.date]:
-    """Snapshot directories that hold a file ending in ``suffix``, the newest first.
+    """Snapshots that hold a visible file ending in ``suffix``, the newest first.
 
     Lists directories only as far as the caller goes on, so finding the newest
     snapshot does not touch the others.
@@ -47,7 +47,8 @@ def snapshots_newest_first(
     for year, year_path in newest_first(path, "year"):
         for month, month_path in newest_first(year_path, "month"):
             for day, day_path in newest_first(month_path, "day"):
-                if any(name.endswith(suffix) for name in below(day_path)):
+                files = (n for n in below(day_path) if not n.startswith(("_", ".")))
+                if any(n.endswith(suffix) for n in files):
                     yield dt.date(year, month, day)
 
 

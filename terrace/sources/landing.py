@@ -28,7 +28,8 @@ from terrace.sources.files import files_under
 log = logging.getLogger(__name__)
 
 DOCUMENT_LIMIT = 64 * 1024 * 1024
-RECORDS_PER_DOCUMENT = 1 << 16
+#: Some tens of megabytes of flat records.
+RECORDS_PER_DOCUMENT = 1 << 18
 
 RESULT = T.StructType(
     [T.StructField(n, T.StringType(), True) for n in ("source", "status", "key", "error")]

@@ -134,6 +134,16 @@ def test_csv_headers_may_change_between_snapshots(spark, tmp_path):
     assert (run.rows_read, run.rows_written) == (3, 3)
 
 
+def test_csv_snapshots_without_a_header_have_no_rows(spark, tmp_path):
+    put(tmp_path, WORLD, "2024-01-15", "a.csv", "")
+    put(tmp_path, WORLD, "2024-01-16", "a.csv", "Date_reported,Country\n2024-01-16,B\n")
+    put(tmp_path, WORLD, "2024-01-17", "_SUCCESS", "")
+    spec = lookup(WORLD)
+    assert [r["day"] for r in read_bronze(spark, spec, str(tmp_path)).collect()] == [16]
+    with pytest.raises(FileNotFoundError, match="who/global_covid"):
+        read_bronze(spark, spec, str(tmp_path), "2024-01-15")
+
+
 def test_csv_headers_that_differ_within_a_snapshot_are_an_error(spark, tmp_path):
     put(tmp_path, WORLD, "2024-01-15", "a.csv", "Date_reported,Country\n2024-01-15,B\n")
     put(tmp_path, WORLD, "2024-01-15", "b.csv", "Country,Date_reported\nB,2024-01-15\n")
