@@ -19,6 +19,7 @@ from terrace.plans.silver import backfill_silver, build_silver
 from terrace.registry import JSON_LINES
 from terrace.sources.bronze import read_bronze
 from terrace.sources.catalog import register_zone
+from terrace.sources.files import snapshots_newest_first
 from terrace.sources.gold import read_gold, write_gold
 from terrace.sources.landing import documents, land, landing_status, missing_sources
 from terrace.sources.manifests import (
@@ -258,16 +259,25 @@ def manifest_summary(spark: SparkSession, sf: str) -> DataFrame:
     return run_summary(manifest_entries(read_manifests(spark, bronze)))
 
 
-@query(f"""
+@query("""
     SELECT '2024-01-31' AS run_date, '2024-01-31T02:00:00' AS run_timestamp, 'dev' AS env,
-           source, status, key, error
-    FROM ({RUN_RESULTS_SQL}) WHERE run_date = '2024-01-15'""")
+           'user/' || user_id AS source,
+           CASE WHEN max(value) < 100 THEN 'failed' ELSE 'success' END AS status,
+           CASE WHEN max(value) >= 100 THEN 'events/' || count(*) END AS key,
+           CASE WHEN max(value) < 100 THEN 'values too small' END AS error
+    FROM events GROUP BY user_id""")
 def manifest_of_one_run(spark: SparkSession, sf: str) -> DataFrame:
+    """One run with a source per user, over all events."""
     bronze = workspace(spark)
+    small = F.max("value") < 100
     results = (
-        _run_results(spark, sf)
-        .where("run_date = '2024-01-15'")
-        .select("source", "status", "key", "error")
+        table(spark, sf, "events")
+        .groupBy(F.concat(F.lit("user/"), "user_id").alias("source"))
+        .agg(
+            F.when(small, "failed").otherwise("success").alias("status"),
+            F.when(~small, F.concat(F.lit("events/"), F.count(F.lit(1)))).alias("key"),
+            F.when(small, "values too small").alias("error"),
+        )
     )
     write_manifest(results, bronze, "2024-01-31", "2024-01-31T02:00:00")
     return manifest_entries(read_manifests(spark, bronze))
@@ -341,19 +351,31 @@ def retention_expired(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT '{EVENTS.name}' AS source, (SELECT count(*) FROM ({RAW_TEXT_SQL}) WHERE day = 15)
-               AS rows_read,
-           (SELECT count(*) FROM ({SILVER_SQL}) WHERE day = 15) AS rows_written""")
+    SELECT '{EVENTS.name}' AS source, (SELECT count(*) FROM ({RAW_TEXT_SQL})) AS rows_read,
+           (SELECT count(*) FROM ({SILVER_SQL})) AS rows_written""")
 def row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows in and out of one silver snapshot, as counted by the job that wrote it."""
+    """Rows read and written by the cleaning of all snapshots, as counted by that job."""
     bronze = bronze_events(spark, sf)
-    run = build_silver(spark, EVENTS, "2024-01-15", bronze, workspace(spark), PROCESSED_AT)
+    run = backfill_silver(
+        spark, EVENTS, bronze, workspace(spark), PROCESSED_AT, declared=True
+    )
     return spark.createDataFrame(
         [(run.source, run.rows_read, run.rows_written)],
         "source string, rows_read bigint, rows_written bigint",
     )
 
 
+@query(f"""
+    SELECT * FROM ({SILVER_SQL})
+    WHERE (year, month, day) = (SELECT max((year, month, day)) FROM ({SILVER_SQL}))""")
+def silver_daily_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest raw snapshot cleaned and written on its own, as a daily run does."""
+    bronze, silver = bronze_events(spark, sf), workspace(spark)
+    newest = next(snapshots_newest_first(spark, source_dir(bronze, EVENTS.name)))
+    build_silver(spark, EVENTS, newest, bronze, silver, PROCESSED_AT)
+    return read_silver(spark, silver, EVENTS.name)
+
+
 @query(SILVER_SQL)
 def incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
     """Two landings, the second with late files for old days, and a run after each."""
