@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections import defaultdict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from pyspark.sql import types as T
 
 from terrace.layout import SNAPSHOT, run_days, snapshot_dir, source_dir
 from terrace.registry import SourceSpec
-from terrace.sources.files import snapshots_newest_first
+from terrace.sources.files import first_lines, snapshots_newest_first
 
 CORRUPT = "_corrupt_record"
 
@@ -42,10 +41,11 @@ def read_bronze(
     base = source_dir(root, spec.name)
     days = None if run_dates is None else run_days(run_dates)
     if spec.file_format == "csv":
-        if days is None:
-            days = list(snapshots_newest_first(spark, base))
+        whole = days is None
+        if whole:
+            days = snapshots_newest_first(spark, base)
         paths = [snapshot_dir(root, spec.name, d) for d in days]
-        return _read_csv(spark, spec, base, paths, declared, declared and corrupt)
+        return _read_csv(spark, spec, base, paths, whole, declared, declared and corrupt)
 
     # Names are taken from the data or the registry, values stay text either way.
     reader = spark.read.format(spec.file_format).options(**spec.options)
@@ -66,25 +66,31 @@ def _read_csv(
     spec: SourceSpec,
     base: str,
     paths: Sequence[str],
+    whole: bool,
     declared: bool,
     corrupt: bool,
 ) -> DataFrame:
     """CSV snapshots by the names in their headers, which may change between snapshots.
 
     Spark takes the header of one file for all it reads, so snapshots are read in
-    groups with the same header.  The headers are one line per snapshot.
+    groups with the same header.  The headers are one line per snapshot.  ``whole``
+    says that ``paths`` are all snapshots below ``base``.
     """
-    header = partial(_header, spark, spec)
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        for path, names in zip(paths, pool.map(header, paths)):
-            if names:
-                groups[names].append(path)
+    groups: dict[str, list[str]] = defaultdict(list)
+    for path, line in zip(paths, first_lines(spark, paths)):
+        # A snapshot that starts with an empty line is looked at on its own.
+        groups[line.strip() or path].append(path)
     frames = []
-    for names, alike in groups.items():
+    for alike in groups.values():
+        names = spark.read.options(**spec.options).csv(alike[0]).columns
+        if not names:
+            continue
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
         reader = spark.read.options(**spec.options).option("basePath", base)
-        frames.append(reader.schema(_with_corrupt(schema, corrupt)).csv(alike))
+        everything = whole and len(groups) == 1
+        frames.append(
+            reader.schema(_with_corrupt(schema, corrupt)).csv([base] if everything else alike)
+        )
     if not frames:
         raise FileNotFoundError(f"no CSV snapshot with a header under {base}")
     rows = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), frames)
@@ -97,7 +103,3 @@ def _read_csv(
         for n in _with_corrupt(spec.as_text, corrupt).names
     ]
     return rows.select(*wanted, *SNAPSHOT)
-
-
-def _header(spark: SparkSession, spec: SourceSpec, path: str) -> tuple[str, ...]:
-    return tuple(spark.read.options(**spec.options).csv(path).columns)

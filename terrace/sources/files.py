@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,40 @@ def files_under(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
+def _file_system(spark: SparkSession, path: str):
+    """A Hadoop path and the file system it is on."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _visible(name: str) -> bool:
+    return not name.startswith(("_", "."))
+
+
+def first_lines(spark: SparkSession, directories: Sequence[str]) -> list[str]:
+    """Per directory the first line of its first file that is not empty, else ``''``."""
+    if not directories:
+        return []
+    java = spark.sparkContext._jvm.java.io
+    buffered, decoded = java.BufferedReader, java.InputStreamReader
+    _, fs = _file_system(spark, directories[0])
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+    def first(directory: str) -> str:
+        files = {s.getPath().getName(): s for s in fs.listStatus(path(directory))}
+        for name in sorted(filter(_visible, files)):
+            if files[name].getLen() > 0:
+                stream = fs.open(files[name].getPath())
+                try:
+                    return buffered(decoded(stream, "UTF-8")).readLine()
+                finally:
+                    stream.close()
+        return ""
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return list(pool.map(first, directories))
+
+
 def snapshots_newest_first(
     spark: SparkSession, source_path: str, suffix: str = ""
 ) -> Iterator[dt.date]:
@@ -31,8 +66,7 @@ def snapshots_newest_first(
     Lists directories only as far as the caller goes on, so finding the newest
     snapshot does not touch the others.
     """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source_path)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, fs = _file_system(spark, source_path)
 
     def below(parent):
         return {status.getPath().getName(): status for status in fs.listStatus(parent)}
@@ -47,8 +81,7 @@ def snapshots_newest_first(
     for year, year_path in newest_first(path, "year"):
         for month, month_path in newest_first(year_path, "month"):
             for day, day_path in newest_first(month_path, "day"):
-                files = (n for n in below(day_path) if not n.startswith(("_", ".")))
-                if any(n.endswith(suffix) for n in files):
+                if any(_visible(n) and n.endswith(suffix) for n in below(day_path)):
                     yield dt.date(year, month, day)
 
 
