@@ -88,15 +88,19 @@ def fit(docs: DataFrame, learn: Column | None = None, size: int = SAMPLE, landma
     used = np.unique(np.concatenate([slots[m] for m in marks]))
     place = np.full(1 << SLOT_BITS, len(used), np.int32)
     place[used] = np.arange(len(used))
-    matrix = np.zeros((len(used) + 1, len(marks)))
+    matrix = np.zeros((len(used) + 1, len(marks)), np.float32)
     for j, m in enumerate(marks):
         matrix[place[slots[m]], j] = 1 / np.sqrt(len(slots[m]))
-    matrix[-1] = 0
 
     def kernels(some: list[np.ndarray]) -> np.ndarray:
-        norms = np.sqrt([len(s) for s in some])[:, None]
-        blocks = [sums(matrix, [place[s] for s in some[i : i + 16]]) for i in range(0, len(some), 16)]
-        return np.concatenate(blocks) / norms
+        blocks = []
+        for i in range(0, len(some), 32):
+            present = np.zeros((len(some[i : i + 32]), len(used) + 1), np.float32)
+            for row, s in zip(present, some[i : i + 32], strict=True):
+                row[place[s]] = 1
+            present[:, -1] = 0
+            blocks.append(present @ matrix)
+        return np.concatenate(blocks).astype(np.float64) / np.sqrt([len(s) for s in some])[:, None]
 
     values, vectors = np.linalg.eigh(kernels([slots[m] for m in marks]))
     good = values > 1e-6 * values.max()
@@ -106,7 +110,8 @@ def fit(docs: DataFrame, learn: Column | None = None, size: int = SAMPLE, landma
     penalty = RIDGE * np.eye(features.shape[1])
     penalty[-1, -1] = 0
     solved = np.linalg.lstsq(features.T @ features + penalty, features.T @ target, rcond=None)[0]
-    return Model(languages, place, matrix @ (root @ solved[:-1]), solved[-1])
+    weights = np.asfortranarray(matrix.astype(np.float64) @ (root @ solved[:-1]))
+    return Model(languages, place, weights, solved[-1])
 
 
 def predict(docs: DataFrame, model: Model) -> Column:

@@ -6,8 +6,8 @@ from functools import lru_cache
 
 import numpy as np
 
-SPREAD = np.uint64(0x9E3779B97F4A7C15)
-STEP = np.uint64(0x100000001B3)
+SPREAD, STEP, FOLD = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(15)
+#: Letters of a word that its feature takes up; longer words add their length.
 LONG_WORD = 24
 
 
@@ -28,70 +28,83 @@ def letters_only(text: str) -> tuple[np.ndarray, bool]:
     kept = letter.copy()
     kept[1:] |= letter[:-1]
     kept[0] = True
-    return np.where(letter, points, 32)[kept].astype(np.uint64), bool(letter.any())
+    return np.where(letter, points, np.uint32(32))[kept], bool(letter.any())
 
 
 class Presence:
-    """Distinct slots of a text's n-grams; holds a scratch table of one entry per slot."""
+    """Distinct slots of a text's features; holds a scratch table of one entry per slot."""
 
     def __init__(self, sizes: tuple[int, ...], slot_bits: int):
-        self.sizes, self.shift = sizes, np.uint64(64 - slot_bits)
+        self.sizes, self.shift = sizes, np.uint32(32 - slot_bits)
         self.mark = np.zeros(1 << slot_bits, np.int32)
 
     def _slot(self, hashed: np.ndarray, kind: int) -> np.ndarray:
-        return ((hashed ^ (hashed >> np.uint64(29))) * SPREAD + np.uint64(kind)) >> self.shift
+        return ((hashed ^ (hashed >> FOLD)) * SPREAD + np.uint32(kind * int(STEP) & 0xFFFFFFFF)) >> self.shift
 
-    def _distinct(self, found: list[np.ndarray]) -> np.ndarray:
-        every = np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
+    def _distinct(self, every: np.ndarray) -> np.ndarray:
         order = np.arange(len(every), dtype=np.int32)
         self.mark[every] = order
         return every[self.mark[every] == order].astype(np.int32)
 
     def slots(self, points: np.ndarray) -> np.ndarray:
         """Of all n-grams of the sizes."""
-        hashed, found = points * SPREAD, []
+        base = _mixed(points)
+        hashed, found = base, []
         for n in range(1, max(self.sizes) + 1):
             if n > 1:
-                hashed = hashed[:-1] * STEP + points[n - 1 :] * SPREAD
+                hashed = hashed[:-1] * STEP + base[n - 1 :]
             if len(hashed) == 0:
                 break
             if n in self.sizes:
                 found.append(self._slot(hashed, n))
-        return self._distinct(found)
-
-    def word_slots(self, points: np.ndarray) -> np.ndarray:
-        """Of the words and of their beginnings of the sizes.
-
-        A word of over ``LONG_WORD`` letters is known by that many and by its length.
-        """
+        return self._distinct(np.concatenate(found).astype(np.intp))
+
+    def word_slots(self, texts: list[np.ndarray]) -> list[np.ndarray]:
+        """Per text, of the words and of their beginnings of the sizes, for a batch of texts."""
+        if not texts:
+            return []
+        points = np.concatenate([*texts, np.array([32], np.uint32)])
+        base = _mixed(points)
         spaces = np.flatnonzero(points == 32)
         at, length = spaces[:-1] + 1, np.diff(spaces) - 1
         at, length = at[length > 0], length[length > 0]
-        hashed, found = np.zeros(len(at), np.uint64), []
+        owner = np.searchsorted(np.cumsum([len(t) for t in texts]), at, side="right").astype(np.uint16)
+        hashed, found, owners = np.zeros(len(at), np.uint32), [], []
         for n in range(1, LONG_WORD + 1):
-            longer = length >= n
-            if not longer.all():
-                at, length, hashed = at[longer], length[longer], hashed[longer]
+            hashed = hashed * STEP + base[at + (n - 1)]
+            ends = (length == n) | (n == LONG_WORD)
+            found.append(self._slot(hashed[ends] + length[ends].astype(np.uint32), 0))
+            owners.append(owner[ends])
+            more = ~ends
+            at, length, hashed, owner = at[more], length[more], hashed[more], owner[more]
             if not len(at):
                 break
-            hashed = hashed * STEP + points[at + (n - 1)] * SPREAD
-            ends = (length == n) | (n == LONG_WORD)
-            found.append(self._slot(hashed[ends] + length[ends].astype(np.uint64), 0))
             if n in self.sizes:
-                found.append(self._slot(hashed[~ends], n))
-        return self._distinct(found)
+                found.append(self._slot(hashed, n))
+                owners.append(owner)
+        owner = np.concatenate(owners)
+        every = np.concatenate(found).astype(np.intp)[np.argsort(owner, kind="stable")]
+        ends = np.cumsum(np.bincount(owner, minlength=len(texts)))
+        return [self._distinct(every[a:b]) for a, b in zip(ends - np.diff(ends, prepend=0), ends, strict=True)]
+
+
+def _mixed(points: np.ndarray) -> np.ndarray:
+    spread = points * SPREAD
+    return spread ^ (spread >> FOLD)
 
 
 def sums(weights: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
-    """The product of the texts' sparse presence matrix with ``weights``, a row per text."""
-    width = weights.shape[1:]
-    if not slots:
-        return np.zeros((0, *width))
-    sizes = np.array([len(s) for s in slots])
-    out = np.zeros((len(slots), *width))
+    """The product of the texts' sparse presence matrix with ``weights``, a row per text.
+
+    ``weights`` is a vector, or a matrix stored by columns.
+    """
+    columns = weights[:, None] if weights.ndim == 1 else weights
+    out = np.zeros((len(slots), columns.shape[1]))
+    sizes = np.array([len(s) for s in slots], np.int64)
     full = np.flatnonzero(sizes)
     if len(full):
-        rows = weights[np.concatenate([slots[i] for i in full])]
-        starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-        out[full] = np.add.reduceat(rows, starts, axis=0)
-    return out
+        flat = np.concatenate([slots[i] for i in full])
+        starts = np.cumsum(sizes[full]) - sizes[full]
+        for j in range(columns.shape[1]):
+            out[full, j] = np.add.reduceat(columns[:, j][flat], starts)
+    return out[:, 0] if weights.ndim == 1 else out

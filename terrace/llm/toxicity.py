@@ -25,6 +25,8 @@ from terrace.llm.ngrams import Presence, letters_only, sums
 from terrace.llm.tables import ship_library, text_or_empty
 
 SIZES, SLOT_BITS = (4, 5, 6), 20
+#: Texts described at a time.
+BLOCK = 256
 #: Bounds of the sample: confirmed toxic texts and unlabelled ones.
 POSITIVES, UNLABELLED = 3000, 9000
 #: Standard errors by which a feature must be more common in the positives to be used.
@@ -58,7 +60,9 @@ def _slots(rows: DataFrame) -> list[np.ndarray]:
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         presence = Presence(SIZES, SLOT_BITS)
         for batch in batches:
-            yield pd.DataFrame({"slots": [presence.word_slots(letters_only(t)[0]).tobytes() for t in batch["text"]]})
+            for i in range(0, len(batch), BLOCK):
+                points = [letters_only(t)[0] for t in batch["text"].iloc[i : i + BLOCK]]
+                yield pd.DataFrame({"slots": [s.tobytes() for s in presence.word_slots(points)]})
 
     found = rows.select(text_or_empty("text").alias("text")).mapInPandas(describe, "slots binary").collect()
     return [np.frombuffer(s, np.int32) for s in sorted(bytes(r["slots"]) for r in found)]
@@ -136,8 +140,8 @@ def score(docs: DataFrame, model: Model) -> Column:
     def batch(texts: pd.Series) -> pd.Series:
         fitted, presence = shared.value, Presence(SIZES, SLOT_BITS)
         out = [
-            fitted.scores([presence.word_slots(letters_only(t)[0]) for t in texts.iloc[i : i + 256]])
-            for i in range(0, len(texts), 256)
+            fitted.scores(presence.word_slots([letters_only(t)[0] for t in texts.iloc[i : i + BLOCK]]))
+            for i in range(0, len(texts), BLOCK)
         ]
         return pd.Series(np.concatenate(out) if out else [], dtype="float64")
 
