@@ -123,6 +123,7 @@ def build_gold(
     snapshot: str | dt.date = "latest",
     tables: Sequence[GoldTable] = GOLD_TABLES,
     suites: Mapping[str, Sequence[Check]] | None = None,
+    merge_schema: bool | None = None,
 ) -> dict[str, int]:
     """Build and write the gold tables in order; rows written per table.
 
@@ -131,7 +132,7 @@ def build_gold(
     """
     rows = {}
     for table in tables:
-        silver = read_silver(spark, silver_root, table.source, snapshot)
+        silver = read_silver(spark, silver_root, table.source, snapshot, merge_schema=merge_schema)
         if suites:
             require(silver, table.source, suites)
         gold = table.build(silver, processed_at or utc_now())

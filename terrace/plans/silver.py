@@ -17,10 +17,6 @@ from terrace.sources.metrics import counted
 from terrace.sources.silver import empty_silver, write_silver, write_silver_snapshots
 
 
-#: Up to this many snapshots in one job, rows are written where deduplication left them.
-FEW_SNAPSHOTS = 4
-
-
 @dataclass(frozen=True)
 class SilverRun:
     source: str
@@ -43,7 +39,10 @@ def build_silver(
     declared: bool = False,
     strict_dates: bool = False,
 ) -> SilverRun:
-    """Clean one snapshot and write it.  One action; both counts come from it."""
+    """Clean one snapshot and write it.  Both counts come from the write job.
+
+    For JSON without ``declared`` a pass over the files for their field names comes before.
+    """
     spec = _spec(source)
     raw = read_bronze(spark, spec, bronze_root, run_date, declared=declared).drop(*SNAPSHOT)
     raw, read = counted(raw, "bronze rows read")
@@ -75,10 +74,7 @@ def backfill_silver(
     silver = clean(
         raw, spec, snapshot_date(), processed_at or utc_now(), strict_dates=strict_dates
     )
-    few = days is not None and len(days) <= FEW_SNAPSHOTS
-    rows_written, written = write_silver_snapshots(
-        silver, silver_root, spec.name, rebalance=not few
-    )
+    rows_written, written = write_silver_snapshots(silver, silver_root, spec.name)
     if days is None:
         days = snapshots_newest_first(spark, source_dir(bronze_root, spec.name))
     empty_silver(silver, silver_root, spec.name, set(days) - written)

@@ -46,7 +46,8 @@ def register_zone(
 ) -> list[str]:
     """Create or update one external table per table of the zone; returns their names.
 
-    New partitions and new columns are added in place, and nothing is dropped.
+    New partitions and new columns are added in place.  A table whose files have moved or
+    changed a column's type is registered anew; its files are not touched.
     Partition columns are STRING, as their directories are.  ``merge_schema``
     looks at the footers of all files for columns that only some of them have.
     """
@@ -85,6 +86,9 @@ def _register(
 ) -> None:
     schema = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path).schema
     data = T.StructType([f for f in schema if f.name not in keys])
+    if spark.catalog.tableExists(table) and _changed(spark, table, path, data):
+        log.info("%s: registered anew at %s", table, path)
+        spark.sql(f"DROP TABLE {table}")
     if spark.catalog.tableExists(table):
         known = {c.name.lower() for c in spark.catalog.listColumns(table)}
         added = T.StructType([f for f in data if f.name.lower() not in known])
@@ -101,5 +105,17 @@ def _register(
     spark.catalog.refreshTable(table)
 
 
+def _changed(spark: SparkSession, table: str, path: str, data: T.StructType) -> bool:
+    """Whether the table lies elsewhere or has another type for a column than ``data``."""
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    config = spark.sparkContext._jsc.hadoopConfiguration()
+    places = [p.getFileSystem(config).makeQualified(p).toString() for p in map(at, (details["data_type"], path))]
+    types = {c.name.lower(): c.dataType for c in spark.catalog.listColumns(table)}
+    return places[0] != places[1] or any(
+        types.get(f.name.lower(), f.dataType.simpleString()) != f.dataType.simpleString() for f in data
+    )
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.layout import SNAPSHOT
+
 
 def files_under(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Path and length of every file below ``path``.
+    """Path, length and modification time of every file below ``path``.
 
     The binary source reads no content when the content column is not asked for.
     """
@@ -20,7 +23,7 @@ def files_under(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .load(path)
-        .select("path", "length")
+        .select("path", "length", "modificationTime")
     )
 
 
@@ -30,6 +33,11 @@ def _file_system(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def directory_exists(spark: SparkSession, path: str) -> bool:
+    at, fs = _file_system(spark, path)
+    return fs.exists(at)
+
+
 def _visible(name: str) -> bool:
     return not name.startswith(("_", "."))
 
@@ -85,7 +93,27 @@ def snapshots_newest_first(
                     yield dt.date(year, month, day)
 
 
+#: A scheme and the host after it.
+_SCHEME = r"^[A-Za-z0-9+.-]+:(//[^/]*)?"
+
+
 def relative(path: str, root: str) -> Column:
     """The part of ``path`` below ``root``, whatever the scheme."""
-    tail = root.split("://", 1)[-1].removeprefix("file:").rstrip("/")
-    return F.substring_index(path, f"{tail}/", -1)
+    start = len(re.sub(_SCHEME, "", root).rstrip("/")) + 2
+    return F.substring(F.regexp_replace(path, _SCHEME, ""), start, 1 << 30)
+
+
+def replace_snapshots(writer: DataFrameWriter) -> DataFrameWriter:
+    """Set up to replace the snapshots present in the rows when the job has succeeded, and no others."""
+    return writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SNAPSHOT)
+
+
+def remove_other_partitions(spark: SparkSession, table_path: str, column: str, kept: set[str | None]) -> None:
+    """Delete the directories of ``column`` that belong to none of the ``kept`` values."""
+    path, fs = _file_system(spark, table_path)
+    naming = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    names = {naming.getPartitionPathString(column, value) for value in kept}
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith(f"{column}=") and name not in names:
+            fs.delete(status.getPath(), True)

@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from terrace.sources.files import remove_other_partitions
 from terrace.sources.metrics import counted
 
 
@@ -24,6 +27,9 @@ def write_gold(
 ) -> int:
     """Write a gold table by region as Snappy Parquet and return its row count.
 
+    What was there stays until the job has succeeded: regions are replaced at its end, and
+    with ``replace="table"`` those without rows are removed after it.
+
     ``replace="table"`` replaces the whole table; ``"regions"`` only the regions
     present in ``df``.  NULL and empty regions share the default partition and
     both read back as NULL.
@@ -32,18 +38,27 @@ def write_gold(
     out of a region that holds much of the table.  Sorted by ``sort_by``, usually
     the date, row groups can be skipped by reports on a range of it.
     """
-    modes = {"table": "static", "regions": "dynamic"}
+    if replace not in ("table", "regions"):
+        raise ValueError(f"replace the table or the regions, not {replace!r}")
     laid_out = df.hint("rebalance", partition).sortWithinPartitions(partition, *sort_by)
-    out, written = counted(laid_out, "gold rows written")
+    regions = F.collect_set(F.coalesce(F.col(partition).cast("string"), F.lit("")))
+    out, written = counted(laid_out, "gold rows written", regions=regions)
     (
         out.write.mode("overwrite")
-        .option("partitionOverwriteMode", modes[replace])
+        .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(partition)
         .parquet(gold_path(root, table))
     )
-    return written()["rows"]
+    found = written()
+    if replace == "table":
+        kept = {region or None for region in found["regions"]}
+        remove_other_partitions(df.sparkSession, gold_path(root, table), partition, kept)
+    return found["rows"]
 
 
-def read_gold(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(gold_path(root, table))
+def read_gold(spark: SparkSession, root: str, table: str, *, partition: str = "region") -> DataFrame:
+    """A gold table; regions are text whatever they look like."""
+    found = spark.read.parquet(gold_path(root, table)).schema
+    text = [T.StructField(f.name, T.StringType()) if f.name == partition else f for f in found]
+    return spark.read.schema(T.StructType(text)).parquet(gold_path(root, table))

@@ -1,36 +1,31 @@
 """Putting dropped raw files into the bronze zone, one snapshot per source and day.
 
-A file up to ``document_limit`` bytes is copied as it is, as one row.  A larger
-one is cut into several documents of ``RECORDS_PER_DOCUMENT`` records each, so no
-row grows with the file, and the file is split among tasks while doing so.  Only
-a large JSON document that is not a plain array of flat objects has to be parsed
-by Spark in a single task.
-
-Every landed file holds exactly one document, because a multi-line JSON reader
-takes only the first one of a file and a CSV reader skips only the first line.
+Files land unchanged whatever their size.  JSON Lines are copied line by line, split among
+tasks.  A JSON document or a CSV file is copied as one row and stays a file of its own,
+because a multi-line JSON reader takes only the first document of a file and a CSV reader
+skips only the first line.  A row holds less than 2 GB; a larger document makes its source
+fail, and nothing of it lands.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.layout import run_day, snapshot_dir, source_dir
+from terrace.layout import run_day, snapshot_dir, snapshot_keys, source_dir
 from terrace.registry import SourceSpec
-from terrace.sources.files import files_under
+from terrace.sources.files import files_under, replace_snapshots
 
 log = logging.getLogger(__name__)
 
-DOCUMENT_LIMIT = 64 * 1024 * 1024
-#: Some tens of megabytes of flat records.
-RECORDS_PER_DOCUMENT = 1 << 18
-
 RESULT = T.StructType(
     [T.StructField(n, T.StringType(), True) for n in ("source", "status", "key", "error")]
 )
@@ -52,97 +47,26 @@ def land_source(
     drop_root: str,
     bronze_root: str,
     run_date: str | dt.date,
-    *,
-    document_limit: int = DOCUMENT_LIMIT,
 ) -> str:
-    """Land what lies under ``<drop_root>/<source>``; a rerun replaces the snapshot."""
-    dropped = source_dir(drop_root, spec.name)
-    target = snapshot_dir(bronze_root, spec.name, run_date)
-    whole = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(dropped)
-        .where(F.col("length") <= document_limit)
-        .select(F.col("content").cast("string").alias("value"))
-    )
-    files = files_under(spark, dropped)
-    if files.isEmpty():
-        raise FileNotFoundError(f"nothing dropped under {dropped}")
-    # Names of oversized files, which the driver has listed anyway.
-    large = files.where(F.col("length") > document_limit).select("path")
-    paths = [row["path"] for row in large.collect()]
-    if paths:
-        whole = whole.unionByName(split_documents(spark, spec, paths))
-    whole.write.mode("overwrite").option("maxRecordsPerFile", 1).text(target)
-    return target
-
-
-def split_documents(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> DataFrame:
-    """The records of ``paths`` as documents of a bounded number of records."""
-    if spec.file_format == "csv":
-        rows = spark.read.options(**spec.options).csv(paths)
-        header = ",".join('"' + c.replace('"', '""') + '"' for c in rows.columns)
-        lines = rows.select(F.to_csv(F.struct("*")).alias("value"))
-        return documents(lines, header + "\n", "\n", "")
-    if spec.options.get("multiLine") != "true":
-        return documents(spark.read.text(paths), "", "\n", "")
-    pieces = json_pieces(spark, paths)
-    listed = (
-        spark.read.format("binaryFile")
-        .load(paths)
-        .select("path", F.col("_metadata.file_path").alias("file"))
-    )
-    # One row per oversized file that is not a plain array of flat objects.
-    odd = listed.join(pieces.where(~F.col("flat")), "file", "left_semi").collect()
-    flat = pieces.where(~F.col("file").isin([row["file"] for row in odd]))
-    record = F.concat(F.regexp_replace("value", r"\A[\s,\[]*", ""), F.lit("}"))
-    records = flat.where(F.col("value").contains("{")).select(record.alias("value"))
-    if odd:
-        # As Spark's own reader sees them, one task per file.
-        reader = spark.read.options(**spec.options, primitivesAsString="true")
-        parsed = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
-        rows = reader.json([row["path"] for row in odd])
-        records = records.unionByName(rows.select(parsed))
-    return documents(records, "[", ",", "]")
-
-
-def json_pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """JSON documents cut after every ``}``: ``file``, ``value`` without it, and ``flat``.
-
-    The text reader cuts large files among tasks at this separator.  A piece is
-    ``flat`` if it is the beginning of one object up to its end, or the rest after the
-    last one.  If all pieces of a file are, no cut fell into a string or a nested
-    object: the first piece starts outside a string and each ends outside one.
-    """
-    without_strings = F.regexp_replace(
-        F.regexp_replace("value", r"\\.", ""), '"[^"]*"', ""
-    )
-    flat = without_strings.rlike(r'\A[\s,\[]*\{[^"{]*\z') | without_strings.rlike(
-        r"\A\s*\]?\s*\z"
-    )
-    return (
-        spark.read.option("lineSep", "}")
-        .text(paths)
-        .select(F.col("_metadata.file_path").alias("file"), "value", flat.alias("flat"))
-    )
-
-
-def documents(
-    records: DataFrame, opening: str, separator: str, closing: str, *, by: Sequence[str] = ()
-) -> DataFrame:
-    """Records in ``value`` joined to documents, apart for each value of ``by``.
+    """Land what lies under ``<drop_root>/<source>``; a rerun replaces the snapshot.
 
-    Row ids count up within a partition, so a document holds at most
-    RECORDS_PER_DOCUMENT records of one partition, whatever the size of a group.
+    The snapshot that was there stays until the new one is complete.
     """
-    chunk = F.shiftright(F.monotonically_increasing_id(), RECORDS_PER_DOCUMENT.bit_length() - 1)
-    body = F.array_join(F.collect_list("value"), separator)
-    return (
-        records.withColumn("chunk", chunk)
-        .groupBy(*by, "chunk")
-        .agg(F.concat(F.lit(opening), body, F.lit(closing)).alias("value"))
-        .select(*by, "value")
-    )
+    dropped = source_dir(drop_root, spec.name)
+    if files_under(spark, dropped).isEmpty():
+        raise FileNotFoundError(f"nothing dropped under {dropped}")
+    by_line = spec.file_format == "json" and spec.options.get("multiLine") != "true"
+    nested = spark.read.option("recursiveFileLookup", "true")
+    if by_line:
+        raw, per_file = nested.text(dropped), 0
+    else:
+        files = nested.format("binaryFile").load(dropped)
+        raw, per_file = files.select(F.col("content").cast("string").alias("value")), 1
+    day = F.lit(run_day(run_date))
+    replace_snapshots(
+        raw.select("value").withColumns(snapshot_keys(day)).write.option("maxRecordsPerFile", per_file)
+    ).text(source_dir(bronze_root, spec.name))
+    return snapshot_dir(bronze_root, spec.name, run_date)
 
 
 def land(
@@ -151,21 +75,17 @@ def land(
     drop_root: str,
     bronze_root: str,
     run_date: str | dt.date,
-    *,
-    document_limit: int = DOCUMENT_LIMIT,
 ) -> DataFrame:
-    """Land every source; a source that fails is recorded and the others go on.
+    """Land every source; one that cannot be read or written is recorded and the others go on.
 
     The result has one row per source.
     """
     results = []
     for spec in specs:
         try:
-            key = land_source(
-                spark, spec, drop_root, bronze_root, run_date, document_limit=document_limit
-            )
+            key = land_source(spark, spec, drop_root, bronze_root, run_date)
             results.append(Landing(spec.name, "success", key=key))
-        except Exception as error:  # noqa: BLE001 - any failure is one source's own
+        except (PySparkException, Py4JJavaError, OSError) as error:
             log.warning("landing %s for %s failed: %s", spec.name, run_day(run_date), error)
             first_line = str(error).strip().splitlines()[0] if str(error).strip() else repr(error)
             results.append(Landing(spec.name, "failed", error=first_line))

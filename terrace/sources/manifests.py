@@ -38,9 +38,12 @@ def write_manifest(
     run_timestamp: str,
     env: str = "dev",
 ) -> str:
-    """Write the manifest of one run under ``_manifests/<run_date>`` and return the path."""
+    """Write the manifest of one run under ``_manifests/run=<run_date>`` and return the path.
+
+    ``write_manifests`` uses the same directories, so a run counts once whoever wrote it.
+    """
     day = run_day(run_date).isoformat()
-    path = f"{bronze_root.rstrip('/')}/{FOLDER}/{day}"
+    path = f"{bronze_root.rstrip('/')}/{FOLDER}/run={day}"
     stamped = results.withColumns(
         {"run_date": F.lit(day), "run_timestamp": F.lit(run_timestamp), "env": F.lit(env)}
     )

@@ -7,38 +7,35 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.layout import SNAPSHOT, snapshot_date, snapshot_dir, source_dir
-from terrace.sources.files import snapshots_newest_first
+from terrace.layout import SNAPSHOT, run_day, snapshot_date, snapshot_dir, snapshot_keys, source_dir
+from terrace.sources.files import replace_snapshots, snapshots_newest_first
 from terrace.sources.metrics import counted
 
 
 def write_silver(df: DataFrame, root: str, source: str, run_date: str | dt.date) -> int:
     """Replace one snapshot with ``df`` as Snappy Parquet and return its row count.
 
-    Only the directory of the run date is overwritten, so a rerun leaves the
-    same rows and never touches another date.  The count comes from the write
+    Only the directory of the run date is replaced, and only when the job has succeeded: a
+    rerun leaves the same rows, a failed one the old rows.  The count comes from the write
     job itself.
     """
-    df, written = counted(df.drop(*SNAPSHOT), "silver rows written")
-    (
-        df.write.mode("overwrite")
-        .option("compression", "snappy")
-        .parquet(snapshot_dir(root, source, run_date))
+    rows, written = write_silver_snapshots(
+        df.drop(*SNAPSHOT).withColumns(snapshot_keys(F.lit(run_day(run_date)))), root, source
     )
-    return written()["rows"]
+    empty_silver(df, root, source, {run_day(run_date)} - written)
+    return rows
 
 
 def write_silver_snapshots(
-    df: DataFrame, root: str, source: str, *, rebalance: bool = True
+    df: DataFrame, root: str, source: str
 ) -> tuple[int, set[dt.date]]:
     """Replace every snapshot present in ``df``, which has the snapshot columns, in one job.
 
     Returns the number of rows and the snapshots they are in.
 
-    Cleaned rows lie spread over all tasks, and each task writes a file per
-    snapshot it holds rows of.  With many snapshots ``rebalance`` is worth its
-    shuffle: it gathers a snapshot in few files, and adaptive execution cuts a
-    hot one into several tasks.  With a handful of snapshots do without it.
+    Cleaned rows lie spread over all tasks, and each task writes a file per snapshot it
+    holds rows of.  The rebalance gathers a snapshot in few files, and adaptive execution
+    cuts a hot one into several tasks.
     """
     padded = df.withColumns(
         {
@@ -47,30 +44,23 @@ def write_silver_snapshots(
             "day": F.lpad(F.col("day").cast("string"), 2, "0"),
         }
     )
-    gathered = padded.hint("rebalance", *SNAPSHOT) if rebalance else padded
     out, written = counted(
-        gathered, "silver rows written", days=F.collect_set(snapshot_date())
-    )
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*SNAPSHOT)
-        .parquet(source_dir(root, source))
+        padded.hint("rebalance", *SNAPSHOT), "silver rows written", days=F.collect_set(snapshot_date())
     )
+    replace_snapshots(out.write.option("compression", "snappy")).parquet(source_dir(root, source))
     found = written()
     return found["rows"], set(found["days"])
 
 
 def empty_silver(df: DataFrame, root: str, source: str, days: set[dt.date]) -> None:
-    """Replace those of ``days`` that silver has rows of with snapshots without rows."""
+    """Leave snapshots without rows for ``days``: those silver has rows of, and the first ever."""
     spark = df.sparkSession
     if not days:
         return
-    for day in snapshots_newest_first(spark, source_dir(root, source), ".parquet"):
-        if day in days:
-            none = spark.createDataFrame([], df.drop(*SNAPSHOT).schema)
-            write_silver(none, root, source, day)
+    there = set(snapshots_newest_first(spark, source_dir(root, source), ".parquet"))
+    for day in days & there if there else days:
+        none = spark.createDataFrame([], df.drop(*SNAPSHOT).schema)
+        none.write.mode("overwrite").parquet(snapshot_dir(root, source, day))
 
 
 def read_silver(
@@ -79,16 +69,17 @@ def read_silver(
     source: str,
     snapshot: str | dt.date = "latest",
     *,
-    merge_schema: bool = False,
+    merge_schema: bool | None = None,
 ) -> DataFrame:
     """Silver rows of the newest snapshot, of ``"all"``, or of one run date.
 
     Each snapshot is a full download, so adding up ``"all"`` counts a day once
     per download.  A single snapshot is read from its own directory, and the
     others are not even listed.  ``merge_schema`` is for snapshots that differ
-    in their columns.
+    in their columns; by default it is on for ``"all"`` and off for a single snapshot.
     """
     base = source_dir(root, source)
+    merge_schema = snapshot == "all" if merge_schema is None else merge_schema
     reader = spark.read.option("basePath", base).option("mergeSchema", str(merge_schema).lower())
     if snapshot == "latest":
         snapshot = next(snapshots_newest_first(spark, base, ".parquet"), "all")

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from terrace.layout import source_dir
 from terrace.plans.silver import SilverRun, backfill_silver
 from terrace.registry import SourceSpec, lookup
+from terrace.sources.files import directory_exists, files_under
 
-_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+_SEEN = "path string, length bigint, modificationTime timestamp"
 _SNAPSHOT_PATH = r"/year=(\d+)/month=(\d+)/day=(\d+)/"
 
 
@@ -27,26 +29,36 @@ def process_new_snapshots(
     declared: bool = False,
     strict_dates: bool = False,
 ) -> list[SilverRun]:
-    """Bring silver up to date with bronze and stop; one entry per micro-batch with news.
+    """Bring silver up to date with bronze and stop; one entry per batch with news.
 
-    The stream only finds out which snapshots have new files; it reads paths and
-    no content.  Those snapshots are then cleaned as a whole and replaced, so a
-    file that arrives late is deduplicated against the earlier files of its
-    snapshot, and a batch that is run again after a failure leaves the same rows.
-    ``checkpoint`` remembers which files have been seen and must outlive the run.
-    Files are known by name: a file written anew under its old name is no news,
-    while ``land`` gives every file a new name.
+    The files of bronze are compared with those silver was built from, by name, length and
+    modification time.  A file that is new, late or written anew under its old name is
+    news, however old its time stamp; no content is read for that.  The snapshots of such
+    files are cleaned as a whole and replaced, so a late file is deduplicated against the
+    earlier ones of its snapshot, and a batch that is run again after a failure leaves the
+    same rows.  ``checkpoint`` remembers the files and must outlive the run; a batch is
+    noted there when silver has it.  ``max_files_per_batch`` bounds the files with news in a
+    batch, but a snapshot is never cut.
     """
     spec = source if isinstance(source, SourceSpec) else lookup(source)
-    runs: list[SilverRun] = []
-
-    def clean_touched(batch: DataFrame, _batch_id: int) -> None:
-        parts = [F.regexp_extract("path", _SNAPSHOT_PATH, i).cast("int") for i in (1, 2, 3)]
-        touched: list[dt.date] = [
-            # One short row per snapshot with new files.
-            row["day"] for row in batch.select(F.make_date(*parts).alias("day")).distinct().collect()
-        ]
-        if touched:
+    listed = files_under(spark, source_dir(bronze_root, spec.name))
+    parts = [F.regexp_extract("path", _SNAPSHOT_PATH, i).cast("int") for i in (1, 2, 3)]
+    visible = F.col("path").rlike(_SNAPSHOT_PATH) & ~F.col("path").rlike(r"/[._][^/]*$")
+    seen = f"{checkpoint.rstrip('/')}/files"
+    known = spark.createDataFrame([], _SEEN)
+    if directory_exists(spark, seen):
+        known = spark.read.schema(_SEEN).parquet(seen)
+    news = (
+        listed.where(visible)
+        .join(known, ["path", "length", "modificationTime"], "left_anti")
+        .withColumn("day", F.make_date(*parts))
+        .persist()
+    )
+    try:
+        # One short row per snapshot with news.
+        counts = news.groupBy("day").count().orderBy("day").collect()
+        runs: list[SilverRun] = []
+        for days in _batches([(r["day"], r["count"]) for r in counts], max_files_per_batch):
             runs.append(
                 backfill_silver(
                     spark,
@@ -54,23 +66,26 @@ def process_new_snapshots(
                     bronze_root,
                     silver_root,
                     processed_at,
-                    run_dates=sorted(touched),
+                    run_dates=days,
                     declared=declared,
                     strict_dates=strict_dates,
                 )
             )
+            news.where(F.col("day").isin(days)).drop("day").write.mode("append").parquet(seen)
+        return runs
+    finally:
+        news.unpersist()
 
-    arrivals = spark.readStream.format("binaryFile").schema(_LISTING)
-    if max_files_per_batch:
-        arrivals = arrivals.option("maxFilesPerTrigger", max_files_per_batch)
-    query = (
-        arrivals.load(source_dir(bronze_root, spec.name))
-        .where(F.col("path").rlike(_SNAPSHOT_PATH))
-        .select("path")
-        .writeStream.foreachBatch(clean_touched)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return runs
+
+def _batches(counts: list[tuple[dt.date, int]], limit: int | None) -> Iterator[list[dt.date]]:
+    """Days in order, as many to a batch as keep to ``limit`` files, one at least."""
+    batch: list[dt.date] = []
+    files = 0
+    for day, n in counts:
+        if batch and limit and files + n > limit:
+            yield batch
+            batch, files = [], 0
+        batch.append(day)
+        files += n
+    if batch:
+        yield batch

@@ -16,14 +16,14 @@ def call(capsys, *argv):
 def test_from_dropped_files_to_a_registered_gold_table(spark, tmp_path, capsys):
     drop, bronze, silver, gold = (str(tmp_path / z) for z in ("drop", "bronze", "silver", "gold"))
     records = [{"DATE": DAY, "PROVINCE": p, "REGION": "Flanders", "TOTAL_IN": n, "TOTAL_IN_ICU": 1,
-                "NEW_IN": 2, "NEW_OUT": 1} for p, n in (("Antwerp", 4), ("Ghent", 6), ("Ghent", 6))]
+                "NEW_IN": 2, "NEW_OUT": 1} for p, n in (("Coast", 4), ("Limburg", 6), ("Limburg", 6))]
     shots = [{"DATE": DAY, "REGION": "Flanders", "AGEGROUP": "25-34", "DOSE": "A", "COUNT": 3}]
     files = {
         HOSPITAL: json.dumps(records),
         "sciensano/covid_vaccinations": json.dumps(shots),
         "who/global_covid": "Date_reported,Country_code,Country,WHO_region,New_cases,"
                             "Cumulative_cases,New_deaths,Cumulative_deaths\n"
-                            f"{DAY},BE,Belgium,EURO,100,3000000,2,30000\n",
+                            f"{DAY},PT,Portugal,EURO,41,812000,3,4060\n",
     }
     for source, text in files.items():
         os.makedirs(f"{drop}/{source}")
@@ -44,7 +44,7 @@ def test_from_dropped_files_to_a_registered_gold_table(spark, tmp_path, capsys):
     assert read_gold(spark, gold, "be_hospitalizations_summary").first()["total_hospitalized"] == 10
     status, names = call(capsys, "register", "--database", "commands_test", "--zone", gold)
     assert (status, len(names)) == (0, 3)
-    assert spark.table("commands_test.who_global_trends").first()["case_fatality_rate"] == 1.0
+    assert spark.table("commands_test.who_global_trends").first()["case_fatality_rate"] == 0.5
     spark.sql("DROP DATABASE commands_test CASCADE")
 
     again = str(tmp_path / "again")

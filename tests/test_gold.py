@@ -25,13 +25,13 @@ def d(text):
 def test_hospital_summary_golden(tidy):
     rows = {r["region"]: r for r in hospitalizations_summary(tidy, NOW).collect()}
     assert {k: tuple(r)[2:6] for k, r in rows.items()} == {
-        "Flanders": (350, 50, 43, 35),
-        "Brussels": (80, 15, 10, 8),
-        "Wallonia": (120, 18, 12, 10),
+        "Flanders": (97, 9, 17, 5),
+        "Brussels": (58, 11, 4, 6),
+        "Wallonia": (41, 6, 5, 7),
     }
-    assert rows["Flanders"]["7day_avg_admissions"] == 43.0
-    assert rows["Flanders"]["icu_rate"] == 50 / 350
-    assert rows["Flanders"]["date"] == d("2024-01-15")
+    assert rows["Flanders"]["7day_avg_admissions"] == 17.0
+    assert rows["Flanders"]["icu_rate"] == 9 / 97
+    assert rows["Flanders"]["date"] == d("2024-01-22")
     assert {r["_gold_processed_at"] for r in rows.values()} == {NOW}
 
 
@@ -154,15 +154,15 @@ CASES = (
 
 def test_fatality_rate(spark):
     silver = spark.createDataFrame([
-        ("2024-01-15", "BE", "Belgium", "EURO", 100, 3_000_000, 2, 30_000),
+        ("2024-01-15", "PT", "Portugal", "EURO", 41, 812_000, 3, 4_060),
         ("2024-01-15", "NL", "Netherlands", "EURO", 1, 0, 0, 5),
         ("2024-01-15", "DE", "Germany", "EURO", 1, None, 0, 5),
     ], CASES)
     out = {r["country_code"]: r for r in global_trends(silver, NOW).collect()}
     assert {k: r["case_fatality_rate"] for k, r in out.items()} == {
-        "BE": 1.0, "NL": None, "DE": None,
+        "PT": 0.5, "NL": None, "DE": None,
     }
-    assert out["BE"]["region"] == "EURO"
+    assert out["PT"]["region"] == "EURO"
     assert dict(global_trends(silver, NOW).dtypes)["cumulative_cases"] == "int"
 
 
@@ -262,7 +262,7 @@ def test_gold_is_open_to_sql(spark, tidy):
         "AND date >= add_months(date '2024-02-01', -3) ORDER BY date DESC, region"
     )
     assert [tuple(r) for r in got.collect()] == [
-        ("Brussels", 10.0), ("Flanders", 43.0), ("Wallonia", 12.0),
+        ("Brussels", 4.0), ("Flanders", 17.0), ("Wallonia", 5.0),
     ]
 
 

@@ -99,3 +99,17 @@ def test_snapshot_that_lost_its_rows_is_emptied(spark, tmp_path):
     again = backfill_silver(spark, HOSPITAL, f"{root}/bronze", f"{root}/silver", NOW)
     assert (again.rows_read, again.rows_written) == (2, 1)
     assert silver(spark, root) == [(16, "z")]
+
+
+def test_late_file_with_an_old_time_stamp_and_a_rewritten_file_are_news(spark, tmp_path):
+    root = str(tmp_path)
+    put(f"{root}/bronze", HOSPITAL, "2024-01-15", "a.json", rows("x"))
+    run(spark, root)
+    put(f"{root}/bronze", HOSPITAL, "2024-01-16", "a.json", rows("late"))
+    late = f"{snapshot_dir(f'{root}/bronze', HOSPITAL, '2024-01-16')}/a.json"
+    os.utime(late, (1_500_000_000, 1_500_000_000))
+    assert len(run(spark, root)) == 1
+    put(f"{root}/bronze", HOSPITAL, "2024-01-15", "a.json", rows("new"))
+    assert len(run(spark, root)) == 1
+    assert run(spark, root) == []
+    assert silver(spark, root) == [(15, "new"), (16, "late")]

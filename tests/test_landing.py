@@ -3,8 +3,6 @@ import os
 from dataclasses import replace
 
 import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from terrace import lookup
@@ -67,34 +65,38 @@ def test_each_file_stays_a_document_of_its_own(spark, tmp_path):
     assert sorted(int(r["New_cases"]) for r in world.collect()) == list(range(10))
 
 
+@pytest.mark.parametrize("n", [3, 5000])
 @pytest.mark.parametrize("form", ["document", "lines", "csv"])
-def test_large_files_are_split_and_stay_whole(spark, tmp_path, monkeypatch, form):
-    monkeypatch.setattr(landing, "RECORDS_PER_DOCUMENT", 16)
-    spec, date = lookup(HOSPITAL), "DATE"
+def test_files_of_every_size_land_alike(spark, tmp_path, form, n):
+    spec = lookup(HOSPITAL)
     if form == "document":
-        text = json.dumps(records(200), ensure_ascii=False, indent=1)
+        text = json.dumps([{"DATE": DAY, "N": 1.50, "X": " x "}] * n) + "\n[{}]"
     elif form == "lines":
         spec = replace(spec, options=JSON_LINES)
-        text = "\n".join(json.dumps(r, ensure_ascii=False) for r in records(200))
+        text = "\n".join(json.dumps(r, ensure_ascii=False) for r in records(n))
     else:
-        spec, date, text = lookup(WORLD), "Date_reported", csv_text(200)
-    drop(tmp_path / "in", spec.name, "large", text)
-    drop(tmp_path / "in", spec.name, "small", {"csv": csv_text(1, 200), "lines": json.dumps(
-        records(1, 200)[0])}.get(form, json.dumps(records(1, 200))))
+        spec, text = lookup(WORLD), "Date_reported,Country\n" + f'{DAY}, x ,surplus\n{DAY},\n' * n
+    drop(tmp_path / "in", spec.name, "file", text)
     bronze = str(tmp_path / "bronze")
-    found = outcome(land(spark, [spec], str(tmp_path / "in"), bronze, DAY, document_limit=1000))
-    assert found[spec.name][0] == "success"
-    rows = read_bronze(spark, spec, bronze, DAY)
-    number = "New_cases" if form == "csv" else "TOTAL_IN"
-    assert sorted(int(r[number]) for r in rows.collect()) == list(range(201))
-    assert rows.where(F.col(date) != DAY).count() == 0
-    # 200 records make 13 documents; an empty first task may leave an empty file.
-    sizes = [os.path.getsize(f.removeprefix("file://")) for f in rows.inputFiles()]
-    assert len([n for n in sizes if n]) == 14
-    if form == "csv":
-        assert rows.where(F.col("Country") == F.concat(F.lit("Country, "), "New_cases")).count() == 201
+    found = outcome(land(spark, [spec], str(tmp_path / "in"), bronze, DAY))
+    key = found[spec.name][1]
+    landed = sorted(f for f in os.listdir(key) if f.startswith("part-"))
+    texts = [open(f"{key}/{f}", encoding="utf-8").read() for f in landed]
+    if form == "lines":
+        assert sorted("".join(texts).splitlines()) == sorted(text.splitlines())
     else:
-        assert rows.where(F.col("PROVINCE").startswith("Liège ")).count() == 201
+        assert [t for t in texts if t] == [text + "\n"]
+
+
+def test_a_failed_landing_keeps_the_snapshot(spark, tmp_path, monkeypatch):
+    drop(tmp_path / "in", HOSPITAL, "a.json", json.dumps(records(2)))
+    spec, bronze = lookup(HOSPITAL), str(tmp_path / "bronze")
+    land(spark, [spec], str(tmp_path / "in"), bronze, DAY)
+    failing = F.raise_error(F.lit("no more")).cast("string")
+    monkeypatch.setattr(landing, "snapshot_keys", lambda d: {"year": failing, "month": failing, "day": failing})
+    assert outcome(land(spark, [spec], str(tmp_path / "in"), bronze, DAY))[HOSPITAL][0] == "failed"
+    monkeypatch.undo()
+    assert read_bronze(spark, spec, bronze, DAY).count() == 2
 
 
 def test_one_failed_source_does_not_stop_the_others(spark, tmp_path):
@@ -153,49 +155,3 @@ def test_status_of_expected_sources(spark):
 
 def test_result_columns():
     assert RESULT.fieldNames() == ["source", "status", "key", "error"]
-
-
-TRICKY = [
-    {"DATE": DAY, "PROVINCE": 'a "quoted" } brace', "N": 1},
-    {"DATE": DAY, "PROVINCE": "back\\slash \\} and { too", "N": 2},
-    {"DATE": DAY, "PROVINCE": "], [", "N": 3, "TAGS": [1, 2]},
-    {"DATE": None, "PROVINCE": "", "N": 4},
-]
-
-
-@pytest.mark.parametrize("indent", [None, 2])
-def test_flat_documents_are_cut_without_parsing(spark, tmp_path, indent):
-    plain = [{"DATE": DAY, "PROVINCE": 'a "q" [x], \\', "N": i, "TAGS": [1, 2]} for i in range(50)]
-    drop(tmp_path, "x", "flat.json", json.dumps(plain, indent=indent))
-    pieces = landing.json_pieces(spark, [str(tmp_path / "x")])
-    assert pieces.where("NOT flat").count() == 0
-    docs = landing.split_documents(spark, lookup(HOSPITAL), [str(tmp_path / "x/flat.json")])
-    assert [r for d in docs.collect() for r in json.loads(d["value"])] == plain
-
-
-@pytest.mark.parametrize("records", [TRICKY, [{"a": {"b": 1}}, {"a": {"b": 2}}]])
-def test_braces_in_strings_and_nested_objects_are_noticed(spark, tmp_path, records):
-    drop(tmp_path, "x", "odd.json", json.dumps(records))
-    drop(tmp_path, "x", "flat.json", json.dumps([{"N": 7}]))
-    pieces = landing.json_pieces(spark, [str(tmp_path / "x")])
-    odd = {os.path.basename(r["file"]) for r in pieces.where("NOT flat").collect()}
-    assert odd == {"odd.json"}
-    paths = [str(tmp_path / "x" / n) for n in ("odd.json", "flat.json")]
-    docs = landing.split_documents(spark, lookup(HOSPITAL), paths)
-    got = [r for d in docs.collect() for r in json.loads(d["value"])]
-    assert len(got) == len(records) + 1
-    if records is TRICKY:
-        provinces = {r.get("PROVINCE") for r in got}
-        assert provinces == {r["PROVINCE"] for r in TRICKY} | {None}
-
-
-@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.dictionaries(st.text('ab"\\', max_size=3), st.one_of(
-    st.text('ab"\\{}[], \n', max_size=6), st.integers(0, 9), st.none()), max_size=3), max_size=6))
-def test_documents_taken_as_flat_are_cut_right(spark, tmp_path_factory, records):
-    folder = tmp_path_factory.mktemp("docs")
-    (folder / "doc.json").write_text(json.dumps(records, indent=1))
-    pieces = landing.json_pieces(spark, [str(folder)])
-    if pieces.where("NOT flat").count() == 0:
-        kept = [r["value"] + "}" for r in pieces.collect() if "{" in r["value"]]
-        assert [json.loads(v.lstrip("[, \n")) for v in kept] == records

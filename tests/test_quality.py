@@ -92,7 +92,7 @@ def test_known_values_pass(tidy):
 
 
 def test_unknown_value_fails(hospital_rows):
-    df = hospital_rows([("2024-01-15", "Unknown", "UnknownRegion", 100, 10, 5, 4)])
+    df = hospital_rows([("2024-01-22", "Nowhere", "Atlantis", 12, 1, 2, 0)])
     found = check_allowed_values(df, "region", REGIONS)
     assert (found["invalid_rows"], found["passed"]) == (1, False)
 

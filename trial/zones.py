@@ -5,6 +5,7 @@ Each query works in a new directory of the shared folder the session names.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 from functools import cache, reduce
 
@@ -21,7 +22,7 @@ from terrace.sources.bronze import read_bronze
 from terrace.sources.catalog import register_zone
 from terrace.sources.files import snapshots_newest_first
 from terrace.sources.gold import read_gold, write_gold
-from terrace.sources.landing import documents, land, landing_status, missing_sources
+from terrace.sources.landing import land, landing_status, missing_sources
 from terrace.sources.manifests import (
     manifest_entries,
     manifests,
@@ -50,6 +51,23 @@ from trial.standins import (
 )
 
 
+RECORDS_PER_DOCUMENT = 1 << 12
+
+
+def documents(
+    records: DataFrame, opening: str, separator: str, closing: str, *, by: Sequence[str] = ()
+) -> DataFrame:
+    """Records in ``value`` joined to documents of a bounded number, apart for each value of ``by``."""
+    chunk = F.shiftright(F.monotonically_increasing_id(), RECORDS_PER_DOCUMENT.bit_length() - 1)
+    body = F.array_join(F.collect_list("value"), separator)
+    return (
+        records.withColumn("chunk", chunk)
+        .groupBy(*by, "chunk")
+        .agg(F.concat(F.lit(opening), body, F.lit(closing)).alias("value"))
+        .select(*by, "value")
+    )
+
+
 def write_json_snapshots(raw: DataFrame, root: str, source: str) -> None:
     """Raw rows as multi-line JSON arrays, several records to a document, by run date."""
     columns = [c for c in raw.columns if c != "run_date"]
@@ -135,17 +153,12 @@ ABSENT = replace(EVENTS, name="trial/absent")
 
 @query(f"""
     WITH events_text AS ({RAW_TEXT_SQL})
-    SELECT s AS source, 'success' AS status, count(*) AS landed_rows,
-           count("DATE") AS dated_rows, cast(sum("USER-ID"::bigint) AS bigint) AS id_sum
-    FROM events_text, (VALUES ('trial/events'), ('trial/event_lines')) AS t(s) GROUP BY s
-    UNION ALL SELECT 'trial/orders', 'success', count(*), count(o_orderdate),
-                     cast(sum(o_custkey) AS bigint) FROM orders
-    UNION ALL SELECT 'trial/absent', 'failed', 0, NULL, NULL""")
+    SELECT s AS source, "DATE" AS dated, "USER-ID" AS number, "COUNT" AS cell
+    FROM events_text, (VALUES ('trial/events'), ('trial/event_lines')) AS t(s)
+    UNION ALL SELECT 'trial/orders', strftime(o_orderdate, '%Y-%m-%d'), cast(o_custkey AS varchar),
+                     cast(o_totalprice AS varchar) FROM orders""")
 def landed_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Dropped JSON documents, JSON Lines and CSV landed, and a source that never came.
-
-    The limit is set low, so that most files are split into several documents.
-    """
+    """The rows of JSON documents, JSON Lines and CSV after landing, beside a source that never came."""
     base = workspace(spark)
     drop, bronze = f"{base}/drop", f"{base}/bronze"
     events = raw_events(spark, sf).drop("run_date")
@@ -156,34 +169,21 @@ def landed_files(spark: SparkSession, sf: str) -> DataFrame:
     orders = raw_orders(spark, sf).drop("run_date")
     orders.write.option("header", "true").csv(source_dir(drop, ORDERS.name))
 
-    landed = land(
-        spark,
-        [EVENTS, LINES, ORDERS, ABSENT],
-        drop,
-        bronze,
-        "2024-01-31",
-        document_limit=200_000,
-    )
-    counts = [
-        read_bronze(spark, spec, bronze, "2024-01-31", declared=spec is not ORDERS).agg(
+    land(spark, [EVENTS, LINES, ORDERS, ABSENT], drop, bronze, "2024-01-31")
+    rows = [
+        read_bronze(spark, spec, bronze, "2024-01-31", declared=spec is not ORDERS).select(
             F.lit(spec.name).alias("source"),
-            F.count(F.lit(1)).alias("rows"),
-            F.count(f"`{date}`").alias("dated_rows"),
-            F.sum(F.col(f"`{number}`").cast("bigint")).alias("id_sum"),
+            F.col(f"`{date}`").alias("dated"),
+            F.col(f"`{number}`").alias("number"),
+            F.col(f"`{cell}`").alias("cell"),
         )
-        for spec, date, number in (
-            (EVENTS, "DATE", "USER-ID"),
-            (LINES, "DATE", "USER-ID"),
-            (ORDERS, "Date_reported", "Cumulative_cases"),
+        for spec, date, number, cell in (
+            (EVENTS, "DATE", "USER-ID", "COUNT"),
+            (LINES, "DATE", "USER-ID", "COUNT"),
+            (ORDERS, "Date_reported", "Cumulative_cases", "New_cases"),
         )
     ]
-    return landed.join(reduce(DataFrame.unionByName, counts), "source", "left").select(
-        "source",
-        "status",
-        F.coalesce("rows", F.lit(0)).cast("bigint").alias("landed_rows"),
-        "dated_rows",
-        "id_sum",
-    )
+    return reduce(DataFrame.unionByName, rows)
 
 
 # --- run records ------------------------------------------------------------
@@ -203,14 +203,10 @@ def landing_status_by_source(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
     SELECT c_custkey AS source FROM customer
-    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
+    WHERE c_custkey NOT IN (SELECT user_id FROM events)""")
 def sources_without_data(spark: SparkSession, sf: str) -> DataFrame:
     expected = table(spark, sf, "customer").select(F.col("c_custkey").alias("source"))
-    landed = (
-        table(spark, sf, "orders")
-        .where("o_orderpriority = '1-URGENT'")
-        .select(F.col("o_custkey").alias("source"))
-    )
+    landed = table(spark, sf, "events").select(F.col("user_id").alias("source"))
     return missing_sources(expected, landed, "source")
 
 
@@ -261,18 +257,18 @@ def manifest_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
     SELECT '2024-01-31' AS run_date, '2024-01-31T02:00:00' AS run_timestamp, 'dev' AS env,
-           'user/' || user_id AS source,
+           'type/' || event_type AS source,
            CASE WHEN max(value) < 100 THEN 'failed' ELSE 'success' END AS status,
            CASE WHEN max(value) >= 100 THEN 'events/' || count(*) END AS key,
            CASE WHEN max(value) < 100 THEN 'values too small' END AS error
-    FROM events GROUP BY user_id""")
+    FROM events GROUP BY event_type""")
 def manifest_of_one_run(spark: SparkSession, sf: str) -> DataFrame:
-    """One run with a source per user, over all events."""
+    """One run with a source per type of event, over all events."""
     bronze = workspace(spark)
     small = F.max("value") < 100
     results = (
         table(spark, sf, "events")
-        .groupBy(F.concat(F.lit("user/"), "user_id").alias("source"))
+        .groupBy(F.concat(F.lit("type/"), "event_type").alias("source"))
         .agg(
             F.when(small, "failed").otherwise("success").alias("status"),
             F.when(~small, F.concat(F.lit("events/"), F.count(F.lit(1)))).alias("key"),
