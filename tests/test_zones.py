@@ -270,7 +270,7 @@ def test_all_gold_tables_from_bronze(spark, tmp_path):
     summary = read_gold(spark, gold, "be_hospitalizations_summary").first()
     assert (summary["total_hospitalized"], summary["_ingestion_date"]) == (128, dt.date(2024, 1, 16))
     build_gold(spark, silver, gold, NOW, snapshot="all")
-    assert read_gold(spark, gold, "be_hospitalizations_summary").first()["total_hospitalized"] == 480
+    assert read_gold(spark, gold, "be_hospitalizations_summary").first()["total_hospitalized"] == 256
     trends = {r["country_code"]: r for r in read_gold(spark, gold, "who_global_trends").collect()}
     assert trends["BE"]["case_fatality_rate"] == 1.0
     assert trends["LU"]["case_fatality_rate"] is None
