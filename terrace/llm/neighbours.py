@@ -248,6 +248,11 @@ def build_graph(codes: DataFrame) -> DataFrame:
     return links
 
 
+def _without_last(code: Column) -> Column:
+    """A query's code: its component beyond the vector is zero, so that its products are those sought."""
+    return F.concat(F.substring(code, 1, F.length(code) - 1), F.lit(b"\0"))
+
+
 def dot(a: Column, b: Column) -> Column:
     def batch(left: pd.Series, right: pd.Series) -> pd.Series:
         if not len(left):
@@ -314,7 +319,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embed
     )
     entries = queries.select("query", F.col("query").alias("node")).distinct()
     asked = materialize(
-        entries.join(codes.select("node", F.col("code").alias("q_code")), "node").select("query", "q_code")
+        entries.join(codes.select("node", _without_last(F.col("code")).alias("q_code")), "node").select("query", "q_code")
     )
     beam = search(entries, asked, codes, links)
     pool = Window.partitionBy("query").orderBy(F.col("near").desc(), "node")

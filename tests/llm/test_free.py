@@ -1,0 +1,270 @@
+"""Language ID, toxicity, neighbours, near copies, token files, shards and the pipeline."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from conftest import TESTDATA
+from terrace.llm import components, language_id, neighbours, sharding, simhash, token_files, toxicity
+from terrace.llm.queries import QUERIES
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard string, fp string"
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture
+def docs(spark):
+    def build(rows):
+        return spark.createDataFrame([(*r, *(None,) * (4 - len(r)), 0, "s", "f") for r in rows], DOCS)
+
+    return build
+
+
+def table(spark, name):
+    return spark.read.parquet(f"{TESTDATA}/{name}.parquet")
+
+
+# --- language ---------------------------------------------------------------
+
+
+def test_held_out_languages_are_right(spark):
+    found = QUERIES["op1_language_id"](spark, TESTDATA).join(table(spark, "documents").select("doc_id", "lang"), "doc_id")
+    rows = found.where("held_out").collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in rows) >= 0.9 * len(rows)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_texts_without_letters_and_nothing_to_learn(spark, docs):
+    some = docs([(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("le chat et le chien", "fr")] * 4)])
+    model = language_id.fit(some)
+    odd = docs([(1, None), (2, ""), (3, "12 !?"), (4, "the dog"), (4, "the dog"), (5, "le chien"), (None, "x" * 300_000)])
+    found = [(r["doc_id"], r["p"]["lang_pred"]) for r in odd.select("doc_id", language_id.predict(odd, model).alias("p")).collect()]
+    assert found[:6] == [(1, "und"), (2, "und"), (3, "und"), (4, "en"), (4, "en"), (5, "fr")] and found[6][1] in ("en", "fr")
+    nothing = language_id.fit(docs([(1, "a text")]))
+    assert {r[0]["lang_pred"] for r in odd.select(language_id.predict(odd, nothing)).collect()} == {"und"}
+    assert odd.limit(0).select(language_id.predict(odd, model)).count() == 0
+
+
+# --- toxicity ---------------------------------------------------------------
+
+
+def test_toxic_words_are_learned_from_positives_and_unlabelled(spark, docs):
+    rng = random.Random(1)
+    plain = [f"w{i}x".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(300)]
+    rows, labels = [], []
+    for i in range(800):
+        toxic = i % 8 == 0
+        text = rng.choices(plain, k=30) + rng.sample(["scoundrel", "villain", "wretch"], 2) * toxic
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+        if i % 3 == 0:
+            labels.append((i, int(toxic), "extra"))
+    frame = docs([*rows, (None, None), (9000, "")])
+    known = spark.createDataFrame([*labels, (None, 1, "x"), (5, None, "x")], "doc_id long, toxic int, quality string")
+    learn = F.col("doc_id") % 5 != 0
+    model = toxicity.fit(frame, known, learn)
+    scored = {r["doc_id"]: r["s"] for r in frame.select("doc_id", toxicity.score(frame, model).alias("s")).collect()}
+    assert len(scored) == 802 and all(0 <= s <= 1 for s in scored.values())
+    bad = [scored[i] >= 0.3 for i in range(0, 800, 40)]
+    good = [scored[i] < 0.3 for i in range(5, 800, 5) if i % 8]
+    assert sum(bad) >= 0.9 * len(bad) and sum(good) >= 0.97 * len(good)
+    none = toxicity.fit(frame, known.limit(0), learn)
+    assert frame.select(F.max(toxicity.score(frame, none))).first()[0] < 1e-9
+
+
+# --- neighbours -------------------------------------------------------------
+
+
+def nearest(ids, x, q, k):
+    s = x @ x[q]
+    order = [i for i in np.lexsort((ids, -np.round(s, 9))) if i != q][:k]
+    return [ids[i] for i in order]
+
+
+def test_recall_with_copies_and_unusable_vectors(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((1200, 16)) * rng.uniform(0.8, 1.2, (1200, 1))
+    x[400:500] = x[400]
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    odd = [(5000, None, 1), (5020, [0.0] * 16, 1), (5040, [None] * 16, 1), (5060, [float("nan")] * 16, 1), (5080, [1.0], 1),
+           (None, [1.0] * 16, 1), (7, x[7].tolist(), 2)]
+    frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>, rank int")
+    got = neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect()
+    found: dict[int, list] = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+        assert r["score"] == pytest.approx(float(x[r["vec_id"]] @ x[r["query_id"]]))
+    assert sorted(found) == list(range(0, 1200, 20))
+    ids = np.arange(1200)
+    recalls = [len(set(found[q]) & set(nearest(ids, x, q, 20))) / 20 for q in found]
+    assert np.mean(recalls) >= 0.9
+    copies = [v for v in found[400] if 400 <= v < 500]
+    assert copies and copies == list(range(401, 401 + len(copies)))
+
+
+def test_few_and_no_vectors(spark):
+    frame = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)] + [(20, [1.0, 0.0])], "vec_id long, embedding array<float>")
+    got = [(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect()]
+    assert sorted(got) == [(0, 1, 1), (0, 2, 2), (0, 3, 20), (20, 1, 0), (20, 2, 1), (20, 3, 2)]
+    assert neighbours.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+# --- near copies ------------------------------------------------------------
+
+
+def fingerprint(text):
+    import re
+
+    lowered = "".join(c.lower() if c.isascii() else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    shingles = [" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(prints, radius=2):
+    """Smallest id reachable, by brute force; ``prints`` are (id, fingerprint)."""
+    parent = list(range(len(prints)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i][1] ^ prints[j][1]).bit_count() <= radius:
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(prints):
+        least.setdefault(find(i), []).append(doc)
+    return [min((d for d in least[find(i)] if d is not None), default=None) for i in range(len(prints))]
+
+
+def test_fingerprints_and_groups_equal_brute_force(spark, docs):
+    texts = [r["text"] for r in table(spark, "documents").orderBy("doc_id").limit(120).collect()]
+    texts += ["", None, "Ö É a b", "ö é a b", "A B C D", "a b c d", "one", " \t\n", "x " * 500 + "y"]
+    rows = [*enumerate(texts), (None, "a b c d"), (500, texts[0]), (500, texts[0])]
+    found = [(r["doc_id"], r["fp"] % 2**64, r["component_id"]) for r in simhash.near_duplicates(docs(rows)).collect()]
+    prints = [(d, fingerprint(t)) for d, t in rows]
+    want = [(d, f, g) for (d, f), g in zip(prints, groups(prints), strict=True)]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+
+
+def test_links_join_all_that_are_near(spark):
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    prints = {b ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for b in base for _ in range(40)} | {0, 1 << 63}
+    numbered = list(enumerate(sorted(prints)))
+    signed = [(i, f - 2**64 if f >> 63 else f) for i, f in numbered]
+    found = {r["fp"] % 2**64: r["component_id"] for r in simhash.near_groups(spark.createDataFrame(signed, "doc_id long, fp long")).collect()}
+    assert [found[f] for _, f in numbered] == groups(numbered)
+    with pytest.raises(ValueError, match="even"):
+        simhash.near_links(spark.createDataFrame(signed, "doc_id long, fp long"), 3)
+
+
+def test_long_chains_are_one_component(spark):
+    links = [(i, i + 1) for i in range(200)] + [(1000, 1001), (1001, 1000), (5, 5), (None, 3)]
+    found = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {**dict.fromkeys(range(201), 0), 1000: 1000, 1001: 1000}
+
+
+def test_one_row_of_each_group_stays(spark, docs):
+    rows = [(3, "a b c d e"), (1, "A b c d e"), (1, "A b c d e"), (2, "something else here now"), (None, "lonely words in here"), (None, "lonely words in here"), (7, None), (8, "")]
+    kept = simhash.keep_one(docs(rows))
+    assert kept.columns == docs(rows).columns
+    assert sorted((r["doc_id"], r["text"]) for r in kept.where("doc_id is not null").collect()) == [(1, "A b c d e"), (2, "something else here now"), (7, None)]
+    assert kept.where("doc_id is null").count() == 1
+    assert simhash.keep_one(docs(rows).limit(0)).count() == 0
+
+
+# --- token files ------------------------------------------------------------
+
+TRICKY = ["", None, " ", "  two  spaces ", "a\n b\n\n c\t d", "<|endoftext|> x", "é😀  x  y", "it's 'll  've", "x" * 5000, "1 2  3\n", "\n\n", " lead", "tail "]
+
+
+def test_files_hold_the_ids_of_whole_texts(spark, docs, tmp_path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(TOKENIZER)
+    library.encode_special_tokens = True
+    texts = [*TRICKY, *[r["text"] for r in table(spark, "documents").limit(60).collect()]]
+    rows = [(100 - i, t) for i, t in enumerate(texts)] + [(100, "")]
+    token_files.write_tokens(docs(rows), str(tmp_path / "t"), TOKENIZER)
+    found = token_files.read_documents(spark, str(tmp_path / "t")).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == sorted(d for d, _ in rows)
+    by_id, start = {}, 0
+    for d, t in rows:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
+        by_id.setdefault(d, []).append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    for r in found:
+        assert (r["n_tokens"], r["ids_crc32"]) in by_id[r["doc_id"]] and r["start"] == start
+        start += r["n_tokens"]
+
+
+def test_an_empty_table_has_no_shard(spark, docs, tmp_path):
+    token_files.write_tokens(docs([(1, "x")]).limit(0), str(tmp_path / "t"), TOKENIZER)
+    assert token_files.read_documents(spark, str(tmp_path / "t")).count() == 0
+
+
+@pytest.mark.parametrize("ids", [[], [5], [7] * 1001, list(range(500)), [1, 2, 3] * 400 + [1, 2] * 99 + [3, 3, 3]])
+def test_grammars_expand_to_what_they_were_made_of(ids):
+    counts = [len(ids) // 3, 0, len(ids) - len(ids) // 3]
+    shard = token_files.Shard(token_files.write_shard(counts, np.array(ids, "<u4"), 1000))
+    parts = [d.tolist() for d in shard.documents()]
+    assert sum(parts, []) == ids and [len(p) for p in parts] == counts
+    assert [shard.document(i).tolist() for i in range(3) if counts[i]] == [p for p in parts if p]
+    assert len(ids) < 600 or len(shard.seq) < len(ids) / 2
+
+
+# --- shards -----------------------------------------------------------------
+
+
+def test_shards_are_stable_weighted_and_numbered(spark, docs):
+    rows = [(i, f"text {i}") for i in range(4000)] + [(5, "text 5"), (None, None), (None, "é")]
+    plan = sharding.plan_shards(docs(rows), [1.0] * 9 + [3.0]).collect()
+    assert len(plan) == len(rows)
+    per: dict[int, list] = {}
+    for r in plan:
+        per.setdefault(r["shard"], []).append(r["slot"])
+        assert r["grown_shard"] in (r["shard"], 10)
+        assert r["size"] == 16 + len((dict(rows).get(r["doc_id"]) or "").encode()) or r["doc_id"] is None
+    assert all(sorted(s) == list(range(len(s))) for s in per.values())
+    assert 800 < len(per[9]) < 1200 and all(230 < len(per[i]) < 440 for i in range(9))
+    assert 200 < sum(r["grown_shard"] == 10 for r in plan) < 450
+    assert len({r["shard"] for r in plan if r["doc_id"] == 5}) == 1
+    assert sharding.plan_shards(docs(rows).limit(0), [1.0] * 3).count() == 0
+
+
+# --- pipeline ---------------------------------------------------------------
+
+
+def test_stages_take_effect_and_the_output_decodes(spark, docs, monkeypatch, tmp_path):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
+    rng = random.Random(2)
+    clean = [(i, " ".join(rng.choices(words, k=40)), "en", "ab"[i % 2]) for i in range(40)]
+    leak = " ".join(words[:12])
+    rows = [*clean, (100, clean[3][1], "en", "a"), (101, f"so {leak} it is", "en", "b"), (102, "12 34 !", "en", "a"), (103, None, "en", None)]
+    docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    frame, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, frame, str(tmp_path))
+        out.write.parquet(str(tmp_path / f"stage{i}"))
+        if i < 4:
+            assert out.columns == frame.columns
+        frame = spark.read.parquet(str(tmp_path / f"stage{i}"))
+        kept.append({r["doc_id"] for r in frame.collect()})
+    assert kept[0] == {r[0] for r in rows} - {102, 103}
+    assert kept[1] == kept[0] - {100}
+    assert kept[2] == kept[1] - {101}
+    assert kept[4] == kept[3] and kept[3] <= kept[2] and len(kept[3]) > 30
+    assert frame.agg(F.max(F.col("start") + F.col("n_tokens")) - F.sum("n_tokens")).first()[0] == 0
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == frame.count()
