@@ -39,8 +39,11 @@ HEAD = struct.Struct("<4s4I")
 SHARD_IDS, SHARD_DOCS = 1 << 20, 1 << 16
 #: Rounds of replacement, counters for pairs, and how often a pair must occur.
 ROUNDS, COUNTERS, LEAST = 5, 1 << 18, 64
+#: White space after a space, where a text is not cut.
+ASCII_SPACES = [f" {chr(c)}" for c in range(128) if chr(c).isspace() and c != 32]
+ALL_SPACES = [f" {chr(c)}" for c in range(0x10000) if chr(c).isspace() and c != 32]
 #: Word pieces a worker remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 3 << 19
 END_ID = 0
 
 
@@ -65,7 +68,8 @@ class Encoder:
     def pieces(text: str) -> list[str]:
         """Cut at single spaces; all but the first piece have lost theirs."""
         cut = text.split(" ")
-        if "" in cut or any(map(str.isspace, {p[:1] for p in cut})):
+        spaces = ASCII_SPACES if text.isascii() else ALL_SPACES
+        if "" in cut or any(space in text for space in spaces):
             whole = [cut[0]]
             for p in cut[1:]:
                 if not p or p[0].isspace():
@@ -79,9 +83,10 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _learn(self, pieces: list[str], known: dict[str, bytes]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
         """Pieces without white space are encoded many at a time, a line each."""
-        plain = [p for p in pieces if len(p.split()) == 1 and p.split()[0] == p]
+        known = self.known
+        plain = [p for p in pieces if p.split() == [p]]
         for i in range(0, len(plain), 48):
             block = plain[i : i + 48]
             (ids,) = self.tokenizer.encode_batch_fast([" " + "\n ".join(block)], add_special_tokens=False)
@@ -94,8 +99,7 @@ class Encoder:
             starts = [0, *((cuts + 1) * 4).tolist()]
             ends = [*(cuts * 4).tolist(), len(data)]
             known.update((p, data[a:b]) for p, a, b in zip(block, starts, ends, strict=True))
-        plain = set(plain)
-        others = [p for p in pieces if p not in plain]
+        others = [p for p in pieces if p not in known]
         known.update(zip(others, self._library([" " + p for p in others]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -105,12 +109,13 @@ class Encoder:
         for c in cut:
             del c[0]
         unknown = list(set(chain.from_iterable(cut)).difference(self.known))
-        known = self.known
-        if len(known) + len(unknown) > REMEMBERED:
-            known = dict(known)
-        self._learn(unknown, known)
-        ids = known.__getitem__
-        return [f + b"".join(map(ids, c)) for f, c in zip(firsts, cut, strict=True)]
+        self._learn(unknown)
+        ids = self.known.__getitem__
+        encoded = [f + b"".join(map(ids, c)) for f, c in zip(firsts, cut, strict=True)]
+        if len(self.known) > REMEMBERED:
+            for p in unknown:
+                del self.known[p]
+        return encoded
 
 
 @lru_cache(maxsize=2)
@@ -118,13 +123,17 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _counter(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left * 0x9E3779B1 + right * 0x85EBCA6B >> 7) & (COUNTERS - 1)
+
+
 def repair(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (left, right), the length each expands to, and the remaining sequence.
 
     A round counts all neighbouring pairs, replaces those that occur ``LEAST`` times and
     more, the overlapping ones every second time, and leaves the rest to the next round.
     Counters are shared by the pairs that hash to them; only pairs under full counters are
-    then counted one by one.
+    then counted one by one, and the most frequent one of each counter is replaced.
     """
     seq, rules = ids.astype(np.int64), []
     lengths = np.ones(0, np.int64)
@@ -132,17 +141,21 @@ def repair(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         if len(seq) < 2:
             break
         left, right = seq[:-1], seq[1:]
-        slots = (left * 0x9E3779B1 + right * 0x85EBCA6B >> 7) & (COUNTERS - 1)
+        slots = _counter(left, right)
         full = np.bincount(slots, minlength=COUNTERS) >= LEAST
         at = np.flatnonzero(full[slots])
-        pairs, which, counts = np.unique(left[at] << 32 | right[at], return_inverse=True, return_counts=True)
-        frequent = counts >= LEAST
-        if not frequent.any():
+        found = left[at] << 32 | right[at]
+        pairs, counts = np.unique(found, return_counts=True)
+        order = np.argsort(counts, kind="stable")
+        pairs = pairs[order][np.sort(counts) >= LEAST]
+        if not len(pairs):
             break
-        number = np.cumsum(frequent) - 1
-        kept = frequent[which]
-        at, which = at[kept], number[which[kept]]
-        pairs = pairs[frequent]
+        # The most frequent pair of each counter is replaced in this round.
+        leader = np.full(COUNTERS, -1)
+        leader[_counter(pairs >> 32, pairs & 0xFFFFFFFF)] = np.arange(len(pairs))
+        which = leader[slots[at]]
+        led = (which >= 0) & (pairs[which] == found)
+        at, which = at[led], which[led]
         run = np.ones(len(at), bool)
         run[1:] = at[1:] != at[:-1] + 1
         first = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
