@@ -19,6 +19,7 @@ uint32, its pair; per rule uint32, the number of ids it expands to; uint32 symbo
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -42,6 +43,11 @@ ROUNDS, COUNTERS, LEAST = 5, 1 << 18, 64
 #: White space after a space, where a text is not cut.
 ASCII_SPACES = [f" {chr(c)}" for c in range(128) if chr(c).isspace() and c != 32]
 ALL_SPACES = [f" {chr(c)}" for c in range(0x10000) if chr(c).isspace() and c != 32]
+# The pattern by which byte-level tokenizers split texts before merging, for the
+# characters of PLAIN: letters up to U+024F, digits, visible ASCII and line feeds.
+LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+PLAIN = re.compile(f"[!-~\n{LETTER}]+")
+SPLIT = re.compile(f"'(?:[sdmt]|ll|ve|re)| ?[{LETTER}]+| ?[0-9]+| ?[^\\s0-9{LETTER}]+|\n+(?!\\S)|\n+")
 #: Word pieces a worker remembers.
 REMEMBERED = 3 << 19
 END_ID = 0
@@ -52,17 +58,27 @@ class Encoder:
 
     The tokenizer splits texts before it merges bytes, and always before a space that a
     character other than white space follows.  A text cut there has the ids of its pieces
-    in order; pieces seen before are looked up, the others go to the library.
+    in order; pieces seen before are looked up, the others go to the library.  It merges the
+    parts of plain pieces one by one, which saves tracking offsets into the text; a part that
+    several pieces share is merged once.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        #: Ids of pieces, which follow a space, and of parts of pieces that follow none.
         self.known: dict[str, bytes] = {}
-        (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.inner: dict[str, bytes] = {}
+        splits = self.tokenizer.pre_tokenizer
+        self.in_parts = isinstance(splits, ByteLevel) and splits.use_regex and not self.tokenizer.normalizer
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        plain = filter(PLAIN.match, map(chr, range(0x250)))
+        self.symbols = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in [" ", *plain]})
 
     @staticmethod
     def pieces(text: str) -> list[str]:
@@ -83,23 +99,24 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _merged(self, part: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(part.translate(self.symbols))]).tobytes()
+
     def _learn(self, pieces: list[str]) -> None:
-        """Pieces without white space are encoded many at a time, a line each."""
-        known = self.known
-        plain = [p for p in pieces if p.split() == [p]]
-        for i in range(0, len(plain), 48):
-            block = plain[i : i + 48]
-            (ids,) = self.tokenizer.encode_batch_fast([" " + "\n ".join(block)], add_special_tokens=False)
-            flat = np.array(ids.ids, np.uint32)
-            cuts = np.flatnonzero(flat == self.line_end)
-            if len(cuts) != len(block) - 1:
-                known.update(zip(block, self._library([" " + p for p in block]), strict=True))
+        known, inner, others = self.known, self.inner, []
+        for piece in pieces:
+            if not self.in_parts or not PLAIN.fullmatch(piece):
+                others.append(piece)
                 continue
-            data = flat.tobytes()
-            starts = [0, *((cuts + 1) * 4).tolist()]
-            ends = [*(cuts * 4).tolist(), len(data)]
-            known.update((p, data[a:b]) for p, a, b in zip(block, starts, ends, strict=True))
-        others = [p for p in pieces if p not in known]
+            first, *rest = SPLIT.findall(" " + piece)
+            ids = known.get(first[1:])
+            if ids is None:
+                ids = known[first[1:]] = self._merged(first)
+            if rest:
+                for part in rest:
+                    if part not in inner:
+                        inner[part] = self._merged(part)
+                known[piece] = ids + b"".join([inner[part] for part in rest])
         known.update(zip(others, self._library([" " + p for p in others]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -112,9 +129,9 @@ class Encoder:
         self._learn(unknown)
         ids = self.known.__getitem__
         encoded = [f + b"".join(map(ids, c)) for f, c in zip(firsts, cut, strict=True)]
-        if len(self.known) > REMEMBERED:
-            for p in unknown:
-                del self.known[p]
+        for remembered in (self.known, self.inner):
+            while len(remembered) > REMEMBERED:
+                remembered.popitem()
         return encoded
 
 

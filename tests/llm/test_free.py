@@ -209,6 +209,20 @@ def test_files_hold_the_ids_of_whole_texts(spark, docs, tmp_path):
         start += r["n_tokens"]
 
 
+def test_pieces_have_the_ids_the_library_gives_whole_texts(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 500)
+    encoder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert encoder.in_parts
+    letters = list("abIt''sdmtlvre    \n\n\t\r.,!?0129²½ªµºßéÿ×÷ŒǅɏɐΩ你\u00a0\x85\x1c\x0b🙂\u0301<|>")
+    draw = random.Random(3)
+    texts = ["".join(draw.choices(letters, k=draw.randrange(60))) for _ in range(3000)]
+    texts += ["it's 's 'S don't\n\nwe'll\n", "<|endoftext|> a", "ab" * 5000 + " ab"]
+    for i in range(0, len(texts), 256):
+        batch = texts[i : i + 256]
+        whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in batch]
+        assert [np.frombuffer(d, "<u4").tolist() for d in encoder.encode(batch)] == whole
+
+
 def test_an_empty_table_has_no_shard(spark, docs, tmp_path):
     token_files.write_tokens(docs([(1, "x")]).limit(0), str(tmp_path / "t"), TOKENIZER)
     assert token_files.read_documents(spark, str(tmp_path / "t")).count() == 0
