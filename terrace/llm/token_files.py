@@ -25,7 +25,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -40,9 +40,8 @@ HEAD = struct.Struct("<4s4I")
 SHARD_IDS, SHARD_DOCS = 1 << 20, 1 << 16
 #: Rounds of replacement, counters for pairs, and how often a pair must occur.
 ROUNDS, COUNTERS, LEAST = 5, 1 << 18, 64
-#: White space after a space, where a text is not cut.
-ASCII_SPACES = [f" {chr(c)}" for c in range(128) if chr(c).isspace() and c != 32]
-ALL_SPACES = [f" {chr(c)}" for c in range(0x10000) if chr(c).isspace() and c != 32]
+#: A space before white space or the end, where a text is not cut.
+NO_CUT = re.compile(r" (?:\s|\Z)")
 # The pattern by which byte-level tokenizers split texts before merging, for the
 # characters of PLAIN: letters up to U+024F, digits, visible ASCII and line feeds.
 LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -53,14 +52,15 @@ REMEMBERED = 3 << 19
 END_ID = 0
 
 
-class Encoder:
+class Encoder(dict[str, bytes]):
     """Ids of whole texts by the tokenizers library, remembering the ids of word pieces.
 
     The tokenizer splits texts before it merges bytes, and always before a space that a
     character other than white space follows.  A text cut there has the ids of its pieces
     in order; pieces seen before are looked up, the others go to the library.  It merges the
     parts of plain pieces one by one, which saves tracking offsets into the text; a part that
-    several pieces share is merged once.
+    several pieces share is merged once.  The dictionary holds the ids of pieces, each with
+    its space; a piece it misses is encoded.
     """
 
     def __init__(self, path: str):
@@ -71,8 +71,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        #: Ids of pieces, which follow a space, and of parts of pieces that follow none.
-        self.known: dict[str, bytes] = {}
+        #: Ids of the parts of pieces that follow no space.
         self.inner: dict[str, bytes] = {}
         splits = self.tokenizer.pre_tokenizer
         self.in_parts = isinstance(splits, ByteLevel) and splits.use_regex and not self.tokenizer.normalizer
@@ -84,8 +83,7 @@ class Encoder:
     def pieces(text: str) -> list[str]:
         """Cut at single spaces; all but the first piece have lost theirs."""
         cut = text.split(" ")
-        spaces = ASCII_SPACES if text.isascii() else ALL_SPACES
-        if "" in cut or any(space in text for space in spaces):
+        if NO_CUT.search(text):
             whole = [cut[0]]
             for p in cut[1:]:
                 if not p or p[0].isspace():
@@ -99,37 +97,34 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _merged(self, part: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(part.translate(self.symbols))]).tobytes()
+    def _merged(self, symbols: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        known, inner, others = self.known, self.inner, []
-        for piece in pieces:
-            if not self.in_parts or not PLAIN.fullmatch(piece):
-                others.append(piece)
-                continue
+    def __missing__(self, piece: str) -> bytes:
+        if self.in_parts and piece.isascii() and piece.isalpha():
+            ids = self._merged(self.symbols[32] + piece)
+        elif not self.in_parts or not PLAIN.fullmatch(piece):
+            (ids,) = self._library([" " + piece])
+        else:
             first, *rest = SPLIT.findall(" " + piece)
-            ids = known.get(first[1:])
-            if ids is None:
-                ids = known[first[1:]] = self._merged(first)
-            if rest:
+            if not rest:
+                ids = self._merged(first.translate(self.symbols))
+            else:
+                ids = self[first[1:]]
                 for part in rest:
-                    if part not in inner:
-                        inner[part] = self._merged(part)
-                known[piece] = ids + b"".join([inner[part] for part in rest])
-        known.update(zip(others, self._library([" " + p for p in others]), strict=True))
+                    if part not in self.inner:
+                        self.inner[part] = self._merged(part.translate(self.symbols))
+                    ids += self.inner[part]
+        self[piece] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian uint32."""
         cut = [self.pieces(t) for t in texts]
         firsts = self._library([c[0] for c in cut])
-        for c in cut:
-            del c[0]
-        unknown = list(set(chain.from_iterable(cut)).difference(self.known))
-        self._learn(unknown)
-        ids = self.known.__getitem__
-        encoded = [f + b"".join(map(ids, c)) for f, c in zip(firsts, cut, strict=True)]
-        for remembered in (self.known, self.inner):
+        ids = self.__getitem__
+        encoded = [f + b"".join(map(ids, islice(c, 1, None))) for f, c in zip(firsts, cut, strict=True)]
+        for remembered in (self, self.inner):
             while len(remembered) > REMEMBERED:
                 remembered.popitem()
         return encoded
@@ -211,15 +206,15 @@ class Shard:
         self.lengths, at = flat[at : at + rules].astype(np.int64), at + rules
         self.seq = flat[at : at + symbols].astype(np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.counts)])
-        self._ends = np.cumsum(self.sizes(self.seq))
-
-    def sizes(self, symbols: np.ndarray) -> np.ndarray:
-        if not len(self.rules):
-            return np.ones(len(symbols), np.int64)
-        return np.where(symbols >= self.base, self.lengths[np.maximum(symbols - self.base, 0)], 1)
-
-    def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """Replace all rule symbols by their pairs until none is left."""
+        # All symbols in one table: an id stands for itself, a rule for the ids it expands to.
+        self.widths = np.concatenate([np.ones(self.base, np.int64), self.lengths.astype(np.int64)])
+        self._at = np.cumsum(self.widths) - self.widths
+        self._ids = np.concatenate([np.arange(self.base), self._rule_ids()]).astype("<u4")
+        self._ends = np.cumsum(self.widths[self.seq])
+
+    def _rule_ids(self) -> np.ndarray:
+        """The ids of all rules: symbols are replaced by their pairs until no rule is left."""
+        symbols = self.base + np.arange(len(self.rules))
         while len(named := np.flatnonzero(symbols >= self.base)):
             width = np.ones(len(symbols), np.int64)
             width[named] = 2
@@ -229,7 +224,14 @@ class Shard:
             pairs = self.rules[symbols[named] - self.base]
             grown[starts[named]], grown[starts[named] + 1] = pairs[:, 0], pairs[:, 1]
             symbols = grown
-        return symbols.astype("<u4")
+        return symbols
+
+    def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids that a sequence of symbols stands for."""
+        width = self.widths[symbols]
+        place = np.repeat(self._at[symbols] - np.cumsum(width) + width, width)
+        place += np.arange(len(place))
+        return self._ids[place]
 
     def document(self, i: int) -> np.ndarray:
         """The ids of document ``i`` alone: only the symbols that reach into it are expanded."""

@@ -221,6 +221,7 @@ def test_pieces_have_the_ids_the_library_gives_whole_texts(monkeypatch):
         batch = texts[i : i + 256]
         whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in batch]
         assert [np.frombuffer(d, "<u4").tolist() for d in encoder.encode(batch)] == whole
+        assert len(encoder) <= 500
 
 
 def test_an_empty_table_has_no_shard(spark, docs, tmp_path):
