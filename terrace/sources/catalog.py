@@ -47,7 +47,8 @@ def register_zone(
     """Create or update one external table per table of the zone; returns their names.
 
     New partitions and new columns are added in place.  A table whose files have moved or
-    changed a column's type is registered anew; its files are not touched.
+    changed a column's type is registered anew; its files are not touched.  Two tables
+    that would have one name are an error, raised before any is registered.
     Partition columns are STRING, as their directories are.  ``merge_schema``
     looks at the footers of all files for columns that only some of them have.
     """
@@ -56,14 +57,18 @@ def register_zone(
     # One short row per table.
     found = discover_tables(spark, zone_root).collect()
     leaves = Counter(r["location"].rsplit("/", 1)[-1] for r in found)
-    names = []
+    named = {}
     for row in sorted(found, key=lambda r: r["location"]):
         leaf = row["location"].rsplit("/", 1)[-1]
         name = leaf if leaves[leaf] == 1 else row["location"].replace("/", "_")
-        table = f"{database}.`{name}`"
+        clashes = [r["location"] for n, r in named.items() if n.lower() == name.lower()]
+        if clashes:
+            raise ValueError(f"{clashes[0]} and {row['location']} would both be {database}.{name}")
+        named[name] = row
+    for name, row in named.items():
         path = f"{zone_root.rstrip('/')}/{row['location']}"
-        _register(spark, table, path, list(row["partition_columns"]), merge_schema)
-        names.append(name)
+        _register(spark, f"{database}.`{name}`", path, list(row["partition_columns"]), merge_schema)
+    names = list(named)
     for known in spark.catalog.listTables(database):
         if not known.isTemporary and known.name not in {n.lower() for n in names}:
             log.warning("%s.%s is not in %s any more", database, known.name, zone_root)

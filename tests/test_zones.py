@@ -446,3 +446,12 @@ def test_paths_below_a_root_that_occurs_twice(spark):
 
     paths = spark.createDataFrame([("file:/data/x/data/y/p",), ("file:///data/q",)], "path string")
     assert [r[0] for r in paths.select(relative("path", "/data/")).collect()] == ["x/data/y/p", "q"]
+
+
+def test_tables_that_would_share_a_name_are_refused(spark, tmp_path):
+    for location in ("a_b/c", "a/b_c", "x/c", "x/b_c"):
+        spark.createDataFrame([(1,)], "v int").write.parquet(f"{tmp_path}/{location}")
+    with pytest.raises(ValueError, match="a_b_c"):
+        register_zone(spark, "clash_test", str(tmp_path))
+    assert spark.catalog.listTables("clash_test") == []
+    spark.sql("DROP DATABASE clash_test CASCADE")

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import replace
 from functools import cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.layout import SNAPSHOT, snapshot_keys, source_dir, workspace
@@ -17,8 +17,8 @@ from terrace.operators.quality import NotNull
 from terrace.operators.snapshots import expired_snapshots, keep_recent, latest_only
 from terrace.plans import gold, reports
 from terrace.plans.silver import backfill_silver, build_silver
-from terrace.registry import JSON_LINES
-from terrace.sources.bronze import read_bronze
+from terrace.registry import JSON_LINES, lookup
+from terrace.sources.bronze import CORRUPT, read_bronze
 from terrace.sources.catalog import register_zone
 from terrace.sources.files import snapshots_newest_first
 from terrace.sources.gold import read_gold, write_gold
@@ -68,6 +68,10 @@ def documents(
     )
 
 
+def _path_columns() -> list[Column]:
+    return [c.alias(n) for n, c in snapshot_keys(F.col("run_date")).items()]
+
+
 def write_json_snapshots(raw: DataFrame, root: str, source: str) -> None:
     """Raw rows as multi-line JSON arrays, several records to a document, by run date."""
     columns = [c for c in raw.columns if c != "run_date"]
@@ -186,6 +190,25 @@ def landed_files(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+@query("""
+    SELECT CASE WHEN event_id % 7 <> 0 THEN event_type END AS region,
+           CASE WHEN event_id % 7 <> 0 THEN cast(event_id AS varchar) END AS event_id,
+           CASE WHEN event_id % 7 = 0 THEN '{"EVENT-ID": "' || event_id END AS broken
+    FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 3 = 0)""")
+def bronze_corrupt_records(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON Lines of which every seventh id breaks off; its text is kept."""
+    bronze = workspace(spark)
+    number = F.col("`EVENT-ID`")
+    broken = F.concat(F.lit('{"EVENT-ID": "'), number)
+    record = F.when(number % 7 == 0, broken).otherwise(F.to_json(F.struct("REGION", "EVENT-ID")))
+    lines = raw_events(spark, sf).select(record.alias("value"), *_path_columns())
+    lines.write.partitionBy(*SNAPSHOT).text(source_dir(bronze, LINES.name))
+    read = read_bronze(spark, LINES, bronze, declared=True, corrupt=True)
+    return read.select(
+        F.col("REGION").alias("region"), number.alias("event_id"), F.col(CORRUPT).alias("broken")
+    )
+
+
 # --- run records ------------------------------------------------------------
 
 
@@ -314,6 +337,32 @@ def silver_of_one_date(spark: SparkSession, sf: str) -> DataFrame:
     return read_silver(spark, _silver(spark, sf), EVENTS.name, "2024-01-20")
 
 
+@query(f"SELECT * FROM ({SILVER_SQL}) WHERE _ingestion_date >= date '2024-01-30' - 10")
+def silver_retained(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshots within retention, by the partition columns of the files."""
+    silver = read_silver(spark, _silver(spark, sf), EVENTS.name, "all")
+    return keep_recent(silver, "2024-01-30", 10)
+
+
+@query(f"""
+    SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS date_reported,
+           o_orderstatus AS country_code, 'Country, ' || o_orderkey AS country,
+           o_orderpriority AS who_region, cast(trunc(o_totalprice) AS int) AS new_cases,
+           cast(o_custkey AS int) AS cumulative_cases,
+           CASE WHEN o_orderkey % 4 <> 0 THEN cast(o_orderkey % 9 AS int) END AS new_deaths,
+           'x' AS note, cast(date_trunc('month', o_orderdate) AS date) AS _ingestion_date,
+           'who/global_covid' AS _source, '{PROCESSED_AT}' AS _processed_at,
+           year(o_orderdate)::int AS year, month(o_orderdate)::int AS month, 1::int AS day
+    FROM orders""")
+def silver_csv_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV snapshots of a registered source, looked up by name and cleaned."""
+    base = workspace(spark)
+    spec = lookup("who/global_covid")
+    write_csv_snapshots(raw_orders(spark, sf), f"{base}/bronze", spec.name)
+    backfill_silver(spark, spec.name, f"{base}/bronze", f"{base}/silver", PROCESSED_AT)
+    return read_silver(spark, f"{base}/silver", spec.name, "all")
+
+
 @query("""
     SELECT o_orderkey, o_totalprice, year(o_orderdate)::int AS year,
            month(o_orderdate)::int AS month, day(o_orderdate)::int AS day
