@@ -47,8 +47,8 @@ NO_CUT = re.compile(r" (?:\s|\Z)")
 LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 PLAIN = re.compile(f"[!-~\n{LETTER}]+")
 SPLIT = re.compile(f"'(?:[sdmt]|ll|ve|re)| ?[{LETTER}]+| ?[0-9]+| ?[^\\s0-9{LETTER}]+|\n+(?!\\S)|\n+")
-#: Word pieces a worker remembers.
-REMEMBERED = 3 << 19
+#: Word pieces a worker remembers, some 150 MB.
+REMEMBERED = 1 << 19
 END_ID = 0
 
 
