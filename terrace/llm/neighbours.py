@@ -13,7 +13,11 @@ a hash where a node has more than ``REVERSE``; that is NN-descent's own sampling
 is measured against brute force in the tests.
 
 Largest inner product becomes nearest by one more component, sqrt(M**2 - |x|**2) with M the
-largest norm.  The graph and the walk compare codes of one byte per component.
+largest norm.  Codes hold the components as floats and that one as a double, so that neither
+a row of large norm nor a group of close vectors makes codes equal; graph and walk compare
+them in doubles, the graph by distance, whose size does not grow with M.  Walks also start
+from the nodes of the largest norms, which few links lead to; those are expanded for the
+queries that they are nearer to than their own node.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no
 part, nor do rows without an id or of another length than most; rows that repeat an id and
@@ -44,8 +48,10 @@ ROUNDS, SETTLED = 3, 0.1
 PAIRS = 8
 #: Width of a query's beam, nodes expanded per step, and nodes scored exactly.
 BEAM, EXPANDED, POOL = 192, 64, 64
+#: Nodes of largest norm that all queries look at first.
+HEADS = 32
 
-LINK = "src long, dst long, near int"
+LINK = "src long, dst long, near double"
 
 
 def usable_vectors(rows: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -74,7 +80,7 @@ def _square(vector: Column) -> Column:
 
 
 def codes_of(nodes: DataFrame) -> DataFrame:
-    """``node, code, leaves``: a byte per component, and the side of each set of planes."""
+    """``node, code, size, leaves``: the components and the one beyond, the norm, and the side of each set of planes."""
     stats = nodes.agg(
         F.count(F.lit(1)).alias("n"),
         F.sqrt(F.max(_square(F.col("vector")))).alias("norm"),
@@ -86,30 +92,26 @@ def codes_of(nodes: DataFrame) -> DataFrame:
     planes = np.random.default_rng(7).standard_normal((len(mean), sets * depth))
     norm = stats["norm"] or 1.0
 
-    def widened(vectors: pd.Series) -> np.ndarray:
-        x = np.stack(vectors.to_numpy()).astype(np.float64)
-        last = np.sqrt(np.maximum(norm**2 - (x**2).sum(axis=1), 0))
-        return np.hstack([x, last[:, None]])
-
-    def peaks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                yield pd.DataFrame({"peak": [float(np.abs(widened(batch["vector"])).max())]})
-
-    only = nodes.select("vector")
-    peak = only.mapInPandas(peaks, "peak double").agg(F.max("peak")).first()[0] or 1.0
-
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            x = widened(batch["vector"])
-            code = np.rint(x * (127 / peak)).astype(np.int8)
-            sides = ((x[:, :-1] - mean) @ planes > 0).reshape(len(x), sets, depth)
+            x = np.stack(batch["vector"].to_numpy()).astype(np.float64)
+            code = (x / norm).astype(np.float32)
+            square = (code.astype(np.float64) ** 2).sum(axis=1)
+            last = np.sqrt(np.maximum(1 - square, 0))
+            sides = ((x - mean) @ planes > 0).reshape(len(x), sets, depth)
             leaves = sides @ (1 << np.arange(depth, dtype=np.int64))
-            yield pd.DataFrame({"node": batch["node"], "code": [c.tobytes() for c in code], "leaves": list(leaves)})
+            yield pd.DataFrame(
+                {
+                    "node": batch["node"],
+                    "code": [c.tobytes() + l.tobytes() for c, l in zip(code, last, strict=True)],
+                    "size": np.sqrt(square),
+                    "leaves": list(leaves),
+                }
+            )
 
-    return nodes.select("node", "vector").mapInPandas(encode, "node long, code binary, leaves array<long>")
+    return nodes.select("node", "vector").mapInPandas(encode, "node long, code binary, size double, leaves array<long>")
 
 
 def _fields(column: pa.Array) -> tuple[np.ndarray, pa.StructArray]:
@@ -118,10 +120,22 @@ def _fields(column: pa.Array) -> tuple[np.ndarray, pa.StructArray]:
     return np.concatenate([[0], np.cumsum(sizes)]), column.flatten()
 
 
-def _codes(column: pa.Array) -> np.ndarray:
+def _parts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The components of codes, and the one beyond, as doubles."""
+    x = np.ascontiguousarray(data[:, :-8]).view(np.float32).astype(np.float64)
+    return x, np.ascontiguousarray(data[:, -8:]).view(np.float64).ravel()
+
+
+def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], np.int8)[ends[0] : ends[-1]]
-    return data.reshape(len(column), -1).astype(np.float32)
+    data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    return _parts(data.reshape(len(column), -1))
+
+
+def _nearness(x: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Minus half the squared distance of each two codes: in order, their products."""
+    half = (x**2).sum(axis=1) / 2
+    return x @ x.T - half[:, None] - half - (last[:, None] - last) ** 2 / 2
 
 
 def _links(src: list, dst: list, near: list) -> pa.RecordBatch:
@@ -129,7 +143,7 @@ def _links(src: list, dst: list, near: list) -> pa.RecordBatch:
         return np.concatenate(parts).astype(kind) if parts else np.empty(0, kind)
 
     return pa.RecordBatch.from_arrays(
-        [pa.array(joined(src, np.int64)), pa.array(joined(dst, np.int64)), pa.array(joined(near, np.int32))],
+        [pa.array(joined(src, np.int64)), pa.array(joined(dst, np.int64)), pa.array(joined(near, np.float64))],
         names=["src", "dst", "near"],
     )
 
@@ -149,14 +163,14 @@ def block_links(codes: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, rows = _fields(batch.column("rows"))
-            ids, code = rows.field("node").to_numpy(), _codes(rows.field("code"))
+            ids, (code, last) = rows.field("node").to_numpy(), _codes(rows.field("code"))
             many = batch.column("single").to_pylist()
             src, dst, near = [], [], []
             for a, b, single in zip(at[:-1], at[1:], many, strict=True):
                 best = min(LINKS if single else OFFERED, b - a - 1)
                 if best < 1:
                     continue
-                dots = code[a:b] @ code[a:b].T
+                dots = _nearness(code[a:b], last[a:b])
                 np.fill_diagonal(dots, -np.inf)
                 top = np.argpartition(-dots, best - 1, axis=1)[:, :best]
                 src.append(np.repeat(ids[a:b], best))
@@ -196,10 +210,10 @@ def joined_links(links: DataFrame) -> DataFrame:
 def descent_round(links: DataFrame, codes: DataFrame) -> DataFrame:
     """Offers among the nodes each node is linked with, where one of the two is new there."""
     bars = links.groupBy("src").agg(F.min("near").alias("least"), F.count(F.lit(1)).alias("n")).select(
-        F.col("src").alias("b_node"), F.when(F.col("n") >= LINKS, F.col("least")).otherwise(F.lit(-(1 << 31))).alias("bar")
+        F.col("src").alias("b_node"), F.when(F.col("n") >= LINKS, F.col("least")).otherwise(F.lit(float("-inf"))).alias("bar")
     )
     known = codes.join(bars, F.col("node") == F.col("b_node"), "left").select(
-        "node", "code", F.coalesce("bar", F.lit(-(1 << 31))).alias("bar")
+        "node", "code", F.coalesce("bar", F.lit(float("-inf"))).alias("bar")
     )
     groups = (
         joined_links(links)
@@ -212,14 +226,14 @@ def descent_round(links: DataFrame, codes: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, rows = _fields(batch.column("rows"))
-            ids, code = rows.field("node").to_numpy(), _codes(rows.field("code"))
+            ids, (code, last) = rows.field("node").to_numpy(), _codes(rows.field("code"))
             bar = rows.field("bar").to_numpy()
             fresh = rows.field("fresh").to_numpy(zero_copy_only=False)
             src, dst, near = [], [], []
             for a, b in zip(at[:-1], at[1:], strict=True):
                 if b - a < 2:
                     continue
-                dots = code[a:b] @ code[a:b].T
+                dots = _nearness(code[a:b], last[a:b])
                 dots[~(fresh[a:b, None] | fresh[None, a:b])] = -np.inf
                 np.fill_diagonal(dots, -np.inf)
                 best = min(PAIRS, b - a - 1)
@@ -248,26 +262,23 @@ def build_graph(codes: DataFrame) -> DataFrame:
     return links
 
 
-def _without_last(code: Column) -> Column:
-    """A query's code: its component beyond the vector is zero, so that its products are those sought."""
-    return F.concat(F.substring(code, 1, F.length(code) - 1), F.lit(b"\0"))
-
+def dot(code: Column, asked: Column) -> Column:
+    """The products sought: of the components, without the one beyond."""
 
-def dot(a: Column, b: Column) -> Column:
     def batch(left: pd.Series, right: pd.Series) -> pd.Series:
         if not len(left):
-            return pd.Series([], dtype="int32")
-        x, y = (np.frombuffer(b"".join(s), np.int8).reshape(len(s), -1).astype(np.int32) for s in (left, right))
-        return pd.Series(np.einsum("ij,ij->i", x, y).astype(np.int32))
+            return pd.Series([], dtype="float64")
+        x, y = (_parts(np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1))[0] for s in (left, right))
+        return pd.Series(np.einsum("ij,ij->i", x, y))
 
-    return F.pandas_udf(batch, "int")(a, b)
+    return F.pandas_udf(batch, "double")(code, asked)
 
 
-def search(entries: DataFrame, asked: DataFrame, codes: DataFrame, links: DataFrame) -> DataFrame:
-    """``query, node, near``: each query's beam at the end of its walk.
+def search(asked: DataFrame, codes: DataFrame, links: DataFrame) -> DataFrame:
+    """``query, node, near``: each query's beam at the end of its walk from its own node and the heads.
 
-    ``entries`` has ``query, node`` to start from, ``asked`` has ``query, q_code``.  A step expands
-    the best nodes of each beam that are not yet expanded; the walk ends when there are none.
+    ``asked`` has ``query, q_code``, a query being a node.  A step expands the best nodes of each
+    beam that are not yet expanded; the walk ends when there are none.
     """
     ship_library(codes.sparkSession)
     steps = materialize(joined_links(links).select(F.col("src").alias("from"), F.col("dst").alias("to")))
@@ -281,7 +292,15 @@ def search(entries: DataFrame, asked: DataFrame, codes: DataFrame, links: DataFr
 
     best = Window.partitionBy("query").orderBy(F.col("near").desc(), "node")
     turn = Window.partitionBy("query", "done").orderBy(F.col("near").desc(), "node")
-    beam = materialize(scored(entries.distinct()))
+    first = codes.orderBy(F.desc("size"), "node").select("node", "code").limit(HEADS).collect()
+    heads = codes.sparkSession.createDataFrame(first, "node long, code binary")
+    own, near = dot(F.col("q_code"), F.col("q_code")), dot(F.col("code"), F.col("q_code"))
+    seen = asked.crossJoin(heads).where("query != node").select("query", "node", near.alias("near"), own.alias("own"))
+    beam = materialize(
+        asked.select("query", F.col("query").alias("node"), own.alias("near"), F.lit(False).alias("done")).unionByName(
+            seen.select("query", "node", "near", (F.col("near") <= F.col("own")).alias("done"))
+        )
+    )
     while not (front := beam.where("not done")).isEmpty():
         chosen = front.withColumn("n", F.row_number().over(turn)).where(F.col("n") <= EXPANDED)
         reached = chosen.join(steps, F.col("node") == F.col("from")).select("query", F.col("to").alias("node")).distinct()
@@ -317,11 +336,9 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embed
         .join(nodes.select("vector", F.col("node").alias("query")), F.col("q_vector") == F.col("vector"))
         .select("query_id", "query")
     )
-    entries = queries.select("query", F.col("query").alias("node")).distinct()
-    asked = materialize(
-        entries.join(codes.select("node", _without_last(F.col("code")).alias("q_code")), "node").select("query", "q_code")
-    )
-    beam = search(entries, asked, codes, links)
+    own = codes.select(F.col("node").alias("query"), F.col("code").alias("q_code"))
+    asked = materialize(queries.select("query").distinct().join(own, "query"))
+    beam = search(asked, codes, links)
     pool = Window.partitionBy("query").orderBy(F.col("near").desc(), "node")
     found = beam.withColumn("n", F.row_number().over(pool)).where(F.col("n") <= POOL).select("query", "node")
     sought = nodes.select(F.col("node").alias("s_node"), F.col("vector").alias("q_vector"))

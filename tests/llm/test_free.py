@@ -109,6 +109,24 @@ def test_recall_with_copies_and_unusable_vectors(spark, monkeypatch):
     assert copies and copies == list(range(401, 401 + len(copies)))
 
 
+def recall(spark, x):
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found: dict[int, set] = {}
+    for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    x, ids = x.astype(np.float32).astype(float), np.arange(len(x))
+    assert sorted(found) == list(range(0, len(x), 20))
+    return {q: len(found[q] & set(nearest(ids, x, q, 20))) / 20 for q in found}
+
+
+def test_one_row_of_large_norm_leaves_the_others_their_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    x = np.random.default_rng(4).standard_normal((1500, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[777] *= 100
+    assert np.mean(list(recall(spark, x).values())) >= 0.9
+
+
 def test_few_and_no_vectors(spark):
     frame = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)] + [(20, [1.0, 0.0])], "vec_id long, embedding array<float>")
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect()]
