@@ -3,7 +3,8 @@
 Three known forms are found by pattern.  Beyond them, candidate strings of each character
 class are read through a sliding window whose Shannon entropy is kept up to date by the
 counts of the one character that enters and the one that leaves; an allow-list suppresses
-what only looks random.  DataFrame functions throughout, one scan, no shuffle.
+what only looks random, and no more than that: the rest of a candidate with filler in it, and
+each segment of a path, is read alone.  DataFrame functions throughout, one scan, no shuffle.
 
 Positions come from the pieces between matches, so they are in code points.  Defined
 results: a null or empty text has no spans; texts of any length are scanned whole;
@@ -30,12 +31,19 @@ HEX_RUN = r"(?<![A-Za-z0-9+/_=-])[0-9A-Fa-f-]{20,}(?![A-Za-z0-9+/_=-])"
 BASE64_RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 HEX_ALPHABET = "0123456789abcdefABCDEF-"
 BASE64_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: What looks random but is none: identifiers, paths, separators and filler.
+#: Whole candidates that look random but are none: identifiers and the sample keys of manuals.
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
-    r"|(?i)example|sample|placeholder|changeme|dummy|lorem|xxxx|0123456789|abcdefgh"
-    r"|^[a-z0-9_-]*(/[a-z0-9_-]*){2,}$"
+    r"|^[A-Za-z0-9/+]{13,33}EXAMPLE(?:KEY)?$"
 )
+#: Filler, at which candidates are cut; what is left on either side is scanned.
+FILLER = (
+    r"(?i:example|sample|placeholder|changeme|dummy|lorem|x{4,}|0123456789"
+    r"|abcdefgh(?:ijklmnop(?:qrstuvwxyz)?)?)"
+)
+#: Lower-case paths are cut at each slash too, and segments of plain words are allowed.
+PATH = r"^(?=[^/]*/[^/]*/)[a-z0-9_/-]+$"
+WORDS = r"^[a-z]*[0-9]*(?:[_-]+[a-z]*[0-9]*)*+$"
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -139,9 +147,34 @@ def entropy_span(value: Column, alphabet: str, window: int, bits: float) -> Colu
     )
 
 
+def _cut(value: Column, pattern: str) -> Column:
+    """``start, value`` of the pieces between the matches."""
+    parts = F.arrays_zip(
+        F.split(value, pattern, -1).alias("gap"), F.regexp_extract_all(value, F.lit(pattern), F.lit(0)).alias("match")
+    )
+
+    def step(acc, x):
+        end = acc["at"] + F.length(x["gap"])
+        piece = F.struct(acc["at"].alias("start"), x["gap"].alias("value"))
+        return F.struct(
+            (end + F.coalesce(F.length(x["match"]), F.lit(0))).alias("at"),
+            F.concat(acc["pieces"], F.array(piece)).alias("pieces"),
+        )
+
+    none = F.array().cast("array<struct<start:int,value:string>>")
+    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("pieces")), step, lambda acc: acc["pieces"])
+
+
+def _not_allowed(value: Column, window: int) -> Column:
+    """``start, value`` of the pieces of a candidate that are to be scanned."""
+    segments = F.filter(_cut(value, rf"/|{FILLER}"), lambda p: ~p["value"].rlike(WORDS))
+    pieces = F.when(value.rlike(PATH), segments).otherwise(_cut(value, FILLER))
+    return F.filter(pieces, lambda p: F.length(p["value"]) >= window)
+
+
 def _random_runs(text: Column, pattern: str, alphabet: str, mixed: str, window: int, bits: float) -> Column:
-    """Entropy spans of the candidates of one class that hold ``mixed`` and are not allowed."""
-    candidates = F.filter(
+    """Entropy spans of the candidates of one class, or pieces of them, that hold ``mixed`` and are not allowed."""
+    whole = F.filter(
         F.transform(
             _matches(text, pattern, 3, 0, window),
             lambda s: F.struct(
@@ -150,6 +183,14 @@ def _random_runs(text: Column, pattern: str, alphabet: str, mixed: str, window:
         ),
         lambda c: c["value"].rlike(mixed) & ~c["value"].rlike(ALLOWED),
     )
+    pieces = F.transform(
+        whole,
+        lambda c: F.transform(
+            _not_allowed(c["value"], window),
+            lambda p: F.struct((c["start"] + p["start"]).alias("start"), p["value"].alias("value")),
+        ),
+    )
+    candidates = F.filter(F.flatten(pieces), lambda c: c["value"].rlike(mixed))
     spans = F.transform(
         candidates,
         lambda c: F.transform(

@@ -225,5 +225,22 @@ def test_random_strings_are_found_and_allowed_ones_are_not(spark, docs):
     assert red.first()["t"] == "key [secret] end"
 
 
+def random_spans(docs, texts):
+    rows = secret_scan.find_secrets(docs(list(enumerate(texts)))).select("row.text", "random").collect()
+    return {r["text"]: [(s["start"], s["end"]) for s in r["random"]] for r in rows}
+
+
+def test_the_allow_list_silences_no_more_than_it_names(docs):
+    key, low = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzQ81mKLpT4", "zk9fq2mx7plr4tnv8cby1hd0swq"
+    mixed = "Zk9fQ2mX7pLr4TnV8cBy1Hd0sWq"
+    texts = {f"a {key} b": [(2, 2 + len(key))], f"GET /v1/keys/{low} ok": [(13, 13 + len(low))]}
+    for filler in ("xxxx", "sample", "EXAMPLE", "0123456789"):
+        texts[f"é {filler}/{filler}{mixed}{filler} z"] = [(3 + 2 * len(filler), 3 + 2 * len(filler) + len(mixed))]
+    silent = ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "see /blog/how-we-moved-to-python3-in-10-quick-steps/part2",
+              "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+              "8f14e45f-ceea-467f-9d6b-1a2b3c4d5e6f", "a/1/" * 5000]
+    assert random_spans(docs, [*texts, *silent]) == texts | dict.fromkeys(silent, [])
+
+
 def test_digest_of_no_secret(spark, docs):
     assert hashlib.sha256(b"").hexdigest() == docs([(1, "x")]).select(F.sha2(F.lit(""), 256)).first()[0]
