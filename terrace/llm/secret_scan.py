@@ -27,7 +27,8 @@ HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "entropy")
 
 #: Candidate strings by character class, and the entropy in bits that a window must reach.
-HEX_RUN = r"(?<![A-Za-z0-9+/_=-])[0-9A-Fa-f-]{20,}(?![A-Za-z0-9+/_=-])"
+#: Runs of hexadecimal digits end at what is neither letter nor digit, or begin after 0x.
+HEX_RUN = r"(?:(?<![A-Za-z0-9])|(?<=(?<![A-Za-z0-9])0[xX]))[0-9A-Fa-f-]{20,}(?![A-Za-z0-9])"
 BASE64_RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 HEX_ALPHABET = "0123456789abcdefABCDEF-"
 BASE64_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -205,12 +206,29 @@ def _random_runs(text: Column, pattern: str, alphabet: str, mixed: str, window:
     return F.when(text.rlike(pattern), F.filter(spans, lambda s: s["start"].isNotNull())).otherwise(_nothing())
 
 
+def _merged(spans: Column) -> Column:
+    """Spans by start, those that overlap as one."""
+
+    def step(acc, s):
+        last = F.try_element_at(acc, F.lit(-1))
+        both = F.struct(
+            last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end")
+        )
+        others = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
+        return F.when(last["end"] > s["start"], F.concat(others, F.array(both))).otherwise(F.concat(acc, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), _nothing(), step)
+
+
 def random_strings(
     text: Column, window: int = 20, hex_bits: float = 3.0, base64_bits: float = 3.7
 ) -> Column:
-    """Spans of high entropy.  Strings of the wider class must hold a letter and a digit."""
+    """Spans of high entropy.  Strings of the wider class must hold a letter and a digit.
+
+    Hexadecimal runs may lie inside strings of the wider class; spans that overlap are one.
+    """
     wide = r"^(?=.*[0-9])(?=.*[A-Za-z])(?=.*[^0-9A-Fa-f-])"
-    return F.array_sort(
+    return _merged(
         F.concat(
             _random_runs(text, HEX_RUN, HEX_ALPHABET, "[0-9].*[A-Fa-f]|[A-Fa-f].*[0-9]", window, hex_bits),
             _random_runs(text, BASE64_RUN, BASE64_ALPHABET, wide, window, base64_bits),

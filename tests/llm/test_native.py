@@ -242,5 +242,16 @@ def test_the_allow_list_silences_no_more_than_it_names(docs):
     assert random_spans(docs, [*texts, *silent]) == texts | dict.fromkeys(silent, [])
 
 
+def test_hexadecimal_runs_are_found_after_any_separator(docs):
+    hexes = "9F86D081884C7D659A2FEAA0"
+    texts = {}
+    for before in ("KEY=", "id_", "/", "a/b/", "k:", "+", "0x", "key-", "KEY=0x"):
+        for after in ("", "=", "/", "_z", " "):
+            texts[f"é {before}{hexes}{after}"] = (2 + len(before), 2 + len(before) + len(hexes))
+    for text, spans in random_spans(docs, list(texts)).items():
+        (span,) = spans
+        assert span[0] <= texts[text][0] and texts[text][1] <= span[1], text
+
+
 def test_digest_of_no_secret(spark, docs):
     assert hashlib.sha256(b"").hexdigest() == docs([(1, "x")]).select(F.sha2(F.lit(""), 256)).first()[0]
