@@ -52,7 +52,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix; a row per document read back from them."""
     path = workspace(spark)
-    token_files.write_tokens(docs, path, TOKENIZER)
+    token_files.write_tokens(docs, path, TOKENIZER, escape_special=False)
     return token_files.read_documents(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

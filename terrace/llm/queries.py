@@ -252,7 +252,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark)
     docs = table(spark, sf_dir, "documents")
-    token_files.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    token_files.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"), escape_special=False)
     return token_files.read_documents(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

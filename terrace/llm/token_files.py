@@ -61,15 +61,23 @@ class Encoder(dict[str, bytes]):
     parts of plain pieces one by one, which saves tracking offsets into the text; a part that
     several pieces share is merged once.  The dictionary holds the ids of pieces, each with
     its space; a piece it misses is encoded.
+
+    Texts that hold an added token are encoded whole by the library, as it splits them there.
+    With ``escape_special``, the names of special tokens are text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, escape_special: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = escape_special
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        split = [t for t in added if not (escape_special and t.special)]
+        self.added = [t.content for t in split]
+        # What a normalizer makes of a text may hold a token that the text does not.
+        self.always_whole = self.tokenizer.normalizer is not None and any(t.normalized for t in split)
         self.model = self.tokenizer.model
         #: Ids of the parts of pieces that follow no space.
         self.inner: dict[str, bytes] = {}
@@ -93,6 +101,9 @@ class Encoder(dict[str, bytes]):
             cut = whole
         return cut
 
+    def _whole(self, text: str) -> bool:
+        return self.always_whole or any(token in text for token in self.added)
+
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
@@ -120,7 +131,7 @@ class Encoder(dict[str, bytes]):
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian uint32."""
-        cut = [self.pieces(t) for t in texts]
+        cut = [[t] if self._whole(t) else self.pieces(t) for t in texts]
         firsts = self._library([c[0] for c in cut])
         ids = self.__getitem__
         encoded = [f + b"".join(map(ids, islice(c, 1, None))) for f, c in zip(firsts, cut, strict=True)]
@@ -131,8 +142,8 @@ class Encoder(dict[str, bytes]):
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, escape_special: bool) -> Encoder:
+    return Encoder(path, escape_special)
 
 
 def _counter(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -249,7 +260,9 @@ class Shard:
 SHARD = "part int, shard int, before long, n_ids long, doc_ids array<long>, data binary"
 
 
-def encode_shards(docs: DataFrame, path: str, vocabulary: int | None = None, end_id: int = END_ID) -> DataFrame:
+def encode_shards(
+    docs: DataFrame, path: str, vocabulary: int | None = None, end_id: int = END_ID, escape_special: bool = True
+) -> DataFrame:
     """One row per shard: its place, the ids before it in its part, its documents, its file.
 
     Parts are ranges of document ids; rows that share an id are ordered by a hash of the text.
@@ -265,7 +278,7 @@ def encode_shards(docs: DataFrame, path: str, vocabulary: int | None = None, end
     )
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path)
+        encode = encoder(path, escape_special)
         base = vocabulary or encode.tokenizer.get_vocab_size()
         tail = struct.pack("<I", end_id)
         names, counts, data, held = [], [], [], 0
@@ -296,8 +309,8 @@ def encode_shards(docs: DataFrame, path: str, vocabulary: int | None = None, end
     return ordered.mapInPandas(pack, SHARD)
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
-    encode_shards(docs, tokenizer).write.parquet(path)
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, escape_special: bool = True) -> None:
+    encode_shards(docs, tokenizer, escape_special=escape_special).write.parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -242,6 +242,22 @@ def test_pieces_have_the_ids_the_library_gives_whole_texts(monkeypatch):
         assert len(encoder) <= 500
 
 
+def test_queries_give_the_ids_of_the_library_with_its_defaults(spark, docs, tmp_path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(TOKENIZER)
+    texts = [*TRICKY, "<|endoftext|> a", "a <|endoftext|>", "two words<|endoftext|><|endoftext|>  it's", "<|endoftext|", "<| endoftext |> x"]
+    docs(list(enumerate(texts))).write.parquet(str(tmp_path / "documents.parquet"))
+    want, start = [], 0
+    for i, t in enumerate(texts):
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    rows = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for found in (QUERIES["op9_token_files"](spark, str(tmp_path)), corpus_pipeline.token_output(spark, rows, str(tmp_path))):
+        assert sorted(tuple(r) for r in found.collect()) == want
+
+
 def test_an_empty_table_has_no_shard(spark, docs, tmp_path):
     token_files.write_tokens(docs([(1, "x")]).limit(0), str(tmp_path / "t"), TOKENIZER)
     assert token_files.read_documents(spark, str(tmp_path / "t")).count() == 0
