@@ -127,6 +127,18 @@ def test_one_row_of_large_norm_leaves_the_others_their_neighbours(spark, monkeyp
     assert np.mean(list(recall(spark, x).values())) >= 0.9
 
 
+def test_groups_of_close_vectors_keep_their_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((2000, 16))
+    x[:600] = x[0] + 0.03 * rng.standard_normal((600, 16))
+    x[600:1000] = x[600] + 0.003 * rng.standard_normal((400, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    recalls = recall(spark, x)
+    for group in (range(0, 600, 20), range(600, 1000, 20), range(1000, 2000, 20)):
+        assert np.mean([recalls[q] for q in group]) >= 0.9
+
+
 def test_few_and_no_vectors(spark):
     frame = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)] + [(20, [1.0, 0.0])], "vec_id long, embedding array<float>")
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect()]
