@@ -264,6 +264,7 @@ def test_gold_is_open_to_sql(spark, tidy):
     assert [tuple(r) for r in got.collect()] == [
         ("Brussels", 4.0), ("Flanders", 17.0), ("Wallonia", 5.0),
     ]
+    spark.catalog.dropTempView("be_hospitalizations_summary")
 
 
 def test_icu_trend_defaults_to_today(spark):
