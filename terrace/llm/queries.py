@@ -13,15 +13,17 @@ from terrace.llm import (
     chat,
     decontamination,
     language_id,
+    merkle,
     mixing,
     neighbours,
     secret_scan,
     sharding,
     simhash,
+    token_counts,
     token_files,
     toxicity,
 )
-from terrace.llm.tables import materialize, table
+from terrace.llm.tables import ascii_lower, materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -259,3 +261,95 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def _crc32_sql(value: str) -> str:
+    """Unsigned crc32 of a text of ASCII characters: eight shifts for each, the first with its code."""
+    bits = f"flatten(list_transform(string_split({value}, ''), lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "lambda a, b: xor(xor(a, b) >> 1, (xor(a, b) & 1) * 3988292384)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {bits}), {step}), 4294967295::bigint)"
+
+
+def _merkle_sql(levels: int = 6) -> str:
+    """Leaves, ``levels`` levels of runs (enough for 16 to that power), then as many of the top tree."""
+    fields = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in ("doc_id::varchar", "source", "lang", "n_chars::varchar", "{}")]
+    leaf = "sha256(" + " || ".join(fields) + ")"
+    steps = []
+    for tree, first in (("t", "leaves"), ("s", "tops")):
+        steps.append(f"{tree}0 as (select tree, place, digest from {first})")
+        for k in range(levels):
+            node = "case when run = 0 and len(ds) = 1 then ds[1] else sha256(array_to_string(ds, '')) end"
+            steps.append(
+                f"{tree}r{k} as (select tree, place // 16 as run, list(digest order by place) as ds from {tree}{k} group by all)"
+            )
+            steps.append(f"{tree}{k + 1} as (select tree, run as place, {node} as digest from {tree}r{k})")
+        if tree == "t":
+            steps.append(
+                f"tops as (select 'top' as tree, tree as below, row_number() over (order by tree) - 1 as place, digest from t{levels})"
+            )
+    ways = []
+    for tree in ("t", "s"):
+        for k in range(levels):
+            before = f"w{len(ways) - 1}" if ways else "w"
+            ways.append(
+                f"""w{len(ways)} as (
+        select * exclude (lefts, rights, alone) replace (
+            case when alone then folded else sha256(lefts || folded || rights) end as folded,
+            case when alone then proof else proof || lefts || rights end as proof,
+            place // 16 as place)
+        from (
+            select w.*, array_to_string(ds[1:place % 16], '') as lefts, array_to_string(ds[place % 16 + 2:], '') as rights,
+                run = 0 and len(ds) = 1 as alone
+            from {before} w join {tree}r{k} r on r.tree = w.tree and r.run = w.place // 16))"""
+            )
+        if tree == "t":
+            ways.append(
+                f"w{len(ways)} as (select w.* replace ('top' as tree, tops.place as place), tops.digest as subroot "
+                f"from w{len(ways) - 1} w join tops on tops.below = w.tree)"
+            )
+    chain = ",\n    ".join([*steps, "w as (select tree, place, doc_id, digest as leaf, tampered as folded, '' as proof from leaves)", *ways])
+    return f"""
+    with digests as (
+        select doc_id, coalesce('=' || source, '') as tree, {leaf.replace("{}", "text")} as digest,
+            {leaf.replace("{}", f"translate(text, '{UPPER}', '{LOWER}')")} as lowered
+        from documents
+    ),
+    leaves as (
+        select doc_id, tree, digest, row_number() over (partition by tree order by doc_id nulls first, digest) - 1 as place,
+            case when {_crc32_sql("doc_id::varchar")} % 5 = 0 then lowered else digest end as tampered
+        from digests
+    ),
+    {chain}
+    select doc_id, leaf, subroot, s{levels}.digest as root, sha256(proof) as proof_sha256, folded as folded_root,
+        folded = s{levels}.digest as verified
+    from w{len(ways) - 1}, s{levels}
+    """
+
+
+@query(_merkle_sql())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+
+    def fields(text: Column) -> list[Column]:
+        return [F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text]
+
+    leaf = merkle.row_digest(fields(F.col("text")))
+    lowered = merkle.row_digest(fields(ascii_lower(F.col("text"))))
+    tampered = F.when(fold(F.col("doc_id"), 5) == 0, lowered).otherwise(leaf)
+    rows = merkle.leaves(
+        docs, F.col("source"), F.col("doc_id"), fields(F.col("text")), doc_id=F.col("doc_id"), tampered=tampered
+    )
+    proofs = merkle.build(rows).proofs()
+    folded = proofs.select(
+        "doc_id", "leaf", "subroot", "root",
+        merkle.proof_digest(F.col("steps")).alias("proof_sha256"),
+        merkle.fold(F.col("tampered"), F.col("steps")).alias("folded_root"),
+    )
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query()
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = token_counts.Tokenizer(public_tokenizers.path("word_bpe_49k.json"), by_word=True)
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer)
+    return counts.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
