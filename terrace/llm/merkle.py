@@ -99,29 +99,18 @@ def _forest(nodes: DataFrame, fanout: int) -> tuple[list[DataFrame], DataFrame]:
         nodes = runs.select("tree", "place", "digest")
 
 
-def _ways(tree_levels: list[DataFrame], top_levels: list[DataFrame], tops: DataFrame, last: DataFrame, fanout: int) -> DataFrame:
+def _ways(tree_levels: list[DataFrame], top_levels: list[DataFrame], tops: DataFrame, fanout: int) -> DataFrame:
     """Every run with its own segment and its pointer; a tree that is one leaf has a run of no nodes."""
-    top = F.lit(TOP)
-    ends = last.select(F.col("level").alias("end"))  # one row: the level of the root in the top tree
-    tip = tops.crossJoin(F.broadcast(ends)).select(
+    alone = F.lit(not top_levels)  # a single tree: its last node is the root
+    tip = tops.select(
         F.col("tree").alias("t_tree"),
         F.col("level").alias("t_level"),
         F.col("digest").alias("t_digest"),
-        F.expr(f"position div {fanout}").alias("t_run"),
-        (F.col("position") % fanout).cast("int").alias("t_at"),
-        F.col("end"),
-    )
-    alone = F.col("end") == 0  # a single tree: its last node is the root
-    below = F.when(~alone, F.lit(1))
-    tip = tip.select(
-        "t_tree",
-        "t_level",
-        "t_digest",
-        F.when(~alone, F.array("t_at")).otherwise(F.array().cast("array<int>")).alias("t_places"),
-        F.when(~alone, top).alias("t_up"),
-        below.alias("t_up_level"),
-        F.when(~alone, F.col("t_run")).alias("t_up_place"),
-        F.when(alone, F.col("t_digest")).alias("t_root"),
+        F.when(~alone, F.array((F.col("position") % fanout).cast("int"))).otherwise(F.array().cast("array<int>")).alias("t_places"),
+        F.when(~alone, F.lit(TOP)).alias("t_up"),
+        F.when(~alone, F.lit(1)).alias("t_up_level"),
+        F.when(~alone, F.expr(f"position div {fanout}")).alias("t_up_place"),
+        F.when(alone, F.col("digest")).alias("t_root"),
     )
     at_tip = [F.col("t_places"), F.col("t_up"), F.col("t_up_level"), F.col("t_up_place"), F.col("t_digest"), F.col("t_root")]
     names = ["places", "up_tree", "up_level", "up_place", "subroot", "root"]
@@ -229,7 +218,7 @@ def build(rows: DataFrame, fanout: int = FANOUT) -> Manifest:
     top_nodes = tops.select(F.lit(TOP).alias("tree"), F.col("position").alias("place"), "digest")
     top_levels, last = _forest(top_nodes, fanout)
     root = last.first()
-    ways, reach = materialize(_ways(tree_levels, top_levels, tops, last, fanout)), 1
+    ways, reach = materialize(_ways(tree_levels, top_levels, tops, fanout)), 1
     while not ways.where("up_tree IS NOT NULL").isEmpty():
         ways, reach = materialize(_jump(ways, reach)), reach * 2
     subroots = tops.select(

@@ -16,6 +16,7 @@ from terrace.llm import (
     merkle,
     mixing,
     neighbours,
+    prefix_trie,
     secret_scan,
     sharding,
     simhash,
@@ -353,3 +354,71 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = token_counts.Tokenizer(public_tokenizers.path("word_bpe_49k.json"), by_word=True)
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer)
     return counts.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+@query(
+    rf"""
+    with ordered as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+            row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as p
+        from conversations where conv_id is not null
+    ),
+    ids as (
+        select conv_id, conv_id - conv_id % 20 as base, {_crc32_sql("conv_id::varchar")} % 4 as h
+        from (select distinct conv_id from ordered)
+    ),
+    taken as (
+        select i.conv_id, 0 as part, p, role, text from ids i join ordered o on o.conv_id = i.base and o.p < i.h
+        union all
+        select i.conv_id, 1, p, role, text from ids i join ordered o on o.conv_id = i.conv_id and o.p >= i.h
+    ),
+    rebuilt as (
+        select conv_id, row_number() over (partition by conv_id order by part, p) as depth,
+            sha256(strlen(role) || ':' || role || text) as turn,
+            len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words
+        from taken
+    ),
+    keyed as (
+        select *, sha256(string_agg(turn, '') over (partition by conv_id order by depth rows unbounded preceding)) as node
+        from rebuilt
+    ),
+    members as (
+        select conv_id, depth, node, words, coalesce(lag(node) over (partition by conv_id order by depth), 'root') as parent from keyed
+        union all select conv_id, 0, 'root', 0, null from ids
+    ),
+    nodes as (
+        select node, depth, min(parent) as parent, min(conv_id) as conv_id, count(*) as n_convs, max(words) as words
+        from members group by node, depth
+    ),
+    ends as (
+        select node, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends_sha256
+        from (select conv_id, max_by(node, depth) as node from members group by conv_id) group by node
+    ),
+    children as (select parent as node, count(*) as n from nodes where parent is not null group by parent),
+    within as (
+        select distinct a.node as node, b.node as inner_node
+        from members a join members b on a.conv_id = b.conv_id and b.depth >= a.depth
+    ),
+    subtrees as (
+        select w.node, count(*) filter (c.n is null) as n_leaves, sum((n.n_convs - 1) * n.words) as saved
+        from within w join nodes n on n.node = w.inner_node left join children c on c.node = w.inner_node group by w.node
+    )
+    select n.conv_id, n.depth, up.conv_id as parent_conv_id, n.n_convs, coalesce(c.n, 0) as n_children, s.n_leaves,
+        s.saved::bigint as saved_tokens, coalesce(e.ends_sha256, sha256('')) as ends_sha256
+    from nodes n join subtrees s on s.node = n.node left join nodes up on up.node = n.parent
+        left join children c on c.node = n.node left join ends e on e.node = n.node
+    """
+)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = materialize(prefix_trie.turn_paths(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))
+    own, base = F.col("conv_id"), F.col("conv_id") - F.col("conv_id") % 20
+    first = paths.where("conv_id % 20 = 0").select(F.col("conv_id").alias("b_id"), F.slice("path", 1, 3).alias("b_path"))
+    h = fold(own, 4).cast("int")
+    none = F.slice("path", 1, 0)
+    rebuilt = paths.join(first, base == F.col("b_id"), "left").select(
+        "conv_id",
+        F.concat(
+            F.coalesce(F.slice("b_path", F.lit(1), h), none), F.slice("path", h + 1, F.greatest(F.size("path"), F.lit(1)))
+        ).alias("path"),
+    )
+    return prefix_trie.trie(rebuilt)
