@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -65,3 +67,17 @@ def workspace(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="terrace-")
     return f"{shared.rstrip('/')}/terrace/{context.applicationId}/{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Let executors import this library even if it is installed on the driver alone."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        home = Path(tempfile.mkdtemp(prefix="terrace-library-"))
+        shutil.copytree(package, home / "zip" / package.name, ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(str(home / package.name), "zip", home / "zip"))
+        _SHIPPED.add(context.applicationId)

@@ -38,6 +38,12 @@ def directory_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def remove_directory(spark: SparkSession, path: str) -> None:
+    """Delete a directory and what is in it, if it is there."""
+    at, fs = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def _visible(name: str) -> bool:
     return not name.startswith(("_", "."))
 
