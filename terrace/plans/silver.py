@@ -41,7 +41,8 @@ def build_silver(
 ) -> SilverRun:
     """Clean one snapshot and write it.  Both counts come from the write job.
 
-    For JSON without ``declared`` a pass over the files for their field names comes before.
+    For JSON without ``declared`` the files are parsed into a staged table before, which tells
+    their field names; no file is read twice.
     """
     spec = _spec(source)
     raw = read_bronze(spark, spec, bronze_root, run_date, declared=declared).drop(*SNAPSHOT)

@@ -8,6 +8,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 from terrace.functions.names import silver_name
+from terrace.layout import SNAPSHOT
+
+
+def raw_name(name: str) -> str:
+    """The name a raw field is read under: one of a snapshot's directories is theirs alone."""
+    return f"raw_{name}" if name.lower() in SNAPSHOT else name
 
 
 @dataclass(frozen=True)
@@ -32,7 +38,7 @@ class SourceSpec:
 
     @property
     def silver_types(self) -> dict[str, T.DataType]:
-        return {silver_name(f.name): f.dataType for f in self.schema}
+        return {silver_name(raw_name(f.name)): f.dataType for f in self.schema}
 
 
 #: Whole JSON documents, one top-level array per file.

@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 import os
+import shutil
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from terrace.plans.checks import SUITES, QualityFailure, require
 from terrace.plans.gold import GOLD_TABLES, build_gold
 from terrace.plans.reports import coverage_by_group
 from terrace.plans.silver import backfill_silver, build_silver
+from terrace.registry import JSON_LINES, fields
 from terrace.sources.bronze import read_bronze
 from terrace.sources.catalog import create_retained_view, discover_tables, register_zone
 from terrace.sources.gold import read_gold, write_gold
@@ -155,13 +158,57 @@ def test_one_run_date_reads_only_its_directory(spark, tmp_path):
     put_hospital(tmp_path, "2024-01-15", hospital())
     put_hospital(tmp_path, "2024-01-16", hospital(), hospital(province="x"))
     spec = lookup(HOSPITAL)
-    one = read_bronze(spark, spec, str(tmp_path), "2024-01-15")
+    one = read_bronze(spark, spec, str(tmp_path), "2024-01-15", declared=True)
     assert one.count() == 1
     assert all("day=15" in f for f in one.inputFiles())
+    found = read_bronze(spark, spec, str(tmp_path), "2024-01-15")
+    assert [r["day"] for r in found.collect()] == [15]
     assert read_bronze(spark, spec, str(tmp_path)).count() == 3
     assert read_bronze(spark, spec, str(tmp_path), ["2024-01-15", "2024-01-16"]).count() == 3
 
 
+def test_json_fields_come_from_one_pass_over_the_files(spark, tmp_path):
+    """Names, values and counts do not need the raw files a second time."""
+    put_hospital(tmp_path, "2024-01-15", hospital(NOTE="n", YEAR=1999, Day="x"), hospital(province="p", more={"a": [1, "b"]}))
+    put_hospital(tmp_path, "2024-01-16", hospital(NOTE=None, flag=True))
+    spec = lookup(HOSPITAL)
+    rows = read_bronze(spark, spec, str(tmp_path))
+    shutil.rmtree(tmp_path / HOSPITAL)
+    assert {"NOTE", "raw_YEAR", "raw_Day", "more", "flag", "DATE", "year", "month", "day"} <= set(rows.columns)
+    assert dict(rows.drop("year", "month", "day").dtypes).keys() and all(
+        t == "string" for n, t in rows.dtypes if n not in ("year", "month", "day")
+    )
+    got = {(r["day"], r["NOTE"], r["raw_YEAR"], r["raw_Day"], r["more"], r["flag"]) for r in rows.collect()}
+    assert got == {(15, "n", "1999", "x", None, None), (15, None, None, None, '{"a":[1,"b"]}', None), (16, None, None, None, None, "true")}
+
+
+def test_raw_fields_named_like_a_snapshot_reach_silver(spark, tmp_path):
+    put_hospital(tmp_path, "2024-01-15", hospital(YEAR=1999, extra="e"), hospital(YEAR=1999, extra="e"))
+    put(tmp_path, WORLD, "2024-01-15", "a.csv", "Date_reported,New_cases,Year,month\n2024-01-15,2,1998,m\n")
+    for source, names in ((HOSPITAL, ("extra", "raw_year")), (WORLD, ("raw_year", "raw_month"))):
+        build_silver(spark, source, "2024-01-15", str(tmp_path), str(tmp_path / "s"), NOW)
+        row = read_silver(spark, str(tmp_path / "s"), source).first()
+        assert (row["year"], row["month"], row["day"]) == (2024, 1, 15)
+        assert tuple(row[n] for n in names) == (("e", "1999") if source == HOSPITAL else ("1998", "m"))
+    spec = replace(lookup(HOSPITAL), schema=fields(text="DATE", whole="YEAR"))
+    rows = read_bronze(spark, spec, str(tmp_path), "2024-01-15", declared=True, corrupt=True)
+    assert rows.columns == ["DATE", "raw_YEAR", "_corrupt_record", "year", "month", "day"]
+    assert {tuple(r) for r in rows.collect()} == {(hospital()["DATE"], "1999", None, 2024, 1, 15)}
+    assert spec.silver_types["raw_year"].simpleString() == "int"
+
+
+def test_json_lines_with_arrays_blank_and_broken_lines(spark, tmp_path):
+    spec = replace(lookup(HOSPITAL), options=JSON_LINES)
+    text = '{"DATE": "a", "N": 1.50}\n\n[{"DATE": "b"}, {"DATE": "c", "X": "y"}]\n{"DATE": "d"\n  \n[]\n'
+    put(tmp_path, HOSPITAL, "2024-01-15", "a.json", text)
+    rows = read_bronze(spark, spec, str(tmp_path))
+    assert rows.columns == ["DATE", "N", "X", "_corrupt_record", "year", "month", "day"]
+    got = {(r["DATE"], r["X"], r["_corrupt_record"]) for r in rows.collect()}
+    assert got == {("a", None, None), ("b", None, None), ("c", "y", None), (None, None, '{"DATE": "d"')}
+    put(tmp_path, HOSPITAL, "2024-01-16", "a.json", "")
+    assert read_bronze(spark, spec, str(tmp_path), "2024-01-16").columns == ["year", "month", "day"]
+
+
 # --- silver -----------------------------------------------------------------
 
 

@@ -22,7 +22,7 @@ from terrace.sources.bronze import CORRUPT, read_bronze
 from terrace.sources.catalog import register_zone
 from terrace.sources.files import snapshots_newest_first
 from terrace.sources.gold import read_gold, write_gold
-from terrace.sources.landing import land, landing_status, missing_sources
+from terrace.sources.landing import land, landing_status, missing_sources, read_rejected
 from terrace.sources.manifests import (
     manifest_entries,
     manifests,
@@ -209,6 +209,33 @@ def bronze_corrupt_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT 'bronze' AS zone, cast(event_id AS varchar) AS record, NULL AS reason, count(*) AS copies
+    FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 3 = 0)
+    WHERE event_id % 7 <> 0 GROUP BY event_id
+    UNION ALL
+    SELECT 'rejected', CASE event_id % 2 WHEN 0 THEN '{"EVENT-ID": ' || event_id || ' 0}' ELSE '"' || event_id || '"' END,
+           CASE event_id % 2 WHEN 0 THEN 'not valid JSON' ELSE 'not an object' END, count(*)
+    FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 3 = 0)
+    WHERE event_id % 7 = 0 GROUP BY event_id""")
+def landing_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with a broken or odd element for every seventh id: those lie apart, the others in bronze."""
+    base = workspace(spark)
+    drop, bronze = f"{base}/drop", f"{base}/bronze"
+    number = F.col("`EVENT-ID`")
+    odd = F.concat(F.lit('"'), number, F.lit('"'))
+    broken = F.concat(F.lit('{"EVENT-ID": '), number, F.lit(" 0}"))
+    record = F.when(number % 14 == 0, broken).when(number % 7 == 0, odd).otherwise(F.to_json(F.struct("EVENT-ID")))
+    arrays = documents(raw_events(spark, sf).select(record.alias("value")), "[\n", ",\n", "\n]")
+    arrays.write.option("maxRecordsPerFile", 1).text(source_dir(drop, EVENTS.name))
+    land(spark, [EVENTS], drop, bronze, "2024-01-31")
+    good = read_bronze(spark, EVENTS, bronze, "2024-01-31").select(
+        F.lit("bronze").alias("zone"), number.alias("record"), F.lit(None).cast("string").alias("reason")
+    )
+    bad = read_rejected(spark, bronze, EVENTS.name).select(F.lit("rejected").alias("zone"), "record", "reason")
+    return good.unionByName(bad).groupBy("zone", "record", "reason").agg(F.count(F.lit(1)).alias("copies"))
+
+
 # --- run records ------------------------------------------------------------
 
 
@@ -363,6 +390,26 @@ def silver_csv_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return read_silver(spark, f"{base}/silver", spec.name, "all")
 
 
+@query(f"""
+    SELECT s.* EXCLUDE (count, k), count, k,
+           CASE WHEN event_id::int % 5 = 0 THEN 'n' || event_id END AS note,
+           CASE WHEN event_id::int % 2 = 0 THEN cast(year AS varchar) END AS raw_year,
+           CASE WHEN event_id::int % 5 = 0 THEN '{{"id":' || event_id || '}}' END AS nested
+    FROM ({SILVER_SQL}) s""")
+def silver_unregistered_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with fields no one registered, one of them called like a part of the snapshot's date."""
+    base = workspace(spark)
+    number = F.col("`EVENT-ID`").cast("int")
+    raw = raw_events(spark, sf).withColumns({
+        "Note": F.when(number % 5 == 0, F.concat(F.lit("n"), "`EVENT-ID`")),
+        "YEAR": F.when(number % 2 == 0, F.year("run_date")),
+        "Nested": F.when(number % 5 == 0, F.struct(number.alias("id"))),
+    })
+    write_json_snapshots(raw, f"{base}/bronze", EVENTS.name)
+    backfill_silver(spark, EVENTS, f"{base}/bronze", f"{base}/silver", PROCESSED_AT)
+    return read_silver(spark, f"{base}/silver", EVENTS.name, "all")
+
+
 @query("""
     SELECT o_orderkey, o_totalprice, year(o_orderdate)::int AS year,
            month(o_orderdate)::int AS month, day(o_orderdate)::int AS day
