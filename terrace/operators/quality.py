@@ -4,20 +4,22 @@ Every check boils down to counts of rows, and counts can be added up.  Without a
 key-uniqueness check they are one aggregate, of which each task returns one row.
 With one, rows are counted per key, copies of a key being merged before the
 shuffle, and the counts of all checks are then added up over the keys: still a
-single scan.  Each further uniqueness check has a scan of its key columns.
+single scan.  With several, every row is expanded to one row per set of keys, which are
+merged in the scanning task alike: again a single scan, whatever the number of checks.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.sources.metrics import counted
+
 log = logging.getLogger(__name__)
 
 
@@ -168,6 +170,27 @@ def count_rows(
     )
 
 
+def count_rows_per_key(
+    df: DataFrame, measures: dict[str, Column], key_sets: Sequence[Sequence[str]]
+) -> DataFrame:
+    """One row per set of keys with its place as ``key_set``, ``total_rows``, ``measures`` and ``distinct_rows``.
+
+    Each row of ``df`` is expanded to one per set; the keys that are not in a set are NULL in it.
+    """
+    columns = list(dict.fromkeys(k for keys in key_sets for k in keys))
+    # The bit of a column is set where it is not among the keys.
+    marks = [sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys) for keys in key_sets]
+    counts = {"total_rows": F.count(F.lit(1)), **measures}
+    grouped = df.groupingSets([list(keys) for keys in key_sets], *columns).agg(
+        F.grouping_id().alias("mark"), *[c.alias(n) for n, c in counts.items()]
+    )
+    place = F.element_at(F.create_map(*[F.lit(x) for i, m in enumerate(marks) for x in (m, i)]), F.col("mark").cast("int"))
+    return (
+        grouped.groupBy(place.alias("key_set"))
+        .agg(*[F.sum(n).alias(n) for n in counts], F.count(F.lit(1)).alias("distinct_rows"))
+    )
+
+
 def _row(position: int, check: Check, values: dict[str, Column]) -> Column:
     values = {"position": F.lit(position), "check": F.lit(check.name), **values}
     return F.struct(
@@ -184,15 +207,22 @@ def quality_report(df: DataFrame, source: str, checks: Sequence[Check]) -> DataF
     measures = {f"m{i}": c.measure() for i, c in by_row.items()}
     total = F.col("total_rows")
     rows = [_row(i, c, c.report(F.col(f"m{i}"), total)) for i, c in by_row.items()]
-    if not by_key:
-        parts = [count_rows(df, measures).select(F.inline(F.array(*rows)))]
-    else:
-        parts = []
-    for i, check in by_key.items():
-        rows.append(_row(i, check, check.report(F.col("distinct_rows"), total)))
-        parts.append(count_rows(df, measures, check.keys).select(F.inline(F.array(*rows))))
-        rows, measures = [], {}
-    return reduce(DataFrame.unionByName, parts).select(F.lit(source).alias("source"), "*")
+    sets = list(dict.fromkeys(tuple(sorted(set(c.keys))) for c in by_key.values()))
+    if len(sets) < 2:
+        rows += [_row(i, c, c.report(F.col("distinct_rows"), total)) for i, c in by_key.items()]
+        totals = count_rows(df, measures, sets[0] if sets else None)
+        return totals.select(F.inline(F.array(*rows))).select(F.lit(source).alias("source"), "*")
+    per_key = count_rows_per_key(df, measures, sets)
+    # All sets are needed even if there are no rows to group.
+    numbers = df.sparkSession.range(len(sets)).select(F.col("id").cast("int").alias("key_set"))
+    nothing = {c: 0 for c in ("total_rows", "distinct_rows", *measures)}
+    totals = numbers.join(per_key, "key_set", "left").fillna(nothing)
+    own = {n: [_row(i, c, c.report(F.col("distinct_rows"), total)) for i, c in by_key.items() if tuple(sorted(set(c.keys))) == keys] for n, keys in enumerate(sets)}
+    own[0] = rows + own[0]
+    per_set = F.array().cast(f"array<struct<{', '.join(f'`{c}`: {t}' for c, t in _RESULT.items())}>>")
+    for n, found in own.items():
+        per_set = F.when(F.col("key_set") == n, F.array(*found)).otherwise(per_set)
+    return totals.select(F.inline(per_set)).select(F.lit(source).alias("source"), "*")
 
 
 # --- results on the driver ------------------------------------------------
@@ -229,6 +259,35 @@ def run_suite(df: DataFrame, source: str, checks: Sequence[Check]) -> QualityRes
     return result
 
 
+def observe_suite(
+    df: DataFrame, source: str, checks: Sequence[Check]
+) -> tuple[DataFrame, Callable[[], QualityResult]]:
+    """``df`` and a function for the result of its suite, to be called after an action on ``df``.
+
+    Counts of rows ride along with the action.  Keys must come together to be told apart, so all
+    checks on keys take one scan of the key columns of their own, before.
+    """
+    by_key = [c for c in checks if isinstance(c, NoDuplicates)]
+    by_row = {i: c for i, c in enumerate(checks) if not isinstance(c, NoDuplicates)}
+    keyed = iter(run_suite(df, source, by_key).checks if by_key else [])
+    found = [next(keyed) if isinstance(c, NoDuplicates) else {} for c in checks]
+    if not by_row:
+        return df, lambda: QualityResult(source, found)
+    seen, values = counted(df, f"{source} checked", **{f"m{i}": c.measure() for i, c in by_row.items()})
+
+    def result() -> QualityResult:
+        numbers = values()
+        one = df.sparkSession.range(1)
+        rows = [_row(i, c, c.report(F.lit(numbers[f"m{i}"]), F.lit(numbers["rows"]))) for i, c in by_row.items()]
+        for row in one.select(F.inline(F.array(*rows))).collect():
+            found[row["position"]] = _as_dict(row.asDict(), checks[row["position"]])
+        done = QualityResult(source, found)
+        log.info(done.summary())
+        return done
+
+    return seen, result
+
+
 def _as_dict(row: dict, check: Check) -> dict:
     """The values that belong to the check, with its parameters in their own types."""
     kept = {k: v for k, v in row.items() if v is not None and k not in ("source", "position")}

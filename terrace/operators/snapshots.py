@@ -9,7 +9,8 @@ from terrace.functions import days_before
 from terrace.functions.dates import AsOf
 from terrace.layout import SNAPSHOT, snapshot_date
 
-# Days each zone is kept.
+# Days each zone is kept.  Gold has no snapshots: its tables are built from the newest
+# silver snapshot and replaced as a whole, so nothing in them is older than the last build.
 RETENTION_DAYS = {"bronze": 90, "silver": 365, "gold": 365}
 
 

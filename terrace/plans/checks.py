@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -13,6 +13,7 @@ from terrace.operators.quality import (
     NotNull,
     QualityResult,
     ValueRange,
+    observe_suite,
     run_suite,
 )
 
@@ -60,3 +61,20 @@ def require(
     if not result.passed:
         raise QualityFailure(result)
     return result
+
+
+def require_later(
+    silver: DataFrame, source: str, suites: Mapping[str, Sequence[Check]] = SUITES
+) -> tuple[DataFrame, Callable[[], None]]:
+    """``silver`` and a function that raises QualityFailure if it did not pass, to be called after an action on it."""
+    checks = suites.get(source)
+    if not checks:
+        return silver, lambda: None
+    seen, found = observe_suite(silver, source, checks)
+
+    def judge() -> None:
+        result = found()
+        if not result.passed:
+            raise QualityFailure(result)
+
+    return seen, judge

@@ -18,8 +18,8 @@ from terrace.operators.rollup import (
     rolling_mean_rows,
     running_total,
 )
-from terrace.plans.checks import require
-from terrace.sources.gold import write_gold
+from terrace.plans.checks import QualityFailure, require_later
+from terrace.sources.gold import stage_gold
 from terrace.sources.silver import read_silver
 
 INGESTED, PROCESSED = "_ingestion_date", "_gold_processed_at"
@@ -127,14 +127,21 @@ def build_gold(
 ) -> dict[str, int]:
     """Build and write the gold tables in order; rows written per table.
 
-    With ``suites`` a silver frame must pass the checks of its source first.
-    QualityFailure then leaves the gold table of that source as it was.
+    Tables are written aside and then replaced in one step, see ``terrace.sources.versions``.
+    With ``suites`` a silver frame must pass the checks of its source: counts of rows are taken by
+    the job that builds the table, which is published only if they are in order.
+    QualityFailure leaves the gold table of that source as it was.
     """
     rows = {}
     for table in tables:
         silver = read_silver(spark, silver_root, table.source, snapshot, merge_schema=merge_schema)
-        if suites:
-            require(silver, table.source, suites)
+        silver, judge = require_later(silver, table.source, suites or {})
         gold = table.build(silver, processed_at or utc_now())
-        rows[table.name] = write_gold(gold, gold_root, table.name, sort_by=[table.date])
+        staged = stage_gold(gold, gold_root, table.name, sort_by=[table.date])
+        try:
+            judge()
+        except QualityFailure:
+            staged.drop()
+            raise
+        rows[table.name] = staged.publish()
     return rows

@@ -4,36 +4,92 @@ from __future__ import annotations
 
 import logging
 from collections import Counter
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.layout import SNAPSHOT
 from terrace.operators.snapshots import RETENTION_DAYS
-from terrace.sources.files import files_under, relative
+from terrace.sources.files import listed, qualified, visible
+from terrace.sources.versions import LISTS, Version, current
 
 log = logging.getLogger(__name__)
 
 
-def discover_tables(spark: SparkSession, zone_root: str) -> DataFrame:
-    """Tables below a zone: ``location`` relative to it and ``partition_columns``.
+@dataclass(frozen=True)
+class FoundTable:
+    """A table below a zone: its place relative to the root and the keys of its directories."""
+
+    location: str
+    partition_columns: tuple[str, ...]
+    version: Version | None = None
+
 
-    Derived from file paths; no file is opened.
+def tables_below(spark: SparkSession, zone_root: str) -> list[FoundTable]:
+    """Tables below a zone, found by walking its directories level by level.
+
+    A directory is a table if there are Parquet files in it, versions, or partition directories
+    with such files; of those only as many are looked at as it takes to find one file.
     """
-    below = relative("path", zone_root)
-    parts = F.slice(F.split(below, "/"), 1, F.size(F.split(below, "/")) - 1)
-    keyed = F.filter(parts, lambda p: p.contains("="))
-    return (
-        files_under(spark, zone_root, "*.parquet")
-        .select(
-            F.array_join(F.filter(parts, lambda p: ~p.contains("=")), "/").alias("location"),
-            F.transform(keyed, lambda p: F.substring_index(p, "=", 1)).alias(
-                "partition_columns"
-            ),
-        )
-        .distinct()
-    )
+    found, level = [], [""]
+    root = qualified(spark, zone_root)
+    while level:
+        below = []
+        for place in level:
+            table, inner = _look(spark, root, place)
+            found += [table] if table else []
+            below += inner
+        level = below
+    return found
+
+
+def _look(spark: SparkSession, root: str, place: str) -> tuple[FoundTable | None, list[str]]:
+    """The table a directory is, if it is one, and the directories in it that may hold others."""
+    here = f"{root}/{place}".rstrip("/")
+    table, inner, keyed = None, [], []
+    for status in listed(spark, here):
+        name = status.getPath().getName()
+        if not status.isDirectory():
+            if table is None and visible(name) and name.endswith(".parquet"):
+                table = FoundTable(place, ())
+        elif name == LISTS:
+            version = current(spark, here)
+            if version:
+                return FoundTable(place, (version.partition,), version), []
+        elif "=" in name:
+            keyed.append(name)
+        elif visible(name):
+            inner.append(f"{place}/{name}".lstrip("/"))
+    if table is None:
+        for name in keyed:
+            keys = _keys(spark, f"{here}/{name}")
+            if keys is not None:
+                return FoundTable(place, (name.split("=", 1)[0], *keys)), inner
+    return table, inner
+
+
+def _keys(spark: SparkSession, directory: str) -> tuple[str, ...] | None:
+    """Keys of the partition directories down to the first Parquet file; None without any file."""
+    deeper = []
+    for status in listed(spark, directory):
+        name = status.getPath().getName()
+        if not status.isDirectory():
+            if visible(name) and name.endswith(".parquet"):
+                return ()
+        elif "=" in name:
+            deeper.append(name)
+    for name in deeper:
+        keys = _keys(spark, f"{directory}/{name}")
+        if keys is not None:
+            return (name.split("=", 1)[0], *keys)
+    return None
+
+
+def discover_tables(spark: SparkSession, zone_root: str) -> DataFrame:
+    """Tables below a zone: ``location`` relative to it and ``partition_columns``."""
+    rows = [(t.location, list(t.partition_columns)) for t in tables_below(spark, zone_root)]
+    return spark.createDataFrame(rows, "location string, partition_columns array<string>")
 
 
 def register_zone(
@@ -51,23 +107,24 @@ def register_zone(
     that would have one name are an error, raised before any is registered.
     Partition columns are STRING, as their directories are.  ``merge_schema``
     looks at the footers of all files for columns that only some of them have.
+    The root may be relative and be spelled in any way; locations are those of the file system.
+    A table with versions has the partitions of its newest one until it is registered again.
     """
     at = f"LOCATION '{database_location}'" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} {at}")
-    # One short row per table.
-    found = discover_tables(spark, zone_root).collect()
-    leaves = Counter(r["location"].rsplit("/", 1)[-1] for r in found)
-    named = {}
-    for row in sorted(found, key=lambda r: r["location"]):
-        leaf = row["location"].rsplit("/", 1)[-1]
-        name = leaf if leaves[leaf] == 1 else row["location"].replace("/", "_")
-        clashes = [r["location"] for n, r in named.items() if n.lower() == name.lower()]
+    root = qualified(spark, zone_root)
+    found = [t for t in tables_below(spark, root) if t.location]
+    leaves = Counter(t.location.rsplit("/", 1)[-1] for t in found)
+    named: dict[str, FoundTable] = {}
+    for one in sorted(found, key=lambda t: t.location):
+        leaf = one.location.rsplit("/", 1)[-1]
+        name = leaf if leaves[leaf] == 1 else one.location.replace("/", "_")
+        clashes = [t.location for n, t in named.items() if n.lower() == name.lower()]
         if clashes:
-            raise ValueError(f"{clashes[0]} and {row['location']} would both be {database}.{name}")
-        named[name] = row
-    for name, row in named.items():
-        path = f"{zone_root.rstrip('/')}/{row['location']}"
-        _register(spark, f"{database}.`{name}`", path, list(row["partition_columns"]), merge_schema)
+            raise ValueError(f"{clashes[0]} and {one.location} would both be {database}.{name}")
+        named[name] = one
+    for name, one in named.items():
+        _register(spark, f"{database}.`{name}`", f"{root}/{one.location}", one, merge_schema)
     names = list(named)
     for known in spark.catalog.listTables(database):
         if not known.isTemporary and known.name not in {n.lower() for n in names}:
@@ -86,10 +143,12 @@ def create_retained_view(
     )
 
 
-def _register(
-    spark: SparkSession, table: str, path: str, keys: list[str], merge_schema: bool
-) -> None:
-    schema = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path).schema
+def _register(spark: SparkSession, table: str, path: str, found: FoundTable, merge_schema: bool) -> None:
+    keys = list(found.partition_columns)
+    if found.version:
+        schema = found.version.schema
+    else:
+        schema = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path).schema
     data = T.StructType([f for f in schema if f.name not in keys])
     if spark.catalog.tableExists(table) and _changed(spark, table, path, data):
         log.info("%s: registered anew at %s", table, path)
@@ -105,11 +164,35 @@ def _register(
         columns = _ddl(T.StructType(data.fields + text.fields))
         by = f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)})" if keys else ""
         spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {by} LOCATION '{path}'")
-    if keys:
+    if found.version:
+        _point_partitions(spark, table, path, found.version)
+    elif keys:
         spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
 
 
+def _point_partitions(spark: SparkSession, table: str, path: str, version: Version) -> None:
+    """Give the catalog the partitions of a version, each at the place where the version has it."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    wanted = {d.rsplit("/", 1)[-1]: f"{path}/{d}" for d in version.directories}
+    there = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+    def spec(name: str) -> str:
+        value = names.unescapePathName(name.split("=", 1)[1])
+        quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+        literal = "null" if value == names.DEFAULT_PARTITION_NAME() else f"'{quoted}'"
+        return f"PARTITION (`{version.partition}` = {literal})"
+
+    for name in sorted(wanted):
+        place = wanted[name].replace("'", "\\'")
+        if name in there:
+            spark.sql(f"ALTER TABLE {table} {spec(name)} SET LOCATION '{place}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec(name)} LOCATION '{place}'")
+    for name in sorted(there - set(wanted)):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec(name)}")
+
+
 def _changed(spark: SparkSession, table: str, path: str, data: T.StructType) -> bool:
     """Whether the table lies elsewhere or has another type for a column than ``data``."""
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()

@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from terrace.layout import SNAPSHOT, run_day, snapshot_date, snapshot_dir, snapshot_keys, source_dir
 from terrace.sources.files import replace_snapshots, snapshots_newest_first
-from terrace.sources.metrics import counted
+from terrace.sources.metrics import counted, written_rows
 
 
 def write_silver(df: DataFrame, root: str, source: str, run_date: str | dt.date) -> int:
     """Replace one snapshot with ``df`` as Snappy Parquet and return its row count.
 
     Only the directory of the run date is replaced, and only when the job has succeeded: a
-    rerun leaves the same rows, a failed one the old rows.  The count comes from the write
-    job itself.
+    rerun leaves the same rows, a failed one the old rows.  The count is that of the files'
+    footers, so a task that ran twice does not count twice.
     """
     rows, written = write_silver_snapshots(
         df.drop(*SNAPSHOT).withColumns(snapshot_keys(F.lit(run_day(run_date)))), root, source
@@ -48,8 +48,9 @@ def write_silver_snapshots(
         padded.hint("rebalance", *SNAPSHOT), "silver rows written", days=F.collect_set(snapshot_date())
     )
     replace_snapshots(out.write.option("compression", "snappy")).parquet(source_dir(root, source))
-    found = written()
-    return found["rows"], set(found["days"])
+    days = set(written()["days"])
+    rows = written_rows(df.sparkSession, *[snapshot_dir(root, source, d) for d in sorted(days)]) if days else 0
+    return rows, days
 
 
 def empty_silver(df: DataFrame, root: str, source: str, days: set[dt.date]) -> None:

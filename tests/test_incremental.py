@@ -1,11 +1,15 @@
+import datetime as dt
 import json
 import os
+import shutil
+
+import pytest
 
 from terrace import lookup
 from terrace.layout import snapshot_dir
 from terrace.plans.silver import backfill_silver
 from terrace.sources.silver import read_silver
-from terrace.streaming import process_new_snapshots
+from terrace.streaming import incremental, process_new_snapshots
 
 HOSPITAL, WORLD = "sciensano/covid_hospitalizations", "who/global_covid"
 NOW = "2024-02-01T00:00:00"
@@ -113,3 +117,62 @@ def test_late_file_with_an_old_time_stamp_and_a_rewritten_file_are_news(spark, t
     assert len(run(spark, root)) == 1
     assert run(spark, root) == []
     assert silver(spark, root) == [(15, "new"), (16, "late")]
+
+
+def test_a_removed_file_cleans_its_snapshot_again(spark, tmp_path):
+    root = str(tmp_path)
+    for day in ("2024-01-15", "2024-01-16"):
+        put(f"{root}/bronze", HOSPITAL, day, "a.json", rows("x"))
+        put(f"{root}/bronze", HOSPITAL, day, "b.json", rows("y"))
+    run(spark, root)
+    os.remove(f"{snapshot_dir(f'{root}/bronze', HOSPITAL, '2024-01-15')}/b.json")
+    assert [(r.rows_read, r.rows_written) for r in run(spark, root)] == [(1, 1)]
+    assert silver(spark, root) == [(15, "x"), (16, "x"), (16, "y")]
+    assert run(spark, root) == []
+    # Back again under its name: news, as is any other file.
+    put(f"{root}/bronze", HOSPITAL, "2024-01-15", "b.json", rows("z"))
+    run(spark, root)
+    assert silver(spark, root) == [(15, "x"), (15, "z"), (16, "x"), (16, "y")]
+
+
+def test_a_snapshot_of_which_nothing_is_left_stays_in_silver(spark, tmp_path):
+    root = str(tmp_path)
+    put(f"{root}/bronze", HOSPITAL, "2024-01-15", "a.json", rows("x"))
+    put(f"{root}/bronze", HOSPITAL, "2024-01-16", "a.json", rows("y"))
+    run(spark, root)
+    shutil.rmtree(snapshot_dir(f"{root}/bronze", HOSPITAL, "2024-01-15"))
+    assert run(spark, root) == [] and run(spark, root) == []
+    assert silver(spark, root) == [(15, "x"), (16, "y")]
+    put(f"{root}/bronze", HOSPITAL, "2024-01-15", "a.json", rows("back"))
+    run(spark, root)
+    assert silver(spark, root) == [(15, "back"), (16, "y")]
+    shutil.rmtree(f"{root}/bronze")
+    assert run(spark, root) == [] and silver(spark, root) == [(15, "back"), (16, "y")]
+
+
+def test_the_ledger_is_compacted_and_says_the_same(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "ENTRIES", 3)
+    root = str(tmp_path)
+    for n in range(5):
+        put(f"{root}/bronze", HOSPITAL, f"2024-01-1{n}", "a.json", rows(f"p{n}"))
+        if n == 3:
+            os.remove(f"{snapshot_dir(f'{root}/bronze', HOSPITAL, '2024-01-11')}/a.json")
+        assert len(run(spark, root)) == 1
+        held = os.listdir(f"{root}/seen/files")
+        assert len(held) <= 2, held
+    assert any(h.startswith("whole=") for h in held)
+    assert run(spark, root) == [] and len(silver(spark, root)) == 5
+
+
+def test_one_run_at_a_time_holds_the_checkpoint(spark, tmp_path):
+    root = str(tmp_path)
+    put(f"{root}/bronze", HOSPITAL, "2024-01-15", "a.json", rows("x"))
+    began = dt.datetime.now(dt.UTC) - dt.timedelta(hours=1)
+    os.makedirs(f"{root}/seen")
+    claim = tmp_path / "seen" / "claim"
+    claim.write_text(json.dumps({"run": "other", "began": began.isoformat()}))
+    with pytest.raises(incremental.RunInProgress):
+        run(spark, root)
+    assert claim.exists() and not os.path.exists(f"{root}/silver")
+    assert len(run(spark, root, claim_hours=0.5)) == 1
+    assert not claim.exists()

@@ -11,6 +11,7 @@ from terrace.operators.quality import (
     check_no_duplicates,
     check_not_null,
     check_value_range,
+    observe_suite,
     quality_report,
     run_suite,
     summarize,
@@ -145,6 +146,32 @@ def test_suite_runs_one_action_over_one_scan(spark, tidy, tmp_path):
     assert plan.count("FileScan") == 1
 
 
+@pytest.mark.parametrize("keys", [[["a"], ["b"], ["a", "b"]], [["b", "a"], ["c"], ["a", "b"], ["c"]], [["a"], ["c"]]])
+def test_several_keys_are_checked_in_one_scan(spark, tmp_path, keys):
+    rows = [(1, "x", None), (1, "y", None), (None, "x", None), (None, "x", 2.0), (3, None, 2.0)]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows, "a int, b string, c double").write.parquet(path)
+    frame = spark.read.parquet(path)
+    checks = [ValueRange("a", 2, 9), *map(NoDuplicates, keys), NotNull("b", 0.5)]
+    report = quality_report(frame, "s", checks)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    single = [run_suite(frame, "s", [c]).checks[0] for c in checks]
+    assert list(run_suite(frame, "s", checks).checks) == single
+    nothing = frame.limit(0)
+    assert list(run_suite(nothing, "s", checks).checks) == [run_suite(nothing, "s", [c]).checks[0] for c in checks]
+
+
+def test_a_suite_that_rides_along_gives_the_same_result(spark, untidy):
+    for checks in (SUITE, SUITE[:2], [c for c in SUITE if isinstance(c, NoDuplicates)]):
+        seen, result = observe_suite(untidy, "hospitals", checks)
+        assert seen.groupBy("region").count().count() == 3
+        assert list(result().checks) == list(run_suite(untidy, "hospitals", checks).checks)
+    seen, result = observe_suite(untidy.limit(0), "hospitals", SUITE)
+    seen.count()
+    assert list(result().checks) == list(run_suite(untidy.limit(0), "hospitals", SUITE).checks)
+
+
 def test_summary_frame(untidy):
     row = summarize(quality_report(untidy, "hospitals", SUITE)).first()
     assert row.asDict() == {

@@ -118,6 +118,30 @@ def quality_suite(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+KEY_SETS = (("l_orderkey", "l_linenumber"), ("l_partkey", "l_suppkey", "l_returnflag"), ("l_comment_key",))
+
+
+@query("""
+    WITH held AS (
+        SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN l_partkey END AS l_comment_key FROM lineitem
+    )
+    SELECT 'l_orderkey,l_linenumber' AS key_columns, count(*) AS total_rows,
+           (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM held)) AS distinct_rows,
+           NULL::bigint AS out_of_range_rows FROM held
+    UNION ALL SELECT 'l_partkey,l_suppkey,l_returnflag', count(*),
+           (SELECT count(*) FROM (SELECT DISTINCT l_partkey, l_suppkey, l_returnflag FROM held)), NULL FROM held
+    UNION ALL SELECT 'l_comment_key', count(*),
+           (SELECT count(*) FROM (SELECT DISTINCT l_comment_key FROM held)), NULL FROM held
+    UNION ALL SELECT NULL, NULL, NULL, cast(count_if(l_quantity NOT BETWEEN 2 AND 40) AS bigint) FROM held""")
+def quality_suite_of_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Three checks on keys, one of them with NULLs, and one on values, from a single scan."""
+    held = table(spark, sf, "lineitem").withColumn("l_comment_key", F.when(F.col("l_orderkey") % 3 == 0, F.col("l_partkey")))
+    checks = [*map(NoDuplicates, KEY_SETS), ValueRange("l_quantity", 2, 40)]
+    return quality_report(held, "trial/items", checks).select(
+        "key_columns", "total_rows", "distinct_rows", "out_of_range_rows"
+    )
+
+
 @query(f"""
     SELECT 'trial/hospitalizations' AS source, 6::bigint AS checks,
            2::bigint + (SELECT passed::int FROM ({NOT_NULL_SQL}))

@@ -5,6 +5,7 @@ Each query works in a new directory of the shared folder the session names.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import replace
 from functools import cache, reduce
@@ -12,15 +13,15 @@ from functools import cache, reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.layout import SNAPSHOT, snapshot_keys, source_dir, workspace
+from terrace.layout import SNAPSHOT, snapshot_dir, snapshot_keys, source_dir, workspace
 from terrace.operators.quality import NotNull
 from terrace.operators.snapshots import expired_snapshots, keep_recent, latest_only
 from terrace.plans import gold, reports
 from terrace.plans.silver import backfill_silver, build_silver
 from terrace.registry import JSON_LINES, lookup
 from terrace.sources.bronze import CORRUPT, read_bronze
-from terrace.sources.catalog import register_zone
-from terrace.sources.files import snapshots_newest_first
+from terrace.sources.catalog import create_retained_view, register_zone
+from terrace.sources.files import remove_directory, snapshots_newest_first
 from terrace.sources.gold import read_gold, write_gold
 from terrace.sources.landing import land, landing_status, missing_sources, read_rejected
 from terrace.sources.manifests import (
@@ -31,6 +32,7 @@ from terrace.sources.manifests import (
     write_manifest,
     write_manifests,
 )
+from terrace.sources.retention import expire_snapshots
 from terrace.sources.silver import read_silver, write_silver
 from terrace.streaming import process_new_snapshots
 from trial.gold import COVERAGE_GOLD, HOSPITAL_GOLD, TRENDS_GOLD, rounded
@@ -442,6 +444,36 @@ def retention_expired(spark: SparkSession, sf: str) -> DataFrame:
     return expired_snapshots(_dated_orders(spark, sf), "2000-12-31", 365)
 
 
+@query(f"""
+    SELECT 'removed' AS status, run_date AS snapshot, 0::bigint AS records FROM ({RAW_EVENTS_SQL})
+    WHERE run_date < date '2024-01-30' - 15 GROUP BY run_date
+    UNION ALL
+    SELECT CASE WHEN _ingestion_date < date '2024-01-30' - 10 THEN 'in grace' ELSE 'kept' END, _ingestion_date, count(*)
+    FROM ({SILVER_SQL}) WHERE _ingestion_date >= date '2024-01-30' - 15 GROUP BY ALL""")
+def retention_applied(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshots removed from silver, those about to go, and the rows that are left."""
+    silver = _silver(spark, sf)
+    done = expire_snapshots(spark, silver, [EVENTS.name], "2024-01-30", days=10, grace_days=5, dry_run=False)
+    left = read_silver(spark, silver, EVENTS.name, "all").groupBy(F.col("_ingestion_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return done.join(left, F.col("snapshot") == F.col("day"), "left").select(
+        "status", "snapshot", F.coalesce("n", F.lit(0).cast("bigint")).alias("records")
+    )
+
+
+@query(f"SELECT * FROM ({SILVER_SQL}) WHERE _ingestion_date >= date '2024-01-20'")
+def retained_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The view of a registered silver table that moves with the day, set to reach back to one."""
+    silver = _silver(spark, sf)
+    database = f"trial_{silver.rsplit('/', 1)[-1]}"
+    register_zone(spark, database, silver, database_location=f"{silver}/_database")
+    reach = (dt.date.today() - dt.date(2024, 1, 20)).days
+    create_retained_view(spark, f"{database}.recent", f"{database}.events", reach)
+    text = {c: F.col(c).cast("int") for c in SNAPSHOT}
+    return spark.table(f"{database}.recent").withColumns(text)
+
+
 @query(f"""
     SELECT '{EVENTS.name}' AS source, (SELECT count(*) FROM ({RAW_TEXT_SQL})) AS rows_read,
            (SELECT count(*) FROM ({SILVER_SQL})) AS rows_written""")
@@ -468,22 +500,43 @@ def silver_daily_run(spark: SparkSession, sf: str) -> DataFrame:
     return read_silver(spark, silver, EVENTS.name)
 
 
-@query(SILVER_SQL)
+@query(f"""
+    SELECT * FROM ({SILVER_SQL})
+    WHERE NOT (_ingestion_date = date '2024-01-10' AND region = 'click')""")
 def incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
-    """Two landings, the second with late files for old days, and a run after each."""
+    """Landings with a run after each: late files for old days, then one written anew and one taken away."""
     base = workspace(spark)
     bronze, silver = f"{base}/bronze", f"{base}/silver"
     raw = raw_events(spark, sf)
     early = (F.col("run_date") < "2024-01-16") & (F.col("REGION") != "error")
-    for part in (raw.where(early), raw.where(~early)):
-        write_json_snapshots(part, bronze, EVENTS.name)
-        seen = f"{base}/checkpoint"
-        process_new_snapshots(
-            spark, EVENTS, bronze, silver, seen, PROCESSED_AT, declared=True
-        )
+
+    def run() -> None:
+        process_new_snapshots(spark, EVENTS, bronze, silver, f"{base}/checkpoint", PROCESSED_AT, declared=True)
+
+    # The rows that will go, and those of a file with other content at first.
+    day = F.col("run_date") == "2024-01-10"
+    gone = snapshot_dir(bronze, f"{EVENTS.name}", "2024-01-10") + "/gone.json"
+    again = snapshot_dir(bronze, EVENTS.name, "2024-01-11") + "/again.json"
+    other = F.col("run_date") == "2024-01-11"
+    write_json_snapshots(raw.where(early & ~(day & (F.col("REGION") == "click")) & ~other), bronze, EVENTS.name)
+    write_file(raw.where(day & (F.col("REGION") == "click")), gone)
+    write_file(raw.where(other).withColumn("COUNT", F.lit("0")), again)
+    run()
+    write_json_snapshots(raw.where(~early & ~(day & (F.col("REGION") == "click")) & ~other), bronze, EVENTS.name)
+    run()
+    remove_directory(spark, gone)
+    remove_directory(spark, again)
+    write_file(raw.where(other), again)
+    run()
     return read_silver(spark, silver, EVENTS.name, "all")
 
 
+def write_file(raw: DataFrame, path: str) -> None:
+    """The rows as one JSON array in a directory that is named like a file."""
+    records = raw.select(F.to_json(F.struct(*[c for c in raw.columns if c != "run_date"])).alias("value"))
+    documents(records, "[\n", ",\n", "\n]").write.option("maxRecordsPerFile", 1).text(path)
+
+
 # --- gold -------------------------------------------------------------------
 
 
@@ -510,11 +563,11 @@ def gold_regions_replaced(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT 'be_hospitalizations_summary' AS gold, count(*) AS records,
-           cast(sum(new_admissions) AS bigint) AS total FROM ({HOSPITAL_GOLD})
-    UNION ALL SELECT 'be_vaccination_coverage', count(*), cast(sum(cumulative_doses) AS bigint)
-    FROM ({COVERAGE_GOLD})
-    UNION ALL SELECT 'who_global_trends', count(*), cast(sum(cumulative_cases) AS bigint)
+    SELECT 'be_hospitalizations_summary' AS gold, date AS day, region, NULL AS part, new_admissions::bigint AS number,
+           total_hospitalized::bigint AS other FROM ({HOSPITAL_GOLD})
+    UNION ALL SELECT 'be_vaccination_coverage', date, region, agegroup || ' ' || dose, doses_administered::bigint,
+           cumulative_doses::bigint FROM ({COVERAGE_GOLD})
+    UNION ALL SELECT 'who_global_trends', date_reported, region, country_code, new_cases::bigint, cumulative_cases::bigint
     FROM ({TRENDS_GOLD})""")
 def gold_build_all(spark: SparkSession, sf: str) -> DataFrame:
     """The three gold tables from a silver zone that passes its checks, read by name."""
@@ -526,16 +579,67 @@ def gold_build_all(spark: SparkSession, sf: str) -> DataFrame:
     gold.build_gold(spark, f"{base}/silver", f"{base}/gold", PROCESSED_AT, suites=suites)
     database = f"trial_{base.rsplit('/', 1)[-1]}"
     register_zone(spark, database, f"{base}/gold", database_location=f"{base}/_database")
-    measures = ("new_admissions", "cumulative_doses", "cumulative_cases")
-    counts = [
-        spark.table(f"{database}.{t.name}").agg(
-            F.lit(t.name).alias("gold"),
-            F.count(F.lit(1)).alias("records"),
-            F.sum(m).cast("bigint").alias("total"),
+    shown = (
+        ("date", F.lit(None).cast("string"), "new_admissions", "total_hospitalized"),
+        ("date", F.concat_ws(" ", "agegroup", "dose"), "doses_administered", "cumulative_doses"),
+        ("date_reported", F.col("country_code"), "new_cases", "cumulative_cases"),
+    )
+    rows = [
+        spark.table(f"{database}.{t.name}").select(
+            F.lit(t.name).alias("gold"), F.col(day).alias("day"), "region", part.alias("part"),
+            F.col(number).cast("bigint").alias("number"), F.col(other).cast("bigint").alias("other"),
         )
-        for t, m in zip(makers, measures)
+        for t, (day, part, number, other) in zip(makers, shown)
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query(f"""
+    SELECT 'whole' AS step, region, sum(doses_administered)::bigint AS doses FROM ({COVERAGE_GOLD}) GROUP BY region
+    UNION ALL SELECT 'region', region, sum(CASE WHEN region = 'click' THEN 10 ELSE 1 END * doses_administered)::bigint
+    FROM ({COVERAGE_GOLD}) GROUP BY region
+    UNION ALL SELECT 'fewer', region, sum(doses_administered)::bigint
+    FROM ({COVERAGE_GOLD}) WHERE region <> 'view' GROUP BY region""")
+def gold_replaced_in_one_step(spark: SparkSession, sf: str) -> DataFrame:
+    """A table with versions, as it was after each of three replacements; readers keep what they have begun with."""
+    root = workspace(spark)
+    coverage = gold.vaccination_coverage(vaccinations(spark, sf), PROCESSED_AT)
+    seen = []
+
+    def note(step: str) -> None:
+        by_region = read_gold(spark, root, "coverage").groupBy("region").agg(F.sum("doses_administered").cast("bigint").alias("doses"))
+        found = workspace(spark)
+        by_region.select(F.lit(step).alias("step"), "region", "doses").write.parquet(found)
+        seen.append(spark.read.parquet(found))
+
+    write_gold(coverage, root, "coverage", versioned=True)
+    note("whole")
+    click = coverage.where("region = 'click'").withColumn("doses_administered", F.col("doses_administered") * 10)
+    write_gold(click, root, "coverage", replace="regions")
+    note("region")
+    write_gold(coverage.where("region <> 'view'"), root, "coverage")
+    note("fewer")
+    return reduce(DataFrame.unionByName, seen)
+
+
+@query("""
+    SELECT 'before' AS run, 't' AS name, o_orderkey::bigint AS id, o_totalprice::varchar AS price, NULL AS note FROM orders
+    UNION ALL SELECT 'after', 't', o_orderkey::bigint, (o_totalprice * 2)::varchar, o_orderstatus FROM orders""")
+def registered_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """A zone registered by an odd spelling of its root, before and after a column has changed its type."""
+    root = workspace(spark)
+    database = f"trial_{root.rsplit('/', 1)[-1]}"
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("bigint").alias("id"), F.col("o_totalprice").alias("price"), "o_orderstatus")
+    seen = []
+    texts = (orders.select("id", "price"), orders.select("id", (F.col("price") * 2).cast("string").alias("price"), F.col("o_orderstatus").alias("note")))
+    for run, rows in zip(("before", "after"), texts):
+        rows.write.mode("overwrite").parquet(f"{root}/zone/t")
+        register_zone(spark, database, f"{root}//zone/", database_location=f"{root}/_database")
+        found, at = spark.table(f"{database}.t"), workspace(spark)
+        note = F.col("note") if "note" in found.columns else F.lit(None).cast("string")
+        found.select(F.lit(run).alias("run"), F.lit("t").alias("name"), "id", F.col("price").cast("string").alias("price"), note.alias("note")).write.parquet(at)
+        seen.append(spark.read.parquet(at))
+    return reduce(DataFrame.unionByName, seen)
 
 
 @query(f"""
