@@ -113,23 +113,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """One whole row of each group: the one with the smallest id, or any of equal rows."""
+    """One whole row of each group: the one with the smallest id, or any of those that share it.
+
+    Rows get a key when they are written with their fingerprints.  The choice is made among
+    keys and ids alone, and whole rows move once, to meet the keys that stay.
+    """
     ship_library(docs.sparkSession)
     text = text_or_empty("text")
-    prints = materialize(
-        docs.select("doc_id", F.xxhash64(text).alias("digest"), fingerprint(text, shingle).alias("fp"))
+    keyed = materialize(
+        docs.select(
+            whole_rows(docs), F.col("doc_id").alias("doc_id"), fingerprint(text, shingle).alias("fp"), F.monotonically_increasing_id().alias("key")
+        )
     )
-    groups = near_groups(prints, radius).select(F.col("fp").alias("g_fp"), "group")
+    groups = near_groups(keyed.select("doc_id", "fp"), radius).select(F.col("fp").alias("g_fp"), "group")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))
     chosen = (
-        prints.join(groups, F.col("fp") == F.col("g_fp"))
+        keyed.select("doc_id", "fp", "key")
+        .join(groups, F.col("fp") == F.col("g_fp"))
         .groupBy("group")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col("digest").alias("digest"))).alias("kept"))
-        .select(F.col("kept.doc_id").alias("k_id"), F.col("kept.digest").alias("k_digest"))
-    )
-    rows = docs.select(whole_rows(docs), F.col("doc_id").alias("d_id"), F.xxhash64(text).alias("d_digest"))
-    same = F.col("d_id").eqNullSafe(F.col("k_id")) & (F.col("d_digest") == F.col("k_digest"))
-    return (
-        rows.join(chosen, same, "left_semi")
-        .dropDuplicates(["d_id", "d_digest"])
-        .select("row.*")
+        .agg(first.alias("kept"))
+        .select(F.col("kept.key").alias("kept_key"))
     )
+    return keyed.select("row", "key").join(chosen, F.col("key") == F.col("kept_key"), "left_semi").select("row.*")

@@ -29,6 +29,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,17 +39,21 @@ MAGIC = b"RPG1"
 HEAD = struct.Struct("<4s4I")
 #: Ids in a shard before it is closed, and documents.
 SHARD_IDS, SHARD_DOCS = 1 << 20, 1 << 16
-#: Rounds of replacement, counters for pairs, and how often a pair must occur.
-ROUNDS, COUNTERS, LEAST = 5, 1 << 18, 64
+#: Counters for pairs, and how often a pair must occur to be replaced.
+COUNTER_BITS, LEAST = 18, 64
+COUNTERS = 1 << COUNTER_BITS
 #: A space before white space or the end, where a text is not cut.
 NO_CUT = re.compile(r" (?:\s|\Z)")
 # The pattern by which byte-level tokenizers split texts before merging, for the
 # characters of PLAIN: letters up to U+024F, digits, visible ASCII and line feeds.
 LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 PLAIN = re.compile(f"[!-~\n{LETTER}]+")
+WORD = re.compile(f"([{LETTER}]+)([!-/:-@\\[-`{{-~]?)")
 SPLIT = re.compile(f"'(?:[sdmt]|ll|ve|re)| ?[{LETTER}]+| ?[0-9]+| ?[^\\s0-9{LETTER}]+|\n+(?!\\S)|\n+")
-#: Word pieces a worker remembers, some 150 MB.
-REMEMBERED = 1 << 19
+#: Bytes of word pieces a worker remembers for good, and then for a while; a piece takes ENTRY besides its own.
+REMEMBERED, RECENT, ENTRY = 80 << 20, 8 << 20, 150
+#: Characters of the longest piece that is remembered.
+LONGEST = 64
 END_ID = 0
 
 
@@ -60,7 +65,8 @@ class Encoder(dict[str, bytes]):
     in order; pieces seen before are looked up, the others go to the library.  It merges the
     parts of plain pieces one by one, which saves tracking offsets into the text; a part that
     several pieces share is merged once.  The dictionary holds the ids of pieces, each with
-    its space; a piece it misses is encoded.
+    its space; a piece it misses is encoded.  It takes what comes first, which frequent pieces
+    do, up to ``REMEMBERED`` bytes; later ones are remembered until they fill ``RECENT`` bytes.
 
     Texts that hold an added token are encoded whole by the library, as it splits them there.
     With ``escape_special``, the names of special tokens are text like any other.
@@ -81,6 +87,9 @@ class Encoder(dict[str, bytes]):
         self.model = self.tokenizer.model
         #: Ids of the parts of pieces that follow no space.
         self.inner: dict[str, bytes] = {}
+        #: Pieces that came when there was no room any more.
+        self.recent: dict[str, bytes] = {}
+        self.room, self.room_for_recent = REMEMBERED, RECENT
         splits = self.tokenizer.pre_tokenizer
         self.in_parts = isinstance(splits, ByteLevel) and splits.use_regex and not self.tokenizer.normalizer
         level = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -112,21 +121,45 @@ class Encoder(dict[str, bytes]):
         return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if self.in_parts and piece.isascii() and piece.isalpha():
-            ids = self._merged(self.symbols[32] + piece)
-        elif not self.in_parts or not PLAIN.fullmatch(piece):
+        ids = self.recent.get(piece)
+        if ids is None:
+            ids = self._encoded(piece)
+            if len(piece) <= LONGEST:
+                self._hold(self if self.room > 0 else self.recent, piece, ids)
+        return ids
+
+    def _hold(self, remembered: dict[str, bytes], piece: str, ids: bytes) -> None:
+        remembered[piece] = ids
+        size = ENTRY + len(piece) + len(ids)
+        if remembered is not self.recent:
+            self.room -= size
+            return
+        self.room_for_recent -= size
+        if self.room_for_recent <= 0:
+            self.recent, self.room_for_recent = {}, RECENT
+
+    def _encoded(self, piece: str) -> bytes:
+        if self.in_parts and (word := WORD.fullmatch(piece)):
+            letters, mark = word.groups()
+            if not mark:
+                return self._merged(self.symbols[32] + (piece if piece.isascii() else piece.translate(self.symbols)))
+            if mark not in self.inner:
+                self.inner[mark] = self._merged(mark)
+            return self[letters] + self.inner[mark]
+        if not self.in_parts or not PLAIN.fullmatch(piece):
             (ids,) = self._library([" " + piece])
-        else:
-            first, *rest = SPLIT.findall(" " + piece)
-            if not rest:
-                ids = self._merged(first.translate(self.symbols))
-            else:
-                ids = self[first[1:]]
-                for part in rest:
-                    if part not in self.inner:
-                        self.inner[part] = self._merged(part.translate(self.symbols))
-                    ids += self.inner[part]
-        self[piece] = ids
+            return ids
+        first, *rest = SPLIT.findall(" " + piece)
+        if not rest:
+            return self._merged(first.translate(self.symbols))
+        ids = self[first[1:]]
+        for part in rest:
+            found = self.inner.get(part)
+            if found is None:
+                found = self._merged(part.translate(self.symbols))
+                if len(part) <= LONGEST and self.room > 0:
+                    self._hold(self.inner, part, found)
+            ids += found
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -134,11 +167,7 @@ class Encoder(dict[str, bytes]):
         cut = [[t] if self._whole(t) else self.pieces(t) for t in texts]
         firsts = self._library([c[0] for c in cut])
         ids = self.__getitem__
-        encoded = [f + b"".join(map(ids, islice(c, 1, None))) for f, c in zip(firsts, cut, strict=True)]
-        for remembered in (self, self.inner):
-            while len(remembered) > REMEMBERED:
-                remembered.popitem()
-        return encoded
+        return [f + b"".join(map(ids, islice(c, 1, None))) for f, c in zip(firsts, cut, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -147,54 +176,63 @@ def encoder(path: str, escape_special: bool) -> Encoder:
 
 
 def _counter(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (left * 0x9E3779B1 + right * 0x85EBCA6B >> 7) & (COUNTERS - 1)
+    """Counters of pairs, from 32-bit symbols."""
+    mixed = left.astype(np.uint32) * np.uint32(0x9E3779B1)
+    mixed += right.astype(np.uint32) * np.uint32(0x85EBCA6B)
+    return (mixed >> np.uint32(32 - COUNTER_BITS)).astype(np.int32)
 
 
 def repair(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (left, right), the length each expands to, and the remaining sequence.
 
-    A round counts all neighbouring pairs, replaces those that occur ``LEAST`` times and
-    more, the overlapping ones every second time, and leaves the rest to the next round.
-    Counters are shared by the pairs that hash to them; only pairs under full counters are
-    then counted one by one, and the most frequent one of each counter is replaced.
+    Rounds go on until no pair of neighbours occurs ``LEAST`` times.  A round counts the pairs,
+    replaces frequent ones, the overlapping ones every second time, and leaves the rest to the
+    next round.  Counters are shared by the pairs that hash to them; only pairs under full
+    counters are then counted one by one, and the most frequent one of each counter is replaced.
+    Counts of old pairs only fall, so after the first round only those places are looked at
+    where a pair was frequent or has become a new one.
     """
-    seq, rules = ids.astype(np.int64), []
+    seq, rules = ids.astype(np.int32), [np.empty((0, 2), np.int64)]
     lengths = np.ones(0, np.int64)
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
-        left, right = seq[:-1], seq[1:]
+    places = np.arange(len(seq) - 1, dtype=np.int32)
+    while len(places):
+        every = len(places) == len(seq) - 1
+        left, right = (seq[:-1], seq[1:]) if every else (seq[places], seq[places + 1])
         slots = _counter(left, right)
-        full = np.bincount(slots, minlength=COUNTERS) >= LEAST
-        at = np.flatnonzero(full[slots])
-        found = left[at] << 32 | right[at]
+        full = np.flatnonzero((np.bincount(slots, minlength=COUNTERS) >= LEAST)[slots])
+        places, slots, found = places[full], slots[full], left[full].astype(np.int64) << 32 | right[full]
         pairs, counts = np.unique(found, return_counts=True)
-        order = np.argsort(counts, kind="stable")
-        pairs = pairs[order][np.sort(counts) >= LEAST]
+        pairs = pairs[counts >= LEAST][np.argsort(counts[counts >= LEAST], kind="stable")]
         if not len(pairs):
             break
-        # The most frequent pair of each counter is replaced in this round.
+        # The most frequent pair of each counter is replaced in this round, the others have theirs to come.
+        of = _counter(pairs >> 32, pairs & 0xFFFFFFFF)
         leader = np.full(COUNTERS, -1)
-        leader[_counter(pairs >> 32, pairs & 0xFFFFFFFF)] = np.arange(len(pairs))
-        which = leader[slots[at]]
+        leader[of] = np.arange(len(pairs))
+        again = np.zeros(COUNTERS, bool)
+        again[of[leader[of] != np.arange(len(pairs))]] = True
+        which = leader[slots]
         led = (which >= 0) & (pairs[which] == found)
-        at, which = at[led], which[led]
+        places, at, which = places[again[slots]], places[led], which[led]
         run = np.ones(len(at), bool)
         run[1:] = at[1:] != at[:-1] + 1
         first = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
         every_second = (np.arange(len(at)) - first) % 2 == 0
         at, which = at[every_second], which[every_second]
-        seq = seq.copy()
+        used, which = np.unique(which, return_inverse=True)
+        new = np.stack([pairs[used] >> 32, pairs[used] & 0xFFFFFFFF], axis=1)
         seq[at] = base + len(lengths) + which
-        rest = np.ones(len(seq), bool)
-        rest[at + 1] = False
-        seq = seq[rest]
-        new = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1)
         size = np.where(new >= base, lengths[np.maximum(new - base, 0)] if len(lengths) else 1, 1).sum(axis=1)
         rules.append(new)
         lengths = np.concatenate([lengths, size])
-    table = np.concatenate(rules) if rules else np.empty((0, 2), np.int64)
-    return table.astype(np.uint32), lengths.astype(np.uint32), seq.astype(np.uint32)
+        # The places that are left, and both sides of each new symbol, in the shorter sequence.
+        look = np.zeros(len(seq), bool)
+        look[places], look[at], look[np.maximum(at - 1, 0)] = True, True, True
+        rest = np.ones(len(seq), bool)
+        rest[at + 1] = False
+        seq, look = seq[rest], look[rest]
+        places = np.flatnonzero(look[:-1])
+    return np.concatenate(rules).astype(np.uint32), lengths.astype(np.uint32), seq.astype(np.uint32)
 
 
 def write_shard(counts: list[int], ids: np.ndarray, base: int) -> bytes:
@@ -265,36 +303,39 @@ def encode_shards(
 ) -> DataFrame:
     """One row per shard: its place, the ids before it in its part, its documents, its file.
 
-    Parts are ranges of document ids; rows that share an id are ordered by a hash of the text.
+    Parts are ranges of document ids; rows that share an id are ordered by a hash of the text,
+    and equal ones by where they were read, so that no part has to take them all.
     """
     ship_library(docs.sparkSession)
-    digest = F.xxhash64("text")
     text = text_or_empty("text").alias("text")
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("tie")]
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-        .repartitionByRange(F.col("doc_id").asc_nulls_first(), digest)
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), digest)
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, F.monotonically_increasing_id().alias("tie"))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .select(F.spark_partition_id().alias("part"), "doc_id", "text")
     )
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, escape_special)
         base = vocabulary or encode.tokenizer.get_vocab_size()
         tail = struct.pack("<I", end_id)
         names, counts, data, held = [], [], [], 0
         part, shard, before = 0, 0, 0
 
-        def close() -> pd.DataFrame:
+        def close() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(data), "<u4")
-            row = (part, shard, before, len(ids), list(names), write_shard(counts, ids, base))
-            return pd.DataFrame([row], columns=["part", "shard", "before", "n_ids", "doc_ids", "data"])
+            row = [part, shard, before, len(ids), list(names), write_shard(counts, ids, base)]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+            columns = [pa.array([v], t) for v, t in zip(row, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, ["part", "shard", "before", "n_ids", "doc_ids", "data"])
 
         for batch in batches:
-            part = int(batch["part"].iloc[0]) if len(batch) else part
-            keys = [None if pd.isna(k) else int(k) for k in batch["doc_id"]]
-            texts = batch["text"].tolist()
-            for i in range(0, len(texts), 256):
-                for key, ids in zip(keys[i : i + 256], encode.encode(texts[i : i + 256]), strict=True):
+            part = batch.column("part")[0].as_py() if batch.num_rows else part
+            keys = batch.column("doc_id").to_pylist()
+            for i in range(0, len(keys), 256):
+                texts = batch.column("text").slice(i, 256).to_pylist()
+                for key, ids in zip(keys[i : i + 256], encode.encode(texts), strict=True):
                     names.append(key)
                     data.append(ids + tail)
                     counts.append(len(data[-1]) // 4)
@@ -306,7 +347,7 @@ def encode_shards(
         if names:
             yield close()
 
-    return ordered.mapInPandas(pack, SHARD)
+    return ordered.mapInArrow(pack, SHARD)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, escape_special: bool = True) -> None:
@@ -321,6 +362,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     shards = spark.read.schema(SHARD).parquet(path)
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder.cache_clear()  # reading has no use for the words that writing left in this worker
         for batch in batches:
             for row in batch.itertuples(index=False):
                 shard = Shard(row.data)

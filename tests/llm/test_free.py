@@ -1,5 +1,6 @@
 """Language ID, toxicity, neighbours, near copies, token files, shards and the pipeline."""
 
+import math
 import random
 import zlib
 
@@ -139,6 +140,24 @@ def test_groups_of_close_vectors_keep_their_neighbours(spark, monkeypatch):
         assert np.mean([recalls[q] for q in group]) >= 0.9
 
 
+def test_the_exact_search_leaves_nothing_out(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "EXACT_BLOCK", 50)
+    rng = np.random.default_rng(8)
+    x = rng.integers(-3, 4, (700, 6)).astype(float)  # many ties
+    x[100:300] = x[100]
+    x[~x.any(axis=1)] = 1.0
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(20, x[20].tolist()), (None, [1.0] * 6), (900, None), (920, [0.0] * 6)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found: dict[int, list] = {}
+    for r in neighbours.nearest_exact(frame, F.col("vec_id") % 20 == 0, k=9).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in range(0, 700, 20):
+        order = sorted((-float(x[q] @ x[v]), v) for v in range(700) if v != q)[:9]
+        assert found[q] == [(i + 1, v, -s) for i, (s, v) in enumerate(order)]
+    assert sorted(found) == list(range(0, 700, 20))
+    assert neighbours.nearest_exact(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
 def test_few_and_no_vectors(spark):
     frame = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)] + [(20, [1.0, 0.0])], "vec_id long, embedding array<float>")
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect()]
@@ -240,7 +259,8 @@ def test_files_hold_the_ids_of_whole_texts(spark, docs, tmp_path):
 
 
 def test_pieces_have_the_ids_the_library_gives_whole_texts(monkeypatch):
-    monkeypatch.setattr(token_files, "REMEMBERED", 500)
+    monkeypatch.setattr(token_files, "REMEMBERED", 50_000)
+    monkeypatch.setattr(token_files, "RECENT", 5_000)
     encoder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     assert encoder.in_parts
     letters = list("abIt''sdmtlvre    \n\n\t\r.,!?0129²½ªµºßéÿ×÷ŒǅɏɐΩ你\u00a0\x85\x1c\x0b🙂\u0301<|>")
@@ -251,7 +271,27 @@ def test_pieces_have_the_ids_the_library_gives_whole_texts(monkeypatch):
         batch = texts[i : i + 256]
         whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in batch]
         assert [np.frombuffer(d, "<u4").tolist() for d in encoder.encode(batch)] == whole
-        assert len(encoder) <= 500
+        held = [len(k) + len(v) + token_files.ENTRY for d in (encoder, encoder.inner, encoder.recent) for k, v in d.items()]
+        assert sum(held) <= 50_000 + 5_000 + 1_000
+    assert encoder.recent and max(map(len, encoder)) <= token_files.LONGEST
+
+
+def test_repair_leaves_no_frequent_pair():
+    rng = np.random.default_rng(5)
+    passage = rng.integers(0, 90, 400)
+    for ids in (
+        rng.integers(0, 30, 20_000), np.concatenate([passage] * 150), np.zeros(10_000, np.int64), np.arange(5000) % 2,
+        np.concatenate([rng.integers(0, 500, 3000), *[passage] * 70, rng.zipf(1.3, 20_000) % 300]), np.array([7]), np.array([], np.int64),
+    ):
+        ids = ids.astype("<u4")
+        rules, lengths, seq = token_files.repair(ids, 1000)
+        left = list(zip(seq[:-1].tolist(), seq[1:].tolist()))
+        assert max(map(left.count, set(left[:2000])), default=0) < token_files.LEAST
+        counts = [len(ids) // 2, len(ids) - len(ids) // 2]
+        shard = token_files.Shard(token_files.write_shard(counts, ids, 1000))
+        assert [d.tolist() for d in shard.documents()] == [ids[: counts[0]].tolist(), ids[counts[0] :].tolist()]
+        assert len(rules) == len(lengths) and set(range(1000, 1000 + len(rules))) <= {*seq.tolist(), *rules.ravel().tolist()}
+
 
 
 def test_queries_give_the_ids_of_the_library_with_its_defaults(spark, docs, tmp_path):
@@ -304,6 +344,40 @@ def test_shards_are_stable_weighted_and_numbered(spark, docs):
     assert sharding.plan_shards(docs(rows).limit(0), [1.0] * 3).count() == 0
 
 
+def spark_xxhash64(key, shard):
+    """XXH64 of the key with seed 42, which seeds that of the shard's four bytes."""
+    first = xxhash.xxh64_intdigest(key.encode(), 42)
+    return xxhash.xxh64_intdigest(shard.to_bytes(4, "little", signed=True), first)
+
+
+def brute_shard(key, weights):
+    draws = [(-math.log(((spark_xxhash64(key, i) >> 12) + 0.5) / 2**52) / w, i) for i, w in enumerate(weights)]
+    return min(draws)[1]
+
+
+def test_the_query_s_shards_equal_brute_force(spark):
+    found = QUERIES["op10_rendezvous_sharding"](spark, TESTDATA).collect()
+    docs = {r["doc_id"]: r["text"] or "" for r in table(spark, "documents").collect()}
+    assert len(found) == len(docs) and {r["law"] for r in found} == {"key"}
+    slots = {}
+    for r in sorted(found, key=lambda r: r["doc_id"]):
+        text = docs[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"]) == (len(text) + 16, zlib.crc32(text))
+        assert r["shard"] == brute_shard(str(r["doc_id"]), [1.0] * 40)
+        assert r["grown_shard"] == brute_shard(str(r["doc_id"]), [1.0] * 41)
+        # By id, slots go up one by one within each shard.
+        assert r["slot"] == slots.get(r["shard"], 0)
+        slots[r["shard"]] = r["slot"] + 1
+
+
+def test_sharded_rows_keep_all_their_columns(spark, docs):
+    frame = docs([(1, "x"), (None, None)])
+    out = sharding.with_shards(frame, [1.0, 2.0, 1.0])
+    assert out.select("row.*").columns == frame.columns and "shard" in frame.columns
+    want = {k: brute_shard(str(k) if k else "null", [1.0, 2.0, 1.0]) for k in (1, None)}
+    assert {r["row"]["doc_id"]: r["shard"] for r in out.collect()} == want
+
+
 # --- pipeline ---------------------------------------------------------------
 
 
