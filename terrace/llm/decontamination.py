@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.tables import ascii_lower, materialize, text_or_empty, whole_rows
+from terrace.llm.tables import ascii_lower, materialize, merged_spans, text_or_empty, whole_rows
 
 #: Words of a lower-cased text: runs of letters, digits and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -47,31 +47,8 @@ def benchmark_windows(benchmark: DataFrame, width: int = 10) -> DataFrame:
 
 def _merged(hits: Column) -> Column:
     """Sorted hits as disjoint word spans: struct(start, end), end exclusive."""
-    span = "struct<start:int,end:int>"
-    none = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("end"))
-
-    def step(acc, hit):
-        end = hit["pos"] + hit["span"]
-        joins = hit["pos"] <= acc["open"]["end"]
-        grown = F.struct(acc["open"]["start"].alias("start"), F.greatest(acc["open"]["end"], end).alias("end"))
-        return F.struct(
-            F.when(joins | (acc["open"]["start"] < 0), acc["done"])
-            .otherwise(F.concat(acc["done"], F.array(acc["open"])))
-            .alias("done"),
-            F.when(joins, grown)
-            .otherwise(F.struct(hit["pos"].alias("start"), end.alias("end")))
-            .alias("open"),
-        )
-
-    start = F.struct(F.array().cast(f"array<{span}>").alias("done"), none.cast(span).alias("open"))
-    return F.aggregate(
-        hits,
-        start,
-        step,
-        lambda acc: F.when(acc["open"]["start"] < 0, acc["done"]).otherwise(
-            F.concat(acc["done"], F.array(acc["open"]))
-        ),
-    )
+    spans = F.transform(hits, lambda h: F.struct(h["pos"].alias("start"), (h["pos"] + h["span"]).alias("end")))
+    return merged_spans(spans, touching=True)
 
 
 def find_contamination(

@@ -5,8 +5,9 @@ its repetition rate.  A document is emitted floor(rate) times, plus one copy who
 seeded hash falls below the fraction.  DataFrame functions throughout.
 
 Defined results: a null or empty text has size 0; a null source is a source of its own,
-ordered last; a document without an id is drawn by the digest of its text, and rows that
-repeat an id are drawn alike; an empty table gives an empty mix; other columns are carried.
+ordered last; rows that share an id, or have none, are drawn by the digests of their texts, and
+equal ones by their number among themselves, so each is drawn on its own; an empty table
+gives an empty mix; other columns are carried.
 """
 
 from __future__ import annotations
@@ -24,7 +25,22 @@ def word_count(text: str = "text") -> Column:
 
 
 def draw_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    return F.coalesce(F.col(doc_id).cast("string"), F.md5(F.col(text)), F.lit(""))
+    """What a row is drawn by, besides its number among equal rows: its id and the digest of its text."""
+    return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.md5(text_or_empty(text)))
+
+
+def numbered(docs: DataFrame, key: Column) -> DataFrame:
+    """``row`` (all columns of ``docs``) and ``key``, made to differ between rows of the same key.
+
+    Keys are counted first.  Only if some are shared are rows put in order to number them, by
+    ranges, so that no task takes all rows of a key.
+    """
+    rows = docs.select(whole_rows(docs), key.alias("key"))
+    if rows.groupBy("key").count().where("count > 1").isEmpty():
+        return rows.select("row", F.concat("key", F.lit(":0")).alias("key"))
+    tied = rows.withColumn("tie", F.monotonically_increasing_id())
+    placed = positions(tied, [F.col("key"), F.col("tie")], ["key"])
+    return placed.select("row", F.concat_ws(":", "key", F.col("position").cast("string")).alias("key"))
 
 
 def source_targets(
@@ -70,13 +86,13 @@ def source_targets(
 
 
 def copies(docs: DataFrame, targets: DataFrame, key: Column, seed: str = "mix") -> DataFrame:
-    """``row`` (all columns of ``docs``), ``source_size``, ``target`` and ``copies``, in the docs' order.
+    """``row`` (all columns of ``docs``), ``source_size``, ``target`` and ``copies``.
 
     Only the source joins, one row per source; the planner broadcasts that side if it is
     small and splits hot sources if it is not.
     """
-    drawn = docs.select(
-        whole_rows(docs), F.col("source").alias("of"), unit_interval(F.concat(F.lit(f"{seed}:"), key)).alias("u")
+    drawn = numbered(docs, key).select(
+        "row", F.col("row.source").alias("of"), unit_interval(F.concat(F.lit(f"{seed}:"), F.col("key"))).alias("u")
     )
     times = F.floor("rate") + (F.col("u") < F.col("rate") - F.floor("rate")).cast("long")
     return drawn.join(targets, F.col("of").eqNullSafe(F.col("source"))).select(

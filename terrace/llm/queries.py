@@ -118,9 +118,9 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn as (
         select doc_id, size, source_size, target,
             case when source_size > 0 then target / source_size else 0.0 end as rate,
-            ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, md5(text), '')), 1, 13))::bigint
+            ('0x' || substr(md5('mix:' || key || ':' || (row_number() over (partition by key) - 1)), 1, 13))::bigint
                 / 4503599627370496.0::double as u
-        from sized join targets on sized.source is not distinct from targets.source
+        from (select *, coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, '')) as key from sized) sized join targets on sized.source is not distinct from targets.source
     )
     select doc_id, size::bigint as size, source_size, target,
         (size * (floor(rate)::bigint + (u < rate - floor(rate))::bigint))::bigint as taken

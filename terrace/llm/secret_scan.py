@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.tables import text_or_empty, whole_rows
+from terrace.llm.tables import merged_spans, running, text_or_empty, whole_rows
 
 # The forms of known secrets, in the order their kinds are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -54,31 +54,35 @@ def _nothing() -> Column:
 
 
 def _matches(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
-    """Spans of the leftmost non-overlapping matches whose ``group`` has ``least`` characters."""
+    """``start, kind, end, value``: leftmost non-overlapping matches whose ``group`` has ``least`` characters."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.arrays_zip(
-        F.slice(F.split(text, pattern, -1), 1, F.size(found)).alias("gap"),
+        F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(found)), F.length).alias("gap"),
         found.alias("match"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
     )
-
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(
-            end.alias("at"),
-            F.when(F.length(x["value"]) >= least, F.concat(acc["spans"], F.array(span)))
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        )
-
-    zero = F.struct(F.lit(0).alias("at"), _nothing().alias("spans"))
-    return F.aggregate(parts, zero, step, lambda acc: acc["spans"])
+    spans = running(
+        F.transform(
+            parts,
+            lambda x: F.struct(
+                (x["gap"] + F.length(x["match"])).alias("width"), x["gap"].alias("gap"), x["match"].alias("match"), x["value"].alias("value")
+            ),
+        ),
+        F.lit(0),
+        lambda at, x: at + x["width"],
+        lambda at, x: F.struct(
+            (at + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (at + x["width"]).alias("end"), x["match"].alias("match"), F.length(x["value"]).alias("size")
+        ),
+        "struct<start:int,kind:int,end:int,match:string,size:int>",
+    )
+    return F.filter(spans, lambda s: s["size"] >= least)
 
 
 def _found(text: Column, pattern: str, kind: int, group: int = 0, least: int = 1) -> Column:
-    spans = _matches(text, pattern, kind, group, least)
+    spans = F.transform(
+        _matches(text, pattern, kind, group, least),
+        lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")),
+    )
     return F.when(text.rlike(pattern), spans).otherwise(_nothing())
 
 
@@ -153,17 +157,19 @@ def _cut(value: Column, pattern: str) -> Column:
     parts = F.arrays_zip(
         F.split(value, pattern, -1).alias("gap"), F.regexp_extract_all(value, F.lit(pattern), F.lit(0)).alias("match")
     )
-
-    def step(acc, x):
-        end = acc["at"] + F.length(x["gap"])
-        piece = F.struct(acc["at"].alias("start"), x["gap"].alias("value"))
-        return F.struct(
-            (end + F.coalesce(F.length(x["match"]), F.lit(0))).alias("at"),
-            F.concat(acc["pieces"], F.array(piece)).alias("pieces"),
-        )
-
-    none = F.array().cast("array<struct<start:int,value:string>>")
-    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("pieces")), step, lambda acc: acc["pieces"])
+    widths = F.transform(
+        parts,
+        lambda x: F.struct(
+            (F.length(x["gap"]) + F.coalesce(F.length(x["match"]), F.lit(0))).alias("width"), x["gap"].alias("gap")
+        ),
+    )
+    return running(
+        widths,
+        F.lit(0),
+        lambda at, x: at + x["width"],
+        lambda at, x: F.struct(at.alias("start"), x["gap"].alias("value")),
+        "struct<start:int,value:string>",
+    )
 
 
 def _not_allowed(value: Column, window: int) -> Column:
@@ -178,9 +184,7 @@ def _random_runs(text: Column, pattern: str, alphabet: str, mixed: str, window:
     whole = F.filter(
         F.transform(
             _matches(text, pattern, 3, 0, window),
-            lambda s: F.struct(
-                s["start"].alias("start"), F.substring(text, s["start"] + 1, s["end"] - s["start"]).alias("value")
-            ),
+            lambda s: F.struct(s["start"].alias("start"), s["match"].alias("value")),
         ),
         lambda c: c["value"].rlike(mixed) & ~c["value"].rlike(ALLOWED),
     )
@@ -208,16 +212,11 @@ def _random_runs(text: Column, pattern: str, alphabet: str, mixed: str, window:
 
 def _merged(spans: Column) -> Column:
     """Spans by start, those that overlap as one."""
-
-    def step(acc, s):
-        last = F.try_element_at(acc, F.lit(-1))
-        both = F.struct(
-            last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end")
-        )
-        others = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
-        return F.when(last["end"] > s["start"], F.concat(others, F.array(both))).otherwise(F.concat(acc, F.array(s)))
-
-    return F.aggregate(F.array_sort(spans), _nothing(), step)
+    sorted_spans = F.transform(F.array_sort(spans), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return F.transform(
+        merged_spans(sorted_spans, touching=False),
+        lambda s: F.struct(s["start"].alias("start"), F.lit(3).alias("kind"), s["end"].alias("end")),
+    )
 
 
 def random_strings(
@@ -243,11 +242,19 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """
     text = text_or_empty("text")
     known = docs.select(whole_rows(docs), known_secrets(text).alias("known"), random_strings(text).alias("random"))
-    outside = F.filter(
-        "random",
-        lambda r: ~F.exists("known", lambda k: (k["start"] <= r["start"]) & (r["end"] <= k["end"])),
+    # A known span that begins no later holds a span if none of these ends before it does.
+    marked = running(
+        F.array_sort(F.concat("known", "random")),
+        F.lit(-1),
+        lambda at, s: F.when(s["kind"] < 3, F.greatest(at, s["end"])).otherwise(at),
+        lambda at, s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), at.alias("before")),
+        "struct<start:int,kind:int,end:int,before:int>",
+    )
+    outside = F.transform(
+        F.filter(marked, lambda s: (s["kind"] == 3) & (s["before"] < s["end"])),
+        lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")),
     )
-    return known.select("row", "known", outside.alias("random"))
+    return known.select("row", "known", F.when(F.size("random") > 0, outside).otherwise(F.col("random")).alias("random"))
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:

@@ -7,7 +7,7 @@ them, and that by ranges, so that no task holds a whole shard.
 
 Defined results: a null text has no bytes; rows with a null key go where the key ``null``
 goes; rows that repeat a key share its shard and have slots of their own; an empty table
-gives no rows; other columns are carried by ``with_shards``.
+gives no rows; other columns are carried by ``with_shards``, whatever they are called.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.tables import positions, text_or_empty
+from terrace.llm.tables import positions, text_or_empty, whole_rows
 
 #: Bytes a record takes besides its text.
 OVERHEAD = 16
@@ -35,8 +35,9 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     return F.array_min(F.array(*draws))["shard"]
 
 
-def with_shards(docs: DataFrame, weights: Sequence[float], key: str = "doc_id", shard: str = "shard") -> DataFrame:
-    return docs.withColumn(shard, rendezvous(F.col(key), weights))
+def with_shards(docs: DataFrame, weights: Sequence[float], key: str = "doc_id") -> DataFrame:
+    """``row`` (all columns of ``docs``) and ``shard``."""
+    return docs.select(whole_rows(docs), rendezvous(F.col(f"`{key}`"), weights).alias("shard"))
 
 
 def plan_shards(docs: DataFrame, weights: Sequence[float], added: float = 1.0) -> DataFrame:

@@ -1,12 +1,14 @@
 """Chat formatting, mixing, decontamination and secret scans against plain Python."""
 
-import hashlib
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from terrace.llm import chat, decontamination, mixing, secret_scan
+from terrace.llm.tables import merged_spans
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string, row string"
 
@@ -253,5 +255,71 @@ def test_hexadecimal_runs_are_found_after_any_separator(docs):
         assert span[0] <= texts[text][0] and texts[text][1] <= span[1], text
 
 
-def test_digest_of_no_secret(spark, docs):
-    assert hashlib.sha256(b"").hexdigest() == docs([(1, "x")]).select(F.sha2(F.lit(""), 256)).first()[0]
+def test_many_hits_and_spans_in_one_text(spark, docs):
+    """A text of many hits, and one of many keys: as a scan word by word finds them, in time that grows with them."""
+    item = "one two three four five six seven eight nine ten eleven"
+    items = spark.createDataFrame([(1, item), (2, "ten eleven x")], "item_id long, text string")
+    times = {}
+    for n in (500, 8000):
+        text = " ".join([f"{item} x y"] * n + [item])
+        start = time.perf_counter()
+        (found,) = decontamination.find_contamination(docs([(1, text)]), items).collect()
+        times[n] = time.perf_counter() - start
+        assert [(s["start"], s["end"]) for s in found["spans"]] == [(13 * i, 13 * i + 12) for i in range(n)] + [(13 * n, 13 * n + 11)]
+    assert times[8000] < 10 * times[500] + 5
+    key = "Zk9fQ2mX7pLr4TnV8cBy1Hd0sWq"
+    text = " ".join([f"é {key} token=hunter2hunter2"] * 1500)
+    (found,) = secret_scan.find_secrets(docs([(1, text)])).collect()
+    width = 2 + len(key) + 1 + len("token=hunter2hunter2") + 1
+    assert [(s["start"], s["end"]) for s in found["random"]] == [(i * width + 2, i * width + 2 + len(key)) for i in range(1500)]
+    assert [tuple(s) for s in found["known"]] == brute_secrets(text)
+
+
+def test_merged_spans_equal_brute_force(spark):
+    rng = random.Random(3)
+    rows = []
+    for n in (0, 1, 63, 64, 65, 200):
+        spans = sorted((a, a + rng.randrange(1, 12)) for a in (rng.randrange(0, 6 * n + 1) for _ in range(n)))
+        rows.append((n, spans))
+    frame = spark.createDataFrame(rows, "n int, spans array<struct<start:int,end:int>>")
+    for touching in (True, False):
+        for r in frame.select("n", "spans", merged_spans(F.col("spans"), touching).alias("m")).collect():
+            want = []
+            for a, b in ((s["start"], s["end"]) for s in r["spans"]):
+                if want and (a <= want[-1][1] if touching else a < want[-1][1]):
+                    want[-1][1] = max(want[-1][1], b)
+                else:
+                    want.append([a, b])
+            assert [[s["start"], s["end"]] for s in r["m"]] == want
+
+
+def test_rows_that_share_an_id_are_drawn_one_by_one(spark, docs):
+    rows = [(7, f"w{i} x", None, "a") for i in range(2000)] + [(8, "same text", None, "b")] * 2000 + [(None, "y z", None, "c")] * 500
+    frame = docs(rows)
+    targets = mixing.source_targets(frame.select("source", mixing.word_count().alias("size")))
+    mixed = mixing.copies(frame, targets, mixing.draw_key())
+    taken = {r["s"]: r["n"] for r in mixed.groupBy(F.col("row.source").alias("s")).agg(F.sum("copies").alias("n")).collect()}
+    want = {r["source"]: r["target"] / 2 for r in targets.collect()}
+    assert all(abs(taken[s] - want[s]) < 150 for s in "abc") and mixed.count() == len(rows)
+    again = mixing.copies(frame, targets, mixing.draw_key())
+    assert again.select("row.doc_id", "row.text", "copies").exceptAll(mixed.select("row.doc_id", "row.text", "copies")).count() == 0
+
+
+def test_long_texts_and_clashing_columns(spark, docs):
+    """A text of a million characters in each native operator, and rows whose columns have the operators' names."""
+    long = "lorem ipsum dolor " * 60_000
+    frame = spark.createDataFrame(
+        [(1, long, "s", 5, "k"), (2, None, None, 6, "k")], "doc_id long, text string, source string, size long, key string"
+    )
+    targets = mixing.source_targets(frame.select("source", mixing.word_count().alias("size")))
+    mixed = mixing.emit(mixing.copies(frame, targets, mixing.draw_key()))
+    assert mixed.columns == frame.columns and {r["size"] for r in mixed.collect()} <= {5, 6}
+    items = spark.createDataFrame([(1, "dolor lorem ipsum dolor lorem ipsum dolor lorem ipsum dolor")], "item_id long, text string")
+    found = {r["row"]["doc_id"]: r for r in decontamination.find_contamination(frame, items).collect()}
+    assert [(s["start"], s["end"]) for s in found[1]["spans"]] == [(2, 180_000)] and found[1]["n_words"] == 180_000
+    assert found[2]["spans"] == [] and found[1]["row"]["key"] == "k"
+    scanned = {r["row"]["doc_id"]: (r["known"], r["random"]) for r in secret_scan.find_secrets(frame).collect()}
+    assert scanned == {1: ([], []), 2: ([], [])}
+    turns = spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", long)], "conv_id long, turn long, role string, text string")
+    (chat_row,) = chat.format_chats(chat.as_trees(turns)).collect()
+    assert chat_row["formatted"].count(long) == 2
