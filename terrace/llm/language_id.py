@@ -8,8 +8,9 @@ texts is scored by one product of its presence matrix X with the landmarks' matr
 the regression's weights A.  As X (L' A) = (X L') A, the small product L' A is made once.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every
-text if nothing was labelled; texts are read whole; repeated rows score alike; ties go to the
-first language; other columns are carried.
+text if nothing was labelled; texts are read whole; repeated rows score alike, and count once
+in the sample, whatever ids they have; ties go to the first language; an empty table gives
+no rows; other columns are carried.
 """
 
 from __future__ import annotations
@@ -19,15 +20,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.ngrams import Presence, letters_only, sums
-from terrace.llm.tables import ship_library, text_or_empty
+from terrace.llm.tables import ship_library, text_or_empty, uniform_draw
 
 SIZES, SLOT_BITS = (1, 2, 3, 4), 18
 #: Labelled texts in the sample over all languages, landmarks, and the ridge.
 SAMPLE, LANDMARKS, RIDGE = 1600, 256, 1e-2
+#: Languages that are learned at most, those with the most texts.
+LANGUAGES = 256
+#: Texts described at a time.
+BLOCK = 256
 UNKNOWN = "und"
 
 
@@ -47,28 +52,45 @@ class Model:
 def sample(docs: DataFrame, learn: Column, size: int) -> list[tuple[str, np.ndarray]]:
     """At most ``size`` labelled texts as (language, slots), spread evenly over the languages.
 
-    Texts are drawn by a hash, at a rate that follows each language's count.
+    Texts are drawn by a hash of language and text, at a rate that follows the number of different
+    texts of each language, so copies are drawn once however many there are.  What comes to the
+    driver is bounded: ``LANGUAGES`` languages at most, those of most texts, and of each its quota.
     """
     usable = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    texts = F.approx_count_distinct(F.xxhash64("text")).alias("n")
+    most = usable.groupBy("lang").agg(texts).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = {r["lang"]: r["n"] for r in most}
     if not counts:
         return []
     quota = max(2, size // len(counts))
-    rate = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.5 * quota / n))])
-    draw = (F.shiftrightunsigned(F.xxhash64("doc_id", "lang", F.lit("sample")), 11) / F.lit(float(1 << 53))).alias("draw")
-    drawn = usable.select("lang", "text", draw).where(F.col("draw") < F.element_at(rate, F.col("lang")))
+    rate = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.5 * quota / max(n, 1)))])
+    drawn = usable.select("lang", "text", uniform_draw("lang", "text", F.lit("sample")).alias("draw")).where(
+        F.col("draw") < F.element_at(rate, F.col("lang"))
+    )
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        presence = Presence(SIZES, SLOT_BITS)
+        presence, seen = Presence(SIZES, SLOT_BITS), set()
         for batch in batches:
-            points = [letters_only(t) for t in batch["text"]]
-            slots = [presence.slots(p).tobytes() if any_letter else None for p, any_letter in points]
-            yield pd.DataFrame({"lang": batch["lang"], "draw": batch["draw"], "slots": slots})
-
-    rows = drawn.mapInPandas(describe, "lang string, draw double, slots binary").where("slots is not null").collect()
+            fresh = [not (d in seen or seen.add(d)) for d in zip(batch["lang"], batch["draw"])]
+            batch = batch[fresh]
+            for i in range(0, len(batch), BLOCK):
+                some = batch.iloc[i : i + BLOCK]
+                points = [letters_only(t) for t in some["text"]]
+                slots = [presence.slots(p).tobytes() if any_letter else None for p, any_letter in points]
+                yield pd.DataFrame({"lang": some["lang"], "draw": some["draw"], "slots": slots})
+
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "slots"))
+    rows = (
+        drawn.mapInPandas(describe, "lang string, draw double, slots binary")
+        .where("slots is not null")
+        .distinct()
+        .withColumn("place", first)
+        .where(F.col("place") <= quota)
+        .collect()
+    )
     chosen: list[tuple[str, np.ndarray]] = []
     for lang in sorted(counts):
-        own = sorted((r["draw"], bytes(r["slots"])) for r in rows if r["lang"] == lang)[:quota]
+        own = sorted((r["draw"], bytes(r["slots"])) for r in rows if r["lang"] == lang)
         chosen += [(lang, np.frombuffer(s, np.int32)) for _, s in own]
     return chosen
 
@@ -121,14 +143,14 @@ def predict(docs: DataFrame, model: Model) -> Column:
 
     def batch(texts: pd.Series) -> pd.DataFrame:
         fitted, presence = shared.value, Presence(SIZES, SLOT_BITS)
-        read = [letters_only(t) for t in texts]
-        names, best = np.full(len(read), UNKNOWN, object), np.zeros(len(read))
-        known = [i for i, (_, letter) in enumerate(read) if letter and fitted.languages]
-        for i in range(0, len(known), 256):
-            some = known[i : i + 256]
-            scores = fitted.scores([presence.slots(read[k][0]) for k in some])
-            names[some] = np.array(fitted.languages, object)[scores.argmax(axis=1)]
-            best[some] = np.clip((scores.max(axis=1) + 1) / 2, 0, 1)
+        names, best = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+        for i in range(0, len(texts) if fitted.languages else 0, BLOCK):
+            read = [letters_only(t) for t in texts.iloc[i : i + BLOCK]]
+            some = np.array([i + k for k, (_, letter) in enumerate(read) if letter], np.int64)
+            scores = fitted.scores([presence.slots(points) for points, letter in read if letter])
+            if len(some):
+                names[some] = np.array(fitted.languages, object)[scores.argmax(axis=1)]
+                best[some] = np.clip((scores.max(axis=1) + 1) / 2, 0, 1)
         return pd.DataFrame({"lang_pred": names, "score": best})
 
     return F.pandas_udf(batch, "lang_pred string, score double")(text_or_empty("text"))

@@ -8,7 +8,8 @@ has not got.  Queries walk the graph greedily from their entry nodes, all querie
 each with a beam.  What is found is scored again on the original vectors, exactly.
 
 All steps are joins and aggregates over written tables; groups are bounded by the
-parameters (a block, the links of a node, a beam).  Lists of reverse links are drawn by
+parameters (a block, the links of a node, a beam).  ``nearest_exact`` gives what the walk may
+miss, by comparing blocks of queries with blocks of all vectors.  Lists of reverse links are drawn by
 a hash where a node has more than ``REVERSE``; that is NN-descent's own sampling, and recall
 is measured against brute force in the tests.
 
@@ -293,9 +294,14 @@ def search(asked: DataFrame, codes: DataFrame, links: DataFrame) -> DataFrame:
     best = Window.partitionBy("query").orderBy(F.col("near").desc(), "node")
     turn = Window.partitionBy("query", "done").orderBy(F.col("near").desc(), "node")
     first = codes.orderBy(F.desc("size"), "node").select("node", "code").limit(HEADS).collect()
-    heads = codes.sparkSession.createDataFrame(first, "node long, code binary")
+    literals = [F.struct(F.lit(r["node"]).alias("node"), F.lit(bytes(r["code"])).alias("code")) for r in first]
+    heads = F.array(*literals).cast("array<struct<node:bigint,code:binary>>")
     own, near = dot(F.col("q_code"), F.col("q_code")), dot(F.col("code"), F.col("q_code"))
-    seen = asked.crossJoin(heads).where("query != node").select("query", "node", near.alias("near"), own.alias("own"))
+    seen = (
+        asked.select("query", "q_code", F.inline(heads))
+        .where("query != node")
+        .select("query", "node", near.alias("near"), own.alias("own"))
+    )
     beam = materialize(
         asked.select("query", F.col("query").alias("node"), own.alias("near"), F.lit(False).alias("done")).unionByName(
             seen.select("query", "node", "near", (F.col("near") <= F.col("own")).alias("done"))
@@ -357,3 +363,61 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embed
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+#: Rows of a block of queries, or of vectors, in an exact search.
+EXACT_BLOCK = 1024
+FOUND = "query_id long, vec_id long, score double"
+
+
+def _blocks(vectors: DataFrame, name: str) -> DataFrame:
+    """``vectors`` in blocks of about ``EXACT_BLOCK``: a number, ids and the vectors end to end."""
+    rows = materialize(vectors)
+    count = max(1, math.ceil(rows.count() / EXACT_BLOCK))
+    dealt = rows.withColumn(name, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(count)).cast("int"))
+    together = F.collect_list(F.struct("vec_id", F.col("vector").cast("array<double>").alias("vector")))
+    return materialize(dealt.groupBy(name).agg(together.alias(f"{name}_rows")))
+
+
+def nearest_exact(rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embedding") -> DataFrame:
+    """``query_id, rank, vec_id, score`` as ``nearest`` gives them, with nothing left out.
+
+    Blocks of queries meet blocks of vectors; of each pair a query keeps its ``k`` best, so what is
+    shuffled afterwards grows with the queries and the blocks.  Sums run over the components in order.
+    """
+    ship_library(rows.sparkSession)
+    vectors = materialize(usable_vectors(rows, vector).distinct())
+    asked = _blocks(vectors.where(is_query), "q_block")
+    given = _blocks(vectors, "v_block")
+    # The blocks of queries are few; each block of vectors is sent to each of them.
+    numbers = [r["q_block"] for r in asked.select("q_block").collect()]
+    all_blocks = F.array(*[F.lit(n) for n in numbers]).cast("array<int>")
+    met = given.select("v_block_rows", F.explode(all_blocks).alias("of")).join(asked, F.col("of") == F.col("q_block"))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, x = ([], []), ([], [])
+                for side, name in enumerate(("q_block_rows", "v_block_rows")):
+                    for row in batch.column(name)[i].as_py():
+                        ids[side].append(row["vec_id"])
+                        x[side].append(row["vector"])
+                queries, others = np.array(ids[0], np.int64), np.array(ids[1], np.int64)
+                left, right = np.array(x[0]), np.array(x[1])
+                scores = np.zeros((len(left), len(right)))
+                for j in range(left.shape[1]):
+                    scores += left[:, j, None] * right[None, :, j]
+                order = np.lexsort((np.broadcast_to(others, scores.shape), -scores), axis=1)[:, : k + 1]
+                found = [np.repeat(queries, order.shape[1]), others[order].ravel(), np.take_along_axis(scores, order, 1).ravel()]
+                yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], ["query_id", "vec_id", "score"])
+
+    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return (
+        met.select("q_block_rows", "v_block_rows")
+        .mapInArrow(best, FOUND)
+        .where("query_id != vec_id")
+        .distinct()
+        .withColumn("rank", F.row_number().over(ranked))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )

@@ -7,8 +7,12 @@ from functools import lru_cache
 import numpy as np
 
 SPREAD, STEP, FOLD = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(15)
-#: Letters of a word that its feature takes up; longer words add their length.
+#: Letters of a word that its own feature takes up; longer words have their n-grams besides.
 LONG_WORD = 24
+#: First and last code points of letters of scripts that put no space between words.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+#: Sizes of the n-grams of runs of letters that are no single words.
+RUN_SIZES = (1, 2, 3, 4, 5, 6)
 
 
 @lru_cache(maxsize=1)
@@ -60,7 +64,11 @@ class Presence:
         return self._distinct(np.concatenate(found).astype(np.intp))
 
     def word_slots(self, texts: list[np.ndarray]) -> list[np.ndarray]:
-        """Per text, of the words and of their beginnings of the sizes, for a batch of texts."""
+        """Per text, of the words and of their beginnings of the sizes, for a batch of texts.
+
+        A run longer than ``LONG_WORD``, or with a letter of a script without spaces, is more than
+        a word: the n-grams of ``RUN_SIZES`` at all its places are features too.
+        """
         if not texts:
             return []
         points = np.concatenate([*texts, np.array([32], np.uint32)])
@@ -70,6 +78,7 @@ class Presence:
         at, length = at[length > 0], length[length > 0]
         owner = np.searchsorted(np.cumsum([len(t) for t in texts]), at, side="right").astype(np.uint16)
         hashed, found, owners = np.zeros(len(at), np.uint32), [], []
+        self._run_slots(points, base, at, length, owner, found, owners)
         for n in range(1, LONG_WORD + 1):
             hashed = hashed * STEP + base[at + (n - 1)]
             ends = (length == n) | (n == LONG_WORD)
@@ -88,6 +97,32 @@ class Presence:
         return [self._distinct(every[a:b]) for a, b in zip(ends - np.diff(ends, prepend=0), ends, strict=True)]
 
 
+    def _run_slots(
+        self, points: np.ndarray, base: np.ndarray, at: np.ndarray, length: np.ndarray, owner: np.ndarray,
+        found: list[np.ndarray], owners: list[np.ndarray],
+    ) -> None:
+        """Add the n-grams at every place of the runs that are more than words."""
+        runs = length > LONG_WORD
+        if len(points) and points.max() >= UNSPACED[0][0]:
+            unspaced = np.zeros(len(points), bool)
+            for low, high in UNSPACED:
+                unspaced |= (points >= low) & (points <= high)
+            until = np.concatenate([[0], np.cumsum(unspaced)])
+            runs |= until[at + length] > until[at]
+        at, length, owner = at[runs], length[runs], owner[runs]
+        if not len(at):
+            return
+        place = np.repeat(at - np.cumsum(length) + length, length) + np.arange(length.sum())
+        left, owner = np.repeat(at + length, length) - place, np.repeat(owner, length)
+        hashed = np.zeros(len(place), np.uint32)
+        for n in RUN_SIZES:
+            fits = left >= n
+            place, left, owner, hashed = place[fits], left[fits], owner[fits], hashed[fits]
+            hashed = hashed * STEP + base[place + (n - 1)]
+            found.append(self._slot(hashed, 16 + n))
+            owners.append(owner)
+
+
 def _mixed(points: np.ndarray) -> np.ndarray:
     spread = points * SPREAD
     return spread ^ (spread >> FOLD)

@@ -7,8 +7,9 @@ must not fall below zero.  When it does in a batch, the step goes back up that p
 classifier is numpy on a bounded sample; every whole text is scored in the executors.
 
 Defined results: a null or empty text gets the score of the bias; without a confirmed toxic
-text all scores are 0; texts are read whole; repeated rows score alike; other columns
-are carried.
+text all scores are 0; texts are read whole, long runs of letters and scripts without
+spaces at every place; repeated rows score alike, and count once in the samples, whatever ids
+they have; an empty table gives no rows; other columns are carried.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.ngrams import Presence, letters_only, sums
-from terrace.llm.tables import ship_library, text_or_empty
+from terrace.llm.tables import ship_library, text_or_empty, uniform_draw
 
 SIZES, SLOT_BITS = (4, 5, 6), 20
 #: Texts described at a time.
@@ -49,22 +50,28 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _drawn(rows: DataFrame, size: int, salt: str) -> DataFrame:
-    """About ``size`` rows, drawn by a hash of the id; all if there are fewer."""
-    share = size / max(rows.count(), 1)
-    draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(salt)), 11) / F.lit(float(1 << 53))
-    return rows.where(draw < share)
+def _sample(rows: DataFrame, size: int, salt: str) -> list[np.ndarray]:
+    """The slots of at most ``size`` different texts of ``rows``, drawn by a hash of the text.
 
+    The rate follows the number of different texts, so copies are drawn once however many
+    there are, and no more than ``size`` texts come to the driver.
+    """
+    texts = rows.select(text_or_empty("text").alias("text"))
+    count = texts.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]
+    share = min(1.0, 1.1 * size / max(count, 1))
+    drawn = texts.withColumn("draw", uniform_draw("text", F.lit(salt))).where(F.col("draw") < share)
 
-def _slots(rows: DataFrame) -> list[np.ndarray]:
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        presence = Presence(SIZES, SLOT_BITS)
+        presence, seen = Presence(SIZES, SLOT_BITS), set()
         for batch in batches:
+            batch = batch[[not (d in seen or seen.add(d)) for d in batch["draw"]]]
             for i in range(0, len(batch), BLOCK):
-                points = [letters_only(t)[0] for t in batch["text"].iloc[i : i + BLOCK]]
-                yield pd.DataFrame({"slots": [s.tobytes() for s in presence.word_slots(points)]})
+                some = batch.iloc[i : i + BLOCK]
+                points = [letters_only(t)[0] for t in some["text"]]
+                yield pd.DataFrame({"draw": some["draw"], "slots": [s.tobytes() for s in presence.word_slots(points)]})
 
-    found = rows.select(text_or_empty("text").alias("text")).mapInPandas(describe, "slots binary").collect()
+    described = drawn.mapInPandas(describe, "draw double, slots binary").distinct()
+    found = described.orderBy("draw", "slots").limit(size).collect()
     return [np.frombuffer(s, np.int32) for s in sorted(bytes(r["slots"]) for r in found)]
 
 
@@ -81,9 +88,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     if not toxic:
         return empty
     usable = docs.where(learn).select("doc_id", "text")
-    confirmed = _drawn(known.where("toxic = 1").select("doc_id").distinct(), POSITIVES, "toxic")
-    positive = _slots(usable.join(confirmed, "doc_id", "left_semi"))
-    unlabelled = _slots(_drawn(usable, UNLABELLED, "unlabelled"))
+    confirmed = known.where("toxic = 1").select("doc_id").distinct()
+    share = 1.5 * POSITIVES / max(confirmed.count(), 1)
+    drawn = confirmed.where(uniform_draw("doc_id", F.lit("confirmed")) < share)
+    positive = _sample(usable.join(drawn, "doc_id", "left_semi"), POSITIVES, "toxic")
+    unlabelled = _sample(usable, UNLABELLED, "unlabelled")
     if not positive:
         return empty
     return train(positive, unlabelled or positive, toxic / total)
