@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from terrace.layout import workspace
 from terrace.llm import decontamination, language_id, mixing, simhash, token_files
-from terrace.llm.tables import materialize, table
+from terrace.llm.tables import materialize, table, whole_rows
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -26,7 +26,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs)
     found = language_id.predict(docs, model).alias("found")
     return (
-        docs.select(F.struct(*docs.columns).alias("row"), found)
+        docs.select(whole_rows(docs), found)
         .where(F.col("found.lang_pred") != language_id.UNKNOWN)
         .select("row.*")
     )
