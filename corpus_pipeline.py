@@ -2,6 +2,13 @@
 
 ``run`` applies the stages to ``documents``.  Every stage reads what its predecessor kept,
 written as Parquet; all but the last return the columns of the documents.
+
+Defined results: null, empty and letterless texts have no language and go at the first stage, and
+so does everything if no document has a language to learn from; copies and repeated rows are
+one document after the second, the one with the smallest id, a null id being the largest; null
+ids and null sources are kept like any others, and ids that differ in their texts stay as they
+are; texts of any length are read whole; extra columns are carried to the last stage, whatever
+they are called; an empty table gives empty stages and an output without documents.
 """
 
 from __future__ import annotations

@@ -39,6 +39,7 @@ def not_allowed(column: str, allowed: Iterable[Any]) -> Column:
 
 # --- checks ---------------------------------------------------------------
 
+# The names of the checks and of the entries of their results.
 
 @dataclass(frozen=True)
 class NotNull:
@@ -130,6 +131,7 @@ class NoDuplicates:
 
 Check = NotNull | ValueRange | AllowedValues | NoDuplicates
 
+# The columns of a report.
 _RESULT = {
     "position": "int",
     "check": "string",

@@ -187,6 +187,8 @@ def land(
             key = land_source(spark, spec, drop_root, bronze_root, run_date)
             results.append(Landing(spec.name, "success", key=key))
         except (PySparkException, Py4JJavaError, OSError) as error:
+            if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+                raise  # the cluster has failed, not the source
             log.warning("landing %s for %s failed: %s", spec.name, run_day(run_date), error)
             first_line = str(error).strip().splitlines()[0] if str(error).strip() else repr(error)
             results.append(Landing(spec.name, "failed", error=first_line))
