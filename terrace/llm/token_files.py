@@ -94,6 +94,7 @@ class Encoder(dict[str, bytes]):
         self.in_parts = isinstance(splits, ByteLevel) and splits.use_regex and not self.tokenizer.normalizer
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         plain = filter(PLAIN.match, map(chr, range(0x250)))
+        self.space = level.pre_tokenize_str(" ")[0][0]
         self.symbols = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in [" ", *plain]})
 
     @staticmethod
@@ -122,19 +123,23 @@ class Encoder(dict[str, bytes]):
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.recent.get(piece)
-        if ids is None:
+        if ids is not None:
+            return ids
+        if self.in_parts and piece.isascii() and piece.isalpha():
+            ids = array("I", [t.id for t in self.model.tokenize(self.space + piece)]).tobytes()
+        else:
             ids = self._encoded(piece)
-            if len(piece) <= LONGEST:
-                self._hold(self if self.room > 0 else self.recent, piece, ids)
+        if len(piece) <= LONGEST:
+            if self.room > 0:
+                self[piece] = ids
+                self.room -= ENTRY + len(piece) + len(ids)
+            else:
+                self._hold_a_while(piece, ids)
         return ids
 
-    def _hold(self, remembered: dict[str, bytes], piece: str, ids: bytes) -> None:
-        remembered[piece] = ids
-        size = ENTRY + len(piece) + len(ids)
-        if remembered is not self.recent:
-            self.room -= size
-            return
-        self.room_for_recent -= size
+    def _hold_a_while(self, piece: str, ids: bytes) -> None:
+        self.recent[piece] = ids
+        self.room_for_recent -= ENTRY + len(piece) + len(ids)
         if self.room_for_recent <= 0:
             self.recent, self.room_for_recent = {}, RECENT
 
@@ -158,7 +163,8 @@ class Encoder(dict[str, bytes]):
             if found is None:
                 found = self._merged(part.translate(self.symbols))
                 if len(part) <= LONGEST and self.room > 0:
-                    self._hold(self.inner, part, found)
+                    self.inner[part] = found
+                    self.room -= ENTRY + len(part) + len(found)
             ids += found
         return ids
 
@@ -219,7 +225,10 @@ def repair(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         first = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
         every_second = (np.arange(len(at)) - first) % 2 == 0
         at, which = at[every_second], which[every_second]
-        used, which = np.unique(which, return_inverse=True)
+        used = np.flatnonzero(np.bincount(which, minlength=len(pairs)))
+        numbers = np.zeros(len(pairs), np.int32)
+        numbers[used] = np.arange(len(used), dtype=np.int32)
+        which = numbers[which]
         new = np.stack([pairs[used] >> 32, pairs[used] & 0xFFFFFFFF], axis=1)
         seq[at] = base + len(lengths) + which
         size = np.where(new >= base, lengths[np.maximum(new - base, 0)] if len(lengths) else 1, 1).sum(axis=1)
