@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.ngrams import Presence, letters_only, sums
-from terrace.llm.tables import ship_library, text_or_empty, uniform_draw
+from terrace.llm.tables import materialize, ship_library, text_or_empty, uniform_draw
 
 SIZES, SLOT_BITS = (4, 5, 6), 20
 #: Texts described at a time.
@@ -90,7 +90,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     usable = docs.where(learn).select("doc_id", "text")
     confirmed = known.where("toxic = 1").select("doc_id").distinct()
     share = 1.5 * POSITIVES / max(confirmed.count(), 1)
-    drawn = confirmed.where(uniform_draw("doc_id", F.lit("confirmed")) < share)
+    # Written, so that the planner sees how few they are and moves no text for them.
+    drawn = materialize(confirmed.where(uniform_draw("doc_id", F.lit("confirmed")) < share))
     positive = _sample(usable.join(drawn, "doc_id", "left_semi"), POSITIVES, "toxic")
     unlabelled = _sample(usable, UNLABELLED, "unlabelled")
     if not positive:
