@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,26 @@ def latest_only(df: DataFrame) -> DataFrame:
     return df.where(snapshot_date() == newest)
 
 
+def _table_snapshots(spark: SparkSession, table: str) -> DataFrame:
+    """The snapshots of a catalog table by the names of its partitions, as text."""
+    return spark.sql(f"SHOW PARTITIONS {table}").select(
+        *(F.regexp_extract("partition", rf"{c}=(\d+)", 1).alias(c) for c in SNAPSHOT)
+    ).where("year <> '' AND month <> '' AND day <> ''")
+
+
+def latest_of_table(spark: SparkSession, table: str) -> DataFrame:
+    """Rows of the newest snapshot of a catalog table that declares its snapshot columns as STRING.
+
+    The newest one is the greatest of the catalog's partitions, so the table is scanned once, with a
+    filter on them, and nothing is read to find it.
+    """
+    newest = _table_snapshots(spark, table).agg(F.max_by(F.struct(*SNAPSHOT), snapshot_date()).alias("at")).first()["at"]
+    rows = spark.table(table)
+    if newest is None:
+        return rows.where(F.lit(False))
+    return rows.where(reduce(Column.__and__, [F.col(c) == newest[c] for c in SNAPSHOT]))
+
+
 def within_retention(as_of: AsOf, days: int) -> Column:
     """True for snapshots no older than ``days`` at ``as_of``."""
     return snapshot_date() >= days_before(as_of, days)
@@ -48,11 +70,8 @@ def drop_expired_partitions(spark: SparkSession, table: str, as_of: AsOf, days:
     does.  For external tables this changes the catalog only; no file is deleted.
     Works on partition names from the catalog, never on data.
     """
-    parts = spark.sql(f"SHOW PARTITIONS {table}").select(
-        *(F.regexp_extract("partition", rf"{c}=(\d+)", 1).alias(c) for c in SNAPSHOT)
-    )
     # One short row per expired snapshot, that is, per past day.
-    expired = parts.where("year <> '' AND month <> '' AND day <> ''").where(~within_retention(as_of, days)).collect()
+    expired = _table_snapshots(spark, table).where(~within_retention(as_of, days)).collect()
     if expired:
         specs = ", ".join(
             "PARTITION (" + ", ".join(f"{c}='{row[c]}'" for c in SNAPSHOT) + ")"

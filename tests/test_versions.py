@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.operators.quality import NotNull
+from terrace.operators.snapshots import latest_of_table
 from terrace.plans.checks import QualityFailure
 from terrace.plans.gold import GOLD_TABLES, build_gold
 from terrace.sources import versions
@@ -165,6 +166,21 @@ def test_directories_without_files_are_no_tables(spark, frame, tmp_path):
     assert discover_tables(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_the_newest_snapshot_of_a_table_takes_one_scan(spark, frame, tmp_path):
+    for day in ("2023-12-31", "2024-02-09", "2024-02-10"):
+        write_silver(frame((int(day[-2:]), "a"), (1, day)), str(tmp_path), "s", day)
+    register_zone(spark, "newest_test", str(tmp_path))
+    newest = latest_of_table(spark, "newest_test.s")
+    assert {(r["n"], r["day"]) for r in newest.collect()} == {(10, "10"), (1, "10")}
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and len(newest.inputFiles()) < 3 * len(os.listdir(tmp_path / "s"))
+    assert all("day=10" in f for f in newest.inputFiles())
+    for day in ("2023-12-31", "2024-02-09", "2024-02-10"):
+        spark.sql("ALTER TABLE newest_test.s DROP PARTITION (year='{}', month='{}', day='{}')".format(*day.split("-")))
+    assert latest_of_table(spark, "newest_test.s").count() == 0
+    spark.sql("DROP DATABASE newest_test CASCADE")
+
+
 # --- retention --------------------------------------------------------------
 
 

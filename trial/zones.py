@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from terrace.layout import SNAPSHOT, snapshot_dir, snapshot_keys, source_dir, workspace
 from terrace.operators.quality import NotNull
-from terrace.operators.snapshots import expired_snapshots, keep_recent, latest_only
+from terrace.operators.snapshots import expired_snapshots, keep_recent, latest_of_table, latest_only
 from terrace.plans import gold, reports
 from terrace.plans.silver import backfill_silver, build_silver
 from terrace.registry import JSON_LINES, lookup
@@ -361,6 +361,17 @@ def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return read_silver(spark, _silver(spark, sf), EVENTS.name)
 
 
+@query(f"SELECT * FROM ({SILVER_SQL}) WHERE (year, month, day) = "
+       f"(SELECT max((year, month, day)) FROM ({SILVER_SQL}))")
+def latest_of_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest snapshot of a registered table, found in the catalog alone."""
+    silver = _silver(spark, sf)
+    database = f"trial_{silver.rsplit('/', 1)[-1]}"
+    register_zone(spark, database, silver, database_location=f"{silver}/_database")
+    newest = latest_of_table(spark, f"{database}.events")
+    return newest.withColumns({c: F.col(c).cast("int") for c in SNAPSHOT})
+
+
 @query(f"SELECT * FROM ({SILVER_SQL}) WHERE (year, month, day) = (2024, 1, 20)")
 def silver_of_one_date(spark: SparkSession, sf: str) -> DataFrame:
     return read_silver(spark, _silver(spark, sf), EVENTS.name, "2024-01-20")
