@@ -29,8 +29,9 @@ from terrace.llm.tables import ship_library, text_or_empty, uniform_draw
 SIZES, SLOT_BITS = (1, 2, 3, 4), 18
 #: Labelled texts in the sample over all languages, landmarks, and the ridge.
 SAMPLE, LANDMARKS, RIDGE = 1600, 256, 1e-2
-#: Languages that are learned at most, those with the most texts.
-LANGUAGES = 256
+#: Languages that are learned at most, those with the most texts.  They bound the model that is sent
+#: to the executors: a number per language and slot, 134 MB if landmarks filled all slots.
+LANGUAGES = 64
 #: Texts described at a time.
 BLOCK = 256
 UNKNOWN = "und"
