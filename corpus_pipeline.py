@@ -26,10 +26,17 @@ from terrace.llm.tables import materialize, table, whole_rows
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Texts that go to a Python worker at a time; ten times as many, Spark's default, take ten times the memory there.
+TEXTS_IN_A_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_IN_A_BATCH)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go; the others are kept as they are."""
+    small_batches(spark)
     model = language_id.fit(docs)
     found = language_id.predict(docs, model).alias("found")
     return (
@@ -41,6 +48,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    small_batches(spark)
     return simhash.keep_one(docs, shingle=3, radius=2)
 
 
@@ -58,6 +66,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix; a row per document read back from them."""
+    small_batches(spark)
     path = workspace(spark)
     token_files.write_tokens(docs, path, TOKENIZER, escape_special=False)
     return token_files.read_documents(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
