@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import threading
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -38,7 +39,7 @@ from terrace.llm.tables import ship_library, text_or_empty
 MAGIC = b"RPG1"
 HEAD = struct.Struct("<4s4I")
 #: Ids in a shard before it is closed, and documents.
-SHARD_IDS, SHARD_DOCS = 1 << 20, 1 << 16
+SHARD_IDS, SHARD_DOCS = 1 << 19, 1 << 16
 #: Counters for pairs, and how often a pair must occur to be replaced.
 COUNTER_BITS, LEAST = 18, 64
 COUNTERS = 1 << COUNTER_BITS
@@ -51,7 +52,7 @@ PLAIN = re.compile(f"[!-~\n{LETTER}]+")
 WORD = re.compile(f"([{LETTER}]+)([!-/:-@\\[-`{{-~]?)")
 SPLIT = re.compile(f"'(?:[sdmt]|ll|ve|re)| ?[{LETTER}]+| ?[0-9]+| ?[^\\s0-9{LETTER}]+|\n+(?!\\S)|\n+")
 #: Bytes of word pieces a worker remembers for good, and then for a while; a piece takes ENTRY besides its own.
-REMEMBERED, RECENT, ENTRY = 80 << 20, 8 << 20, 150
+REMEMBERED, RECENT, ENTRY = 64 << 20, 8 << 20, 150
 #: Characters of the longest piece that is remembered.
 LONGEST = 64
 END_ID = 0
@@ -181,6 +182,24 @@ def encoder(path: str, escape_special: bool) -> Encoder:
     return Encoder(path, escape_special)
 
 
+#: Seconds after its last task that a worker keeps its encoder for the next one.
+IDLE = 2.0
+_forgetting: list[threading.Timer] = []
+
+
+def keep_a_while() -> None:
+    """Give the encoder's memory back unless another task asks for it soon."""
+    timer = threading.Timer(IDLE, encoder.cache_clear)
+    timer.daemon = True
+    timer.start()
+    _forgetting.append(timer)
+
+
+def keep() -> None:
+    while _forgetting:
+        _forgetting.pop().cancel()
+
+
 def _counter(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Counters of pairs, from 32-bit symbols."""
     mixed = left.astype(np.uint32) * np.uint32(0x9E3779B1)
@@ -326,6 +345,7 @@ def encode_shards(
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep()
         encode = encoder(path, escape_special)
         base = vocabulary or encode.tokenizer.get_vocab_size()
         tail = struct.pack("<I", end_id)
@@ -355,6 +375,7 @@ def encode_shards(
                         names, counts, data, held = [], [], [], 0
         if names:
             yield close()
+        keep_a_while()
 
     return ordered.mapInArrow(pack, SHARD)
 
