@@ -20,17 +20,18 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import threading
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,18 +44,22 @@ SHARD_IDS, SHARD_DOCS = 1 << 19, 1 << 16
 #: Counters for pairs, and how often a pair must occur to be replaced.
 COUNTER_BITS, LEAST = 18, 64
 COUNTERS = 1 << COUNTER_BITS
-#: A space before white space or the end, where a text is not cut.
+#: A space or a line feed before white space or the end, where a text is not cut.
 NO_CUT = re.compile(r" (?:\s|\Z)")
+NO_LINE_CUT = re.compile(r"\n(?:\s|\Z)")
 # The pattern by which byte-level tokenizers split texts before merging, for the
 # characters of PLAIN: letters up to U+024F, digits, visible ASCII and line feeds.
 LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 PLAIN = re.compile(f"[!-~\n{LETTER}]+")
-WORD = re.compile(f"([{LETTER}]+)([!-/:-@\\[-`{{-~]?)")
+LETTERS = re.compile(f"[{LETTER}]+")
+MARKS = string.punctuation
 SPLIT = re.compile(f"'(?:[sdmt]|ll|ve|re)| ?[{LETTER}]+| ?[0-9]+| ?[^\\s0-9{LETTER}]+|\n+(?!\\S)|\n+")
 #: Bytes of word pieces a worker remembers for good, and then for a while; a piece takes ENTRY besides its own.
 REMEMBERED, RECENT, ENTRY = 64 << 20, 8 << 20, 150
-#: Characters of the longest piece that is remembered.
-LONGEST = 64
+#: Characters of the longest piece that is remembered, and texts whose ids are put together at a time.
+LONGEST, JOINED = 64, 64
+#: Bytes of texts that are encoded at a time, as a part of the bytes remembered.
+AT_A_TIME = 8
 END_ID = 0
 
 
@@ -62,18 +67,20 @@ class Encoder(dict[str, bytes]):
     """Ids of whole texts by the tokenizers library, remembering the ids of word pieces.
 
     The tokenizer splits texts before it merges bytes, and always before a space that a
-    character other than white space follows.  A text cut there has the ids of its pieces
-    in order; pieces seen before are looked up, the others go to the library.  It merges the
-    parts of plain pieces one by one, which saves tracking offsets into the text; a part that
-    several pieces share is merged once.  The dictionary holds the ids of pieces, each with
-    its space; a piece it misses is encoded.  It takes what comes first, which frequent pieces
-    do, up to ``REMEMBERED`` bytes; later ones are remembered until they fill ``RECENT`` bytes.
+    character other than white space follows; a byte-level one does so before such a line feed too.
+    A text cut there has the ids of its pieces in order.  The distinct pieces of many texts are
+    looked up, those not seen before go to the library.  It merges the parts of plain pieces one by one, which saves
+    tracking offsets into the text; a part that several pieces share is merged once.  The
+    dictionary holds the ids of pieces, each with its space unless it begins with a line feed; a
+    piece it misses is encoded.  It takes what comes first, which frequent pieces do, up to
+    ``REMEMBERED`` bytes; later ones are remembered until they fill ``RECENT`` bytes.  Of a rare
+    word with marks behind it only the word is remembered, and of other rare pieces the parts.
 
     Texts that hold an added token are encoded whole by the library, as it splits them there.
     With ``escape_special``, the names of special tokens are text like any other.
     """
 
-    def __init__(self, path: str, escape_special: bool = True):
+    def __init__(self, path: str, escape_special: bool = True, remembered: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -90,9 +97,10 @@ class Encoder(dict[str, bytes]):
         self.inner: dict[str, bytes] = {}
         #: Pieces that came when there was no room any more.
         self.recent: dict[str, bytes] = {}
-        self.room, self.room_for_recent = REMEMBERED, RECENT
+        self.room, self.room_for_recent = REMEMBERED if remembered is None else remembered, RECENT
         splits = self.tokenizer.pre_tokenizer
         self.in_parts = isinstance(splits, ByteLevel) and splits.use_regex and not self.tokenizer.normalizer
+        self.by_line = self.in_parts and not splits.add_prefix_space
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         plain = filter(PLAIN.match, map(chr, range(0x250)))
         self.space = level.pre_tokenize_str(" ")[0][0]
@@ -102,15 +110,13 @@ class Encoder(dict[str, bytes]):
     def pieces(text: str) -> list[str]:
         """Cut at single spaces; all but the first piece have lost theirs."""
         cut = text.split(" ")
-        if NO_CUT.search(text):
-            whole = [cut[0]]
-            for p in cut[1:]:
-                if not p or p[0].isspace():
-                    whole[-1] += " " + p
-                else:
-                    whole.append(p)
-            cut = whole
-        return cut
+        whole = [cut[0]]
+        for p in cut[1:]:
+            if not p or p[0].isspace():
+                whole[-1] += " " + p
+            else:
+                whole.append(p)
+        return whole
 
     def _whole(self, text: str) -> bool:
         return self.always_whole or any(token in text for token in self.added)
@@ -126,10 +132,20 @@ class Encoder(dict[str, bytes]):
         ids = self.recent.get(piece)
         if ids is not None:
             return ids
-        if self.in_parts and piece.isascii() and piece.isalpha():
-            ids = array("I", [t.id for t in self.model.tokenize(self.space + piece)]).tobytes()
-        else:
-            ids = self._encoded(piece)
+        if not self.in_parts:
+            return self._remember(piece, self._library([" " + piece])[0])
+        if piece[:1] == "\n":
+            return self._of_a_line(piece)
+        word = piece.rstrip(MARKS)
+        if not word.isalpha() or not (word.isascii() or LETTERS.fullmatch(word)):
+            return self._of_parts(piece)
+        if word == piece:
+            return self._remember(piece, self._merged(self.space + (word if word.isascii() else self._symbols(word))))
+        known = self.get(word)
+        ids = (self[word] if known is None else known) + self._part(piece[len(word) :])
+        return ids if known is None or self.room <= 0 else self._remember(piece, ids)
+
+    def _remember(self, piece: str, ids: bytes) -> bytes:
         if len(piece) <= LONGEST:
             if self.room > 0:
                 self[piece] = ids
@@ -144,42 +160,87 @@ class Encoder(dict[str, bytes]):
         if self.room_for_recent <= 0:
             self.recent, self.room_for_recent = {}, RECENT
 
-    def _encoded(self, piece: str) -> bytes:
-        if self.in_parts and (word := WORD.fullmatch(piece)):
-            letters, mark = word.groups()
-            if not mark:
-                return self._merged(self.symbols[32] + (piece if piece.isascii() else piece.translate(self.symbols)))
-            if mark not in self.inner:
-                self.inner[mark] = self._merged(mark)
-            return self[letters] + self.inner[mark]
-        if not self.in_parts or not PLAIN.fullmatch(piece):
-            (ids,) = self._library([" " + piece])
-            return ids
+    def _symbols(self, part: str) -> str:
+        return part.translate(self.symbols)
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a part that follows no space."""
+        ids = self.inner.get(part)
+        if ids is None:
+            ids = self._merged(self._symbols(part))
+            if len(part) <= LONGEST and self.room > 0:
+                self.inner[part] = ids
+                self.room -= ENTRY + len(part) + len(ids)
+        return ids
+
+    def _of_a_line(self, piece: str) -> bytes:
+        rest = piece[1:]
+        if not PLAIN.fullmatch(rest):
+            return self._remember(piece, self._library([piece])[0])
+        parts = SPLIT.findall(rest)
+        known = len(parts) <= 2 and parts[0] in self.inner
+        ids = self._part("\n") + b"".join(map(self._part, parts))
+        return self._remember(piece, ids) if known and self.room > 0 else ids
+
+    def _of_parts(self, piece: str) -> bytes:
+        if not PLAIN.fullmatch(piece):
+            return self._remember(piece, self._library([" " + piece])[0])
         first, *rest = SPLIT.findall(" " + piece)
         if not rest:
-            return self._merged(first.translate(self.symbols))
-        ids = self[first[1:]]
-        for part in rest:
-            found = self.inner.get(part)
-            if found is None:
-                found = self._merged(part.translate(self.symbols))
-                if len(part) <= LONGEST and self.room > 0:
-                    self.inner[part] = found
-                    self.room -= ENTRY + len(part) + len(found)
-            ids += found
-        return ids
+            return self._remember(piece, self._merged(self._symbols(first)))
+        return self[first[1:]] + b"".join(map(self._part, rest))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian uint32."""
-        cut = [[t] if self._whole(t) else self.pieces(t) for t in texts]
-        firsts = self._library([c[0] for c in cut])
-        ids = self.__getitem__
-        return [f + b"".join(map(ids, islice(c, 1, None))) for f, c in zip(firsts, cut, strict=True)]
+        """The ids of each text as little-endian uint32.  Every piece is looked up once for all of them."""
+        firsts, plain, rests, other, others, lengths = [], [], [], [], [], []
+        for i, text in enumerate(texts):
+            if self._whole(text):
+                first, space = text, ""
+            elif NO_CUT.search(text):
+                first, *cut = self.pieces(text)
+                other.append(i)
+                others += cut
+                lengths.append(len(cut))
+                space = ""
+            else:
+                if self.by_line and "\n" in text and not NO_LINE_CUT.search(text):
+                    text = text.replace("\n", " \n")
+                first, space, rest = text.partition(" ")
+            firsts.append(first)
+            if space:
+                plain.append(i)
+                rests.append(rest)
+        cut = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        pieces = pa.concat_arrays([cut.flatten(), pa.array(others, pa.large_string())]).dictionary_encode()
+        found = list(map(self.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False)))
+        ends = np.concatenate([cut.offsets.to_numpy(), len(cut.flatten()) + np.cumsum(lengths, dtype=np.int64)])
+        encoded = self._library(firsts)
+        for i, ids in zip(plain + other, _joined(found, pieces.indices.to_numpy(), ends), strict=True):
+            encoded[i] += ids
+        return encoded
+
+
+def _joined(found: list[bytes], which: np.ndarray, ends: np.ndarray) -> Iterator[bytes]:
+    """Per text the ids of its pieces; a text's pieces end where the next one's begin."""
+    widths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    starts = np.cumsum(widths) - widths
+    flat = np.frombuffer(b"".join(found), "<u4")
+    for i in range(0, len(ends) - 1, JOINED):
+        bounds = ends[i : i + JOINED + 1]
+        these = which[bounds[0] : bounds[-1]]
+        width = widths[these]
+        after = np.cumsum(width)
+        place = np.repeat(starts[these] - after + width, width)
+        place += np.arange(len(place))
+        ids = flat[place].tobytes()
+        at = (4 * np.concatenate([[0], after])[bounds - bounds[0]]).tolist()
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            yield ids[a:b]
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str, escape_special: bool) -> Encoder:
-    return Encoder(path, escape_special)
+@lru_cache(maxsize=1)
+def encoder(path: str, escape_special: bool, remembered: int) -> Encoder:
+    return Encoder(path, escape_special, remembered)
 
 
 #: Seconds after its last task that a worker keeps its encoder for the next one.
@@ -327,12 +388,19 @@ SHARD = "part int, shard int, before long, n_ids long, doc_ids array<long>, data
 
 
 def encode_shards(
-    docs: DataFrame, path: str, vocabulary: int | None = None, end_id: int = END_ID, escape_special: bool = True
+    docs: DataFrame,
+    path: str,
+    vocabulary: int | None = None,
+    end_id: int = END_ID,
+    escape_special: bool = True,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per shard: its place, the ids before it in its part, its documents, its file.
 
     Parts are ranges of document ids; rows that share an id are ordered by a hash of the text,
-    and equal ones by where they were read, so that no part has to take them all.
+    and equal ones by where they were read, so that no part has to take them all.  A worker
+    remembers ``remembered`` bytes of word pieces for good and encodes an eighth of that in texts at a
+    time; with less it encodes more pieces anew.
     """
     ship_library(docs.sparkSession)
     text = text_or_empty("text").alias("text")
@@ -346,7 +414,7 @@ def encode_shards(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep()
-        encode = encoder(path, escape_special)
+        encode = encoder(path, escape_special, remembered)
         base = vocabulary or encode.tokenizer.get_vocab_size()
         tail = struct.pack("<I", end_id)
         names, counts, data, held = [], [], [], 0
@@ -361,10 +429,11 @@ def encode_shards(
 
         for batch in batches:
             part = batch.column("part")[0].as_py() if batch.num_rows else part
-            keys = batch.column("doc_id").to_pylist()
-            for i in range(0, len(keys), 256):
-                texts = batch.column("text").slice(i, 256).to_pylist()
-                for key, ids in zip(keys[i : i + 256], encode.encode(texts), strict=True):
+            keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            group = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // (remembered // AT_A_TIME)
+            edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(keys)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                for key, ids in zip(keys[a:b], encode.encode(texts.slice(a, b - a).to_pylist()), strict=True):
                     names.append(key)
                     data.append(ids + tail)
                     counts.append(len(data[-1]) // 4)
@@ -380,8 +449,10 @@ def encode_shards(
     return ordered.mapInArrow(pack, SHARD)
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, escape_special: bool = True) -> None:
-    encode_shards(docs, tokenizer, escape_special=escape_special).write.parquet(path)
+def write_tokens(
+    docs: DataFrame, path: str, tokenizer: str, escape_special: bool = True, remembered: int = REMEMBERED
+) -> None:
+    encode_shards(docs, tokenizer, escape_special=escape_special, remembered=remembered).write.parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -276,6 +276,26 @@ def test_pieces_have_the_ids_the_library_gives_whole_texts(monkeypatch):
     assert encoder.recent and max(map(len, encoder)) <= token_files.LONGEST
 
 
+def test_a_piece_is_encoded_once_for_many_texts(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 0)
+    monkeypatch.setattr(token_files, "RECENT", 0)
+    encoder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"{i} over Overly, again*** and\nagain, overly\nover über  spaced" for i in range(200)]
+    texts += ["", "one", "\nline", "line\n", " lead\nline", "tab\t\nline é\n\u00a0x", "a\nb's\n'tis\n\nc"]
+    whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    model, merged = encoder.model, []
+
+    class Counted:
+        def tokenize(self, symbols):
+            merged.append(symbols)
+            return model.tokenize(symbols)
+
+    encoder.model = Counted()
+    assert [np.frombuffer(d, "<u4").tolist() for d in encoder.encode(texts)] == whole
+    assert len(merged) < 60
+    assert encoder.encode([]) == []
+
+
 def test_repair_leaves_no_frequent_pair():
     rng = np.random.default_rng(5)
     passage = rng.integers(0, 90, 400)
