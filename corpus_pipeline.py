@@ -28,6 +28,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: Texts that go to a Python worker at a time; ten times as many, Spark's default, take ten times the memory there.
 TEXTS_IN_A_BATCH = 1000
+#: Bytes of word pieces a Python worker remembers, where earlier stages have filled the executor's heap.
+REMEMBERED = 32 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -68,7 +70,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Token files of the mix; a row per document read back from them."""
     small_batches(spark)
     path = workspace(spark)
-    token_files.write_tokens(docs, path, TOKENIZER, escape_special=False)
+    token_files.write_tokens(docs, path, TOKENIZER, escape_special=False, remembered=REMEMBERED)
     return token_files.read_documents(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -430,7 +430,7 @@ def encode_shards(
         for batch in batches:
             part = batch.column("part")[0].as_py() if batch.num_rows else part
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            group = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // (remembered // AT_A_TIME)
+            group = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // max(1, remembered // AT_A_TIME)
             edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(keys)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 for key, ids in zip(keys[a:b], encode.encode(texts.slice(a, b - a).to_pylist()), strict=True):

@@ -296,6 +296,25 @@ def test_a_piece_is_encoded_once_for_many_texts(monkeypatch):
     assert encoder.encode([]) == []
 
 
+def test_the_memory_of_word_pieces_is_a_choice_and_changes_no_id(spark, docs, tmp_path, monkeypatch):
+    rows = [(i, t) for i, t in enumerate([*TRICKY, *[f"word{i}, again and\nagain" for i in range(50)]])]
+    found = {}
+    for remembered in (0, 1_000, 1 << 20):
+        encoder = token_files.Encoder(TOKENIZER, True, remembered)
+        encoder.encode([t or "" for _, t in rows])
+        held = [len(k) + len(v) + token_files.ENTRY for d in (encoder, encoder.inner) for k, v in d.items()]
+        assert sum(held) <= remembered + 1_000
+        token_files.write_tokens(docs(rows), str(tmp_path / f"{remembered}"), TOKENIZER, remembered=remembered)
+        found[remembered] = sorted(map(tuple, token_files.read_documents(spark, str(tmp_path / f"{remembered}")).drop("part", "shard").collect()))
+    assert found[0] == found[1_000] == found[1 << 20] and len(found[0]) == len(rows)
+
+    asked = []
+    write = token_files.write_tokens
+    monkeypatch.setattr(token_files, "write_tokens", lambda *a, **k: (asked.append(k["remembered"]), write(*a, **k)))
+    assert corpus_pipeline.token_output(spark, docs(rows), "").count() == len(rows)
+    assert asked == [corpus_pipeline.REMEMBERED] and asked[0] <= token_files.REMEMBERED // 2
+
+
 def test_repair_leaves_no_frequent_pair():
     rng = np.random.default_rng(5)
     passage = rng.integers(0, 90, 400)
