@@ -248,9 +248,15 @@ IDLE = 2.0
 _forgetting: list[threading.Timer] = []
 
 
+def forget() -> None:
+    """Give back the encoder's memory and what Arrow holds of batches that are gone."""
+    encoder.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 def keep_a_while() -> None:
     """Give the encoder's memory back unless another task asks for it soon."""
-    timer = threading.Timer(IDLE, encoder.cache_clear)
+    timer = threading.Timer(IDLE, forget)
     timer.daemon = True
     timer.start()
     _forgetting.append(timer)
@@ -463,7 +469,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     shards = spark.read.schema(SHARD).parquet(path)
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder.cache_clear()  # reading has no use for the words that writing left in this worker
+        forget()  # reading has no use for the words that writing left in this worker
         for batch in batches:
             for row in batch.itertuples(index=False):
                 shard = Shard(row.data)

@@ -2,9 +2,12 @@
 
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from terrace.llm import token_files
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, row string, key string, size long"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
@@ -55,3 +58,21 @@ def test_no_documents_and_no_language_give_empty_stages(run):
 
 def test_documents_without_languages_to_learn_from_all_go(run):
     assert run([(i, "some words here", None, "a") for i in range(5)], [(1, "x")]) == [[], [], [], [], []]
+
+
+def test_few_shards_are_held_at_once(spark, monkeypatch):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    shard = 1 << 20
+    shards = spark.range(24, numPartitions=1).select(F.unhex(F.repeat(F.lit("ab"), shard)).alias("data"))
+
+    def held(batches):
+        for batch in batches:
+            row = [batch.num_rows, 0, batch.nbytes, 0]
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    monkeypatch.setattr(token_files, "write_tokens", lambda *a, **k: None)
+    kind = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    monkeypatch.setattr(token_files, "read_documents", lambda *a: shards.mapInArrow(held, kind))
+    found = corpus_pipeline.token_output(spark, shards, "").collect()
+    assert sum(r["doc_id"] for r in found) == 24
+    assert max(r["n_tokens"] for r in found) <= corpus_pipeline.BYTES_IN_A_BATCH + 2 * shard
