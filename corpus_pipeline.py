@@ -73,7 +73,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Token files of the mix; a row per document read back from them."""
     small_batches(spark)
     path = workspace(spark)
-    token_files.write_tokens(docs, path, TOKENIZER, escape_special=False, remembered=REMEMBERED)
+    token_files.write_tokens(docs, path, TOKENIZER, escape_special=False, remembered=REMEMBERED, give_back=True)
     return token_files.read_documents(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

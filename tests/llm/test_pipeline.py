@@ -76,3 +76,21 @@ def test_few_shards_are_held_at_once(spark, monkeypatch):
     found = corpus_pipeline.token_output(spark, shards, "").collect()
     assert sum(r["doc_id"] for r in found) == 24
     assert max(r["n_tokens"] for r in found) <= corpus_pipeline.BYTES_IN_A_BATCH + 2 * shard
+
+
+def test_giving_memory_back_changes_no_id_and_the_pipeline_does_it(spark, monkeypatch, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(WORDS, k=rng.randrange(900)))) for i in range(80)]
+    docs, found = spark.createDataFrame([*rows, (None, None)], "doc_id long, text string"), []
+    for give_back in (False, True):
+        path = str(tmp_path / str(give_back))
+        token_files.write_tokens(docs, path, corpus_pipeline.TOKENIZER, give_back=give_back)
+        read = token_files.read_documents(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+        found.append(sorted(map(repr, read.collect())))
+    assert found[0] == found[1] and len(found[0]) == 81
+
+    asked = []
+    write = token_files.write_tokens
+    monkeypatch.setattr(token_files, "write_tokens", lambda *a, **k: (asked.append(k["give_back"]), write(*a, **k)))
+    assert corpus_pipeline.token_output(spark, docs, "").count() == 81
+    assert asked == [True]
