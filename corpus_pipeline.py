@@ -31,7 +31,7 @@ TEXTS_IN_A_BATCH = 1000
 #: Bytes after which a batch is closed: few shards are held at once, in the worker and off the heap beside it.
 BYTES_IN_A_BATCH = 4 << 20
 #: Bytes of word pieces a Python worker remembers, where earlier stages have filled the executor's heap.
-REMEMBERED = 32 << 20
+REMEMBERED = 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -1,6 +1,9 @@
 """The pipeline as a whole on odd tables, against what its stages are to do by hand."""
 
+import os
 import random
+import subprocess
+import sys
 
 import pyarrow as pa
 import pytest
@@ -94,3 +97,30 @@ def test_giving_memory_back_changes_no_id_and_the_pipeline_does_it(spark, monkey
     monkeypatch.setattr(token_files, "write_tokens", lambda *a, **k: (asked.append(k["give_back"]), write(*a, **k)))
     assert corpus_pipeline.token_output(spark, docs, "").count() == 81
     assert asked == [True]
+
+
+GROWTH = """
+import random, re
+import corpus_pipeline
+from terrace.llm import token_files
+
+def held():
+    return int(re.search(r"Pss_Anon: +(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+encoder = token_files.Encoder(corpus_pipeline.TOKENIZER, False, corpus_pipeline.REMEMBERED)
+rng = random.Random(5)
+texts = [" ".join("".join(rng.choices("abcdefghij", k=8)) for _ in range(1000)) for _ in range(10)]
+encoder.encode(texts)
+before = held()
+for _ in range(60):
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=8)) for _ in range(1000)) for _ in range(10)]
+    encoder.encode(texts)
+print(held() - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="memory is read from /proc")
+def test_a_worker_of_the_pipeline_remembers_few_words():
+    home = os.path.dirname(corpus_pipeline.__file__)
+    ran = subprocess.run([sys.executable, "-c", GROWTH], cwd=home, capture_output=True, text=True, check=True)
+    assert float(ran.stdout) < 32
