@@ -28,8 +28,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: Texts that go to a Python worker at a time; ten times as many, Spark's default, take ten times the memory there.
 TEXTS_IN_A_BATCH = 1000
-#: Bytes after which a batch is closed: few shards are held at once, in the worker and off the heap beside it.
-BYTES_IN_A_BATCH = 4 << 20
+#: Bytes after which a batch is closed: few shards are held at once, in the worker and off the heap beside it, and no
+#: more texts than are encoded at a time.
+BYTES_IN_A_BATCH = 1 << 20
 #: Bytes of word pieces a Python worker remembers, where earlier stages have filled the executor's heap.
 REMEMBERED = 8 << 20
 

@@ -124,3 +124,16 @@ def test_a_worker_of_the_pipeline_remembers_few_words():
     home = os.path.dirname(corpus_pipeline.__file__)
     ran = subprocess.run([sys.executable, "-c", GROWTH], cwd=home, capture_output=True, text=True, check=True)
     assert float(ran.stdout) < 32
+
+
+def test_a_megabyte_of_texts_goes_to_a_worker_at_a_time(spark):
+    corpus_pipeline.small_batches(spark)
+    texts = spark.range(400, numPartitions=1).select(F.repeat(F.lit("abcd "), 4000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    found = texts.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in found) == 400
+    assert max(r["size"] for r in found) < 1.5 * (1 << 20)
