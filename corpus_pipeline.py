@@ -66,7 +66,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks."""
-    sizes = materialize(docs.select("source", mixing.word_count().alias("size")))
+    sizes = materialize(docs.groupBy("source").agg(F.sum(mixing.word_count()).alias("size")))
     return mixing.emit(mixing.copies(docs, mixing.source_targets(sizes), mixing.draw_key()))
 
 

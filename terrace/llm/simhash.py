@@ -116,7 +116,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """One whole row of each group: the one with the smallest id, or any of those that share it.
 
     Rows get a key when they are written with their fingerprints.  The choice is made among
-    keys and ids alone, and whole rows move once, to meet the keys that stay.
+    keys and ids alone, and whole rows move once, to meet the keys that stay.  Besides the rows
+    only links are written.
     """
     ship_library(docs.sparkSession)
     text = text_or_empty("text")
@@ -125,12 +126,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
             whole_rows(docs), F.col("doc_id").alias("doc_id"), fingerprint(text, shingle).alias("fp"), F.monotonically_increasing_id().alias("key")
         )
     )
-    groups = near_groups(keyed.select("doc_id", "fp"), radius).select(F.col("fp").alias("g_fp"), "group")
+    hung = components(near_links(keyed.select("fp").distinct(), radius))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))
     chosen = (
         keyed.select("doc_id", "fp", "key")
-        .join(groups, F.col("fp") == F.col("g_fp"))
-        .groupBy("group")
+        .join(hung, F.col("fp") == F.col("node"), "left")
+        .groupBy(F.coalesce("component", "fp").alias("group"))
         .agg(first.alias("kept"))
         .select(F.col("kept.key").alias("kept_key"))
     )

@@ -225,6 +225,44 @@ def test_long_chains_are_one_component(spark):
     assert found == {**dict.fromkeys(range(201), 0), 1000: 1000, 1001: 1000}
 
 
+def counted(monkeypatch, module):
+    """The list that gets a True for each table ``module`` writes from now on."""
+    written, write = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df: (written.append(True), write(df))[1])
+    return written
+
+
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    written = counted(monkeypatch, components)
+    stars, chain = [(9, 1), (1, 8), (7, 1), (1, 7), (4, 4)], [(20, 30), (30, 40)]
+    at_one, at_twenty = {1: 1, 7: 1, 8: 1, 9: 1}, {20: 20, 30: 20, 40: 20}
+    for links, want, rounds in ((stars, at_one, 0), (stars + chain, at_one | at_twenty, 1), (stars[4:], {}, 0)):
+        written.clear()
+        found = components.components(spark.createDataFrame(links, "a long, b long")).collect()
+        assert sorted(map(tuple, found)) == sorted(want.items())
+        assert len(written) == 1 + rounds
+
+
+def test_links_at_random_equal_brute_force(spark):
+    rng = random.Random(11)
+    for nodes, n in ((40, 25), (60, 60), (30, 90)):
+        links = [(rng.randrange(nodes), rng.randrange(nodes)) for _ in range(n)]
+        best = {x: x for a, b in links if a != b for x in (a, b)}
+        for _ in range(nodes):
+            for a, b in links:
+                if a != b:
+                    best[a] = best[b] = min(best[a], best[b])
+        found = components.components(spark.createDataFrame(links, "a long, b long")).collect()
+        assert sorted(map(tuple, found)) == sorted(best.items())
+
+
+def test_near_copies_write_the_rows_and_their_links_alone(spark, docs, monkeypatch):
+    rows, links = counted(monkeypatch, simhash), counted(monkeypatch, components)
+    kept = simhash.keep_one(docs([(3, "a b c d e"), (1, "A b c d e"), (2, "something else here now")]))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+    assert len(rows) == 1 and len(links) == 1
+
+
 def test_one_row_of_each_group_stays(spark, docs):
     rows = [(3, "a b c d e"), (1, "A b c d e"), (1, "A b c d e"), (2, "something else here now"), (None, "lonely words in here"), (None, "lonely words in here"), (7, None), (8, "")]
     kept = simhash.keep_one(docs(rows))

@@ -63,6 +63,18 @@ def test_documents_without_languages_to_learn_from_all_go(run):
     assert run([(i, "some words here", None, "a") for i in range(5)], [(1, "x")]) == [[], [], [], [], []]
 
 
+def test_the_mix_writes_a_size_for_each_source_alone(spark, monkeypatch, tmp_path):
+    rows = [(i, "one two three " * (i % 4), None if i % 5 == 0 else "ab"[i % 2]) for i in range(60)] + [(60, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    written, write = [], corpus_pipeline.materialize
+    monkeypatch.setattr(corpus_pipeline, "materialize", lambda df: (written.append(write(df)), written[-1])[1])
+    mixed = corpus_pipeline.source_mix(spark, docs, "").collect()
+    want = {s: sum(3 * (i % 4) for i, t, of in rows if t and of == s) for s in ("a", "b", None)}
+    assert sorted(map(tuple, written[0].collect()), key=repr) == sorted(want.items(), key=repr)
+    taken = sum(len((r["text"] or "").split()) for r in mixed)
+    assert 0.9 * 1.5 * sum(want.values()) < taken < 1.1 * 1.5 * sum(want.values())
+
+
 def test_few_shards_are_held_at_once(spark, monkeypatch):
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
     shard = 1 << 20
